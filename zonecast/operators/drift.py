@@ -161,28 +161,29 @@ def asymptotic_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Col
 def _outside_probability(d: float, n: int, m: int) -> float:
     """P(statistic >= d) when all orders of n + m values are equally likely.
 
-    Walks the anti-diagonals of the n x m lattice.  ``w[i]`` is the probability that a
-    random order of the first ``s`` values has ``i`` of the first kind and has stayed
-    strictly inside the band; each step draws without replacement.
+    Draws values one by one.  ``w[k]`` is the probability that ``low + k`` of the first
+    ``s`` values are of the first kind and the statistic has stayed below ``d`` so far;
+    only counts inside the band are kept, and what leaves it is added up.
     """
     if d <= 0:
         return 1.0
-    band = np.round(d * n * m)
-    inside = np.zeros(n + 1)
-    inside[0] = 1.0
-    i = np.arange(n + 1)
-    outside = 0.0
+    band = round(d * n * m) - 0.5
+    outside, low, w = 0.0, 0, np.ones(1)
     for s in range(1, n + m + 1):
-        left = n + m - (s - 1)
-        j = s - 1 - i
-        alive = (j >= 0) & (j <= m)
-        w = np.where(alive, inside, 0.0)
-        step = w * np.clip(m - j, 0, None) / left
-        step[1:] += (w * (n - i) / left)[:-1]
-        out = np.abs(i * float(m) - (s - i) * float(n)) >= band - 0.5
-        outside += step[out].sum()
-        step[out] = 0.0
-        inside = step
+        left = n + m - s + 1
+        i = np.arange(low, low + len(w))
+        step = np.zeros(len(w) + 1)
+        step[:-1] = w * np.maximum(m - (s - 1 - i), 0)
+        step[1:] += w * (n - i)
+        step /= left
+        # |i * m - (s - i) * n| < band
+        first = max(int(np.floor((s * n - band) / (n + m))) + 1, low, s - m, 0)
+        last = min(int(np.ceil((s * n + band) / (n + m))) - 1, low + len(w), s, n)
+        if last < first:
+            return 1.0
+        keep = slice(first - low, last - low + 1)
+        outside += step[: keep.start].sum() + step[keep.stop :].sum()
+        low, w = first, step[keep]
     return float(min(1.0, max(0.0, outside)))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.timefns import NTZ, hour_floor, hour_spine, hours, ts_lit
@@ -13,6 +13,11 @@ from zonecast.session import shuffle_partitions
 HISTORY_COLUMNS = ("zone_id", "zone_name", "hour_ts", "trip_count", "avg_fare", "avg_distance")
 
 
+def _earliest() -> Column:
+    """Order of names within a zone; equal times go to the smaller name."""
+    return F.struct("first_ts", "zone_name")
+
+
 def valid_trips(
     trips: DataFrame,
     start: datetime,
@@ -48,19 +53,29 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def hourly_demand(trips: DataFrame) -> DataFrame:
     """Trips per zone and hour, with mean fare and distance where trips carry them.
 
-    Trips with a ``zone_name`` keep the name of the earliest trip (by ``name_order``),
-    so names never become part of the key.
+    Trips with a ``zone_name`` are first counted per name, which keeps the pass over raw
+    trips a hash aggregate; the hour then takes the name of its earliest trip, so names
+    never become part of the key.
     """
-    cols = trips.columns
-    aggs = [F.count(F.lit(1)).alias("trip_count")]
-    for measure, out in (("fare", "avg_fare"), ("distance", "avg_distance")):
-        aggs.append((F.avg(measure) if measure in cols else F.lit(None).cast("double")).alias(out))
-    if "zone_name" in cols:
-        aggs += [
-            F.min_by("zone_name", "name_order").alias("zone_name"),
-            F.min("name_order").alias("name_order"),
-        ]
-    return trips.groupBy("zone_id", hour_floor("ts").alias("hour_ts")).agg(*aggs)
+    hour = hour_floor("ts").alias("hour_ts")
+    measures = [(m, f"avg_{m}", m in trips.columns) for m in ("fare", "distance")]
+    none = F.lit(None).cast("double")
+    if "zone_name" not in trips.columns:
+        means = [(F.avg(m) if there else none).alias(out) for m, out, there in measures]
+        return trips.groupBy("zone_id", hour).agg(F.count(F.lit(1)).alias("trip_count"), *means)
+    parts = [F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts")]
+    for m, _, there in measures:
+        parts += [F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n")] if there else []
+    means = [
+        (F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_n")) if there else none).alias(out) for m, out, there in measures
+    ]
+    named = trips.groupBy("zone_id", "zone_name", hour).agg(*parts)
+    return named.groupBy("zone_id", "hour_ts").agg(
+        F.sum("n").alias("trip_count"),
+        *means,
+        F.min_by("zone_name", _earliest()).alias("zone_name"),
+        F.min("first_ts").alias("first_ts"),
+    )
 
 
 def zone_universe(trips: DataFrame) -> DataFrame:
@@ -69,7 +84,8 @@ def zone_universe(trips: DataFrame) -> DataFrame:
 
 def first_zone_name(trips: DataFrame) -> DataFrame:
     """Name on the earliest trip of each zone."""
-    return trips.groupBy("zone_id").agg(F.min_by("zone_name", "name_order").alias("zone_name"))
+    named = trips.groupBy("zone_id", "zone_name").agg(F.min("ts").alias("first_ts"))
+    return named.groupBy("zone_id").agg(F.min_by("zone_name", _earliest()).alias("zone_name"))
 
 
 def densify(hourly: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -91,7 +107,7 @@ def densify(hourly: DataFrame, start: datetime, end: datetime) -> DataFrame:
     named = "zone_name" in hourly.columns
     if named:
         whole = Window.partitionBy("zone_id")
-        hourly = hourly.withColumn("zone_name", F.min_by("zone_name", "name_order").over(whole))
+        hourly = hourly.withColumn("zone_name", F.min_by("zone_name", _earliest()).over(whole))
     spans = hourly.select(
         "zone_id",
         *(["zone_name"] if named else []),

@@ -30,7 +30,7 @@ TFL_FILES = {
     ),
 }
 # Columns used from an archive member.
-MEMBER_COLUMNS = ("ride_id", "started_at", "start_station_name", "start_station_id")
+MEMBER_COLUMNS = ("started_at", "start_station_name", "start_station_id")
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 
@@ -57,11 +57,6 @@ def read_tfl_trips(spark: SparkSession, paths: Sequence[str], multiline: bool =
             F.col("Start station number").cast("bigint").alias("zone_id"),
             F.col("Start station").alias("zone_name"),
             parse_minutes("Start date").alias("ts"),
-            F.struct(
-                F.col("_metadata.file_name").alias("file"),
-                F.col("Start date").alias("at"),
-                F.col("Number").alias("id"),
-            ).alias("name_order"),
         )
         .na.drop(subset=["zone_id", "ts"])
     )
@@ -72,13 +67,18 @@ def citibike_patterns(months: Sequence[str]) -> list[str]:
 
 
 def read_member_csv(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
-    """Extracted CSV members as text columns, with their file name."""
+    """Extracted CSV members as text columns."""
     raw = spark.read.options(**_CSV, multiLine=multiline).csv(list(paths))
-    return raw.select(*[F.col(c) for c in MEMBER_COLUMNS], F.col("_metadata.file_name").alias("file"))
+    return raw.select(*MEMBER_COLUMNS)
 
 
-def read_member_zip(spark: SparkSession, paths: Sequence[str], chunk: int = 50_000) -> DataFrame:
-    """Every ``*.csv`` member (any case, any folder) of zip archives as text columns.
+def read_member_zip(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Members of the zip archives at ``paths``."""
+    return unzip_members(spark.read.format("binaryFile").load(list(paths)).select("content"))
+
+
+def unzip_members(archives: DataFrame, chunk: int = 50_000) -> DataFrame:
+    """Every ``*.csv`` member (any case, any folder) of a ``content`` column as text columns.
 
     An archive cannot be split, so it is one task; its members are decompressed as a
     stream and leave the task in chunks.  A member name seen twice in an archive is
@@ -107,10 +107,9 @@ def read_member_zip(spark: SparkSession, paths: Sequence[str], chunk: int = 50_0
                                 encoding="utf-8-sig",
                             )
                             for part in parts:
-                                yield part[columns].assign(file=base)
+                                yield part[columns]
 
-    files = spark.read.format("binaryFile").load(list(paths)).select("content")
-    return files.mapInPandas(unzip, ", ".join(f"{c} string" for c in [*columns, "file"]))
+    return archives.select("content").mapInPandas(unzip, ", ".join(f"{c} string" for c in columns))
 
 
 def citibike_trips(members: DataFrame, audit: Observation | None = None) -> DataFrame:
@@ -124,7 +123,6 @@ def citibike_trips(members: DataFrame, audit: Observation | None = None) -> Data
         station_number("start_station_id").alias("zone_id"),
         F.col("start_station_name").alias("zone_name"),
         parse_seconds("started_at").alias("ts"),
-        F.struct("file", F.col("started_at").alias("at"), F.col("ride_id").alias("id")).alias("name_order"),
     )
 
 

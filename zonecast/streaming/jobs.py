@@ -16,7 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from zonecast.functions.timefns import NTZ
+from zonecast.operators.drift import current_buffer
 from zonecast.operators.quality import log_entries
+from zonecast.session import path_exists
 
 
 def as_instant(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -108,8 +110,8 @@ def admission_stream(requests: DataFrame, limit: int, seconds: int = 60) -> Data
 
     State per client is the admitted times of the last ``seconds``.  Within a
     micro-batch requests are taken in time order; a request from an earlier time than
-    the state is judged when it arrives.  Requests of a micro-batch stream through in
-    chunks, so only the sort keys of one client's micro-batch are held.
+    the state is judged when it arrives.  A client's share of one micro-batch is sorted
+    in memory, so bound the source's rate (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
     """
     width = seconds * 1_000_000
 
@@ -146,38 +148,41 @@ def each_batch(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
 def drift_stream(
     scored: DataFrame,
     evaluate: Callable[[DataFrame], DataFrame],
-    log_path: str,
+    buffer_path: str,
     report_path: str,
     checkpoint: str,
+    maxlen: int = 1000,
+    ts: str = "scored_at",
+    tie: str = "request_id",
 ) -> StreamingQuery:
-    """Per micro-batch: append scored features to a table, then evaluate drift over it.
+    """Per micro-batch: update the buffer of newest scored rows, then evaluate drift on it.
 
-    ``evaluate`` takes the stored rows and picks the newest buffer itself (see
-    :func:`zonecast.plans.monitor.drift_tables`).  Files are keyed by batch, so a
-    repeated batch overwrites itself.
+    Each batch stores its own buffer, built from the previous batch's buffer and the new
+    rows, so work per batch does not grow with the stream and a repeated batch
+    overwrites itself.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
-        stored = spark.read.parquet(log_path).drop("batch")
-        evaluate(stored).write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
+        previous, mine = f"{buffer_path}/batch={batch_id - 1}", f"{buffer_path}/batch={batch_id}"
+        rows = batch
+        if path_exists(spark, previous):
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(previous))
+        current_buffer(rows, maxlen, ts, tie).write.mode("overwrite").parquet(mine)
+        report = evaluate(spark.read.schema(batch.schema).parquet(mine))
+        report.write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
 
     return each_batch(scored, handle, checkpoint)
 
 
-def run_available(df: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Runs a streaming frame over everything available into a memory table, and returns it.
-
-    For tests and small result tables only.
-    """
+def run_available(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Runs an append-mode stream over everything available into Parquet, and reads it back."""
     query = (
-        df.writeStream.format("memory")
-        .queryName(name)
-        .outputMode(mode)
+        df.writeStream.format("parquet")
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
+        .start(path)
     )
     query.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
