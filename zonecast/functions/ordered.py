@@ -17,11 +17,16 @@ PER_OCTAVE = 4096
 _SHIFT = 1100 * PER_OCTAVE
 
 
+def pairs(columns: Sequence[str]) -> Column:
+    """Array of ``(feature, value)`` structs, one per column, as one SQL expression."""
+    cells = ", ".join(f"struct('{c}' AS feature, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
+    return F.expr(f"array({cells})")
+
+
 def distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, value, n)``: how often each value of each column occurs."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
     return (
-        df.select(F.inline(pairs))
+        df.select(F.inline(pairs(columns)))
         .where(F.col("value").isNotNull())
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -94,27 +99,26 @@ def floor_rank(percent: float) -> Callable[[Column], Column]:
 
 def linear_edges(dist: DataFrame, n_bins: int) -> DataFrame:
     """``(feature, edges)``: ``n_bins + 1`` linearly interpolated quantile edges."""
-
-    def position(i: int, n: Column) -> Column:
-        return (n - 1) * F.lit(i / n_bins)
+    steps = F.expr("array(" + ", ".join(f"{i / n_bins!r}D" for i in range(n_bins + 1)) + ")")
 
     def ranks(n: Column) -> Column:
-        out = []
-        for i in range(n_bins + 1):
-            p = position(i, n)
-            out += [F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")]
-        return F.array(*out)
-
-    stats = order_statistics(dist, ranks)
-    total = F.first("total")
-    edges = []
-    for i in range(n_bins + 1):
-        p = position(i, F.col("total"))
-        low = F.max(F.when(F.col("rank") == F.floor(p), F.col("value")))
-        high = F.max(F.when(F.col("rank") == F.ceil(p), F.col("value")))
-        share = position(i, total) - F.floor(position(i, total))
-        edges.append(low + (high - low) * share)
-    return stats.groupBy("feature").agg(F.array(*edges).alias("edges"))
+        at = F.transform(steps, lambda q: (n - 1) * q)
+        return F.concat(
+            F.transform(at, lambda p: F.floor(p).cast("bigint")), F.transform(at, lambda p: F.ceil(p).cast("bigint"))
+        )
+
+    # A few dozen picked ranks per feature.
+    picked = order_statistics(dist, ranks).groupBy("feature", "total").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    )
+
+    def edge(q: Column) -> Column:
+        p = (F.col("total") - 1) * q
+        low = F.element_at("at", F.floor(p).cast("bigint"))
+        high = F.element_at("at", F.ceil(p).cast("bigint"))
+        return low + (high - low) * (p - F.floor(p))
+
+    return picked.select("feature", F.transform(steps, edge).alias("edges"))
 
 
 def bin_counts(dist: DataFrame, edges: DataFrame, n_bins: int) -> DataFrame:
@@ -125,11 +129,11 @@ def bin_counts(dist: DataFrame, edges: DataFrame, n_bins: int) -> DataFrame:
     """
     # One row per feature: safe to broadcast.
     joined = dist.join(F.broadcast(edges), "feature")
-    below = []
-    for i in range(n_bins + 1):
-        edge = F.element_at("edges", i + 1)
-        inside = F.col("value") <= edge if i == n_bins else F.col("value") < edge
-        below.append(F.sum(F.when(inside, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias(f"c{i}"))
-    counted = joined.groupBy("feature", "edges").agg(*below)
-    counts = F.array(*[F.col(f"c{i + 1}") - F.col(f"c{i}") for i in range(n_bins)])
+    below = F.expr(
+        "array("
+        + ", ".join(f"sum(IF(value {'<=' if i == n_bins else '<'} edges[{i}], n, 0L))" for i in range(n_bins + 1))
+        + ")"
+    )
+    counted = joined.groupBy("feature", "edges").agg(below.alias("below"))
+    counts = F.expr(f"transform(sequence(1, {n_bins}), i -> below[i] - below[i - 1])")
     return counted.select("feature", "edges", counts.alias("counts"))

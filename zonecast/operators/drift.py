@@ -19,7 +19,7 @@ from zonecast.config import (
     PSI_EPSILON,
     PSI_WARNING,
 )
-from zonecast.functions.ordered import bin_counts, distribution, linear_edges
+from zonecast.functions.ordered import bin_counts, distribution, linear_edges, pairs
 from zonecast.functions.sampling import bottom_k, latest_n
 from zonecast.functions.textfns import row_digest
 from zonecast.session import shuffle_partitions
@@ -39,11 +39,10 @@ def reference_sample(
     seed: int = 42,
 ) -> DataFrame:
     """``(feature, value, digest)``: a reproducible draw without replacement per feature."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features])
-    rows = train.select(*[F.col(k).cast("string").alias(f"_{k}") for k in keys], F.inline(pairs))
-    return bottom_k(
-        rows.select("feature", "value", row_digest(*[f"_{k}" for k in keys], "feature", seed=seed).alias("digest")), size
-    )
+    # The key text is built once per row, before the row is spread over its features.
+    keyed = train.select(*features, F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("_key"))
+    rows = keyed.select("_key", F.inline(pairs(features)))
+    return bottom_k(rows.select("feature", "value", row_digest("_key", "feature", seed=seed).alias("digest")), size)
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = CONTINUOUS) -> DataFrame:
@@ -52,21 +51,21 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = CONTINUOUS) -> D
     Constant columns have correlation 0 with everything, themselves included, so the
     diagonal tells which columns are valid.
     """
-    names = list(features)
-    vals = [F.col(c).cast("double").alias(c) for c in names]
-    aggs = [F.var_pop(c).alias(f"v__{c}") for c in names]
-    aggs += [F.covar_pop(a, b).alias(f"c__{a}__{b}") for a, b in combinations(names, 2)]
-    cells = []
-    for a in names:
-        for b in names:
-            if a == b:
-                corr = F.when(F.col(f"v__{a}") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-            else:
-                first, second = (a, b) if names.index(a) < names.index(b) else (b, a)
-                scale = F.sqrt(F.col(f"v__{a}") * F.col(f"v__{b}"))
-                corr = F.coalesce(F.try_divide(F.col(f"c__{first}__{second}"), scale), F.lit(0.0))
-            cells.append(F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), corr.alias("corr")))
-    return df.select(*vals).agg(*aggs).select(F.inline(F.array(*cells)))
+    upper = list(combinations(features, 2))
+    moments = [f"var_pop(CAST({c} AS DOUBLE)) AS v_{c}" for c in features]
+    moments += [f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c_{a}_{b}" for a, b in upper]
+    cells = [f"struct('{c}' AS f1, '{c}' AS f2, v_{c} AS cov, v_{c} AS v1, v_{c} AS v2)" for c in features]
+    cells += [f"struct('{a}' AS f1, '{b}' AS f2, c_{a}_{b} AS cov, v_{a} AS v1, v_{b} AS v2)" for a, b in upper]
+    corr = (
+        "CASE WHEN v1 > 0 AND v2 > 0 THEN IF(f1 = f2, 1.0D, cov / sqrt(v1 * v2)) ELSE 0.0D END AS corr"
+    )
+    mirrored = "array_compact(array(struct(f1, f2, corr), IF(f1 = f2, NULL, struct(f2 AS f1, f1 AS f2, corr))))"
+    wide = df.agg(*[F.expr(m) for m in moments])
+    return (
+        wide.selectExpr(f"inline(array({', '.join(cells)}))")
+        .selectExpr("f1", "f2", corr)
+        .selectExpr(f"inline({mirrored})")
+    )
 
 
 def correlation_shift(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -217,8 +216,7 @@ def current_buffer(scored: DataFrame, maxlen: int = 1000, ts: str = "scored_at",
 
 
 def long_values(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features])
-    return df.select(F.inline(pairs))
+    return df.select(F.inline(pairs(features)))
 
 
 def feature_drift(bins: DataFrame, sample: DataFrame, current: DataFrame, n_bins: int = 10, exact: bool = True) -> DataFrame:

@@ -15,14 +15,15 @@ ROW_SEGMENTS = ("late_night", "peak_hours", "weekend", "weekday", "zero_demand")
 ZONE_SEGMENTS = ("sparse_zones", "dense_zones")
 
 
-def _row_segment(name: str) -> Column:
+def _row_segments() -> dict[str, str]:
+    """Condition of each row segment."""
     return {
-        "late_night": F.col("hour_of_day").between(*NIGHT_HOURS),
-        "peak_hours": F.col("hour_of_day").isin(*PEAK_HOURS),
-        "weekend": F.col("is_weekend") == 1,
-        "weekday": F.col("is_weekend") == 0,
-        "zero_demand": F.col(TARGET) == 0,
-    }[name]
+        "late_night": f"hour_of_day BETWEEN {NIGHT_HOURS[0]} AND {NIGHT_HOURS[1]}",
+        "peak_hours": f"hour_of_day IN ({', '.join(map(str, PEAK_HOURS))})",
+        "weekend": "is_weekend = 1",
+        "weekday": "is_weekend = 0",
+        "zero_demand": f"{TARGET} = 0",
+    }
 
 
 def zone_totals(preds: DataFrame, models: Sequence[str]) -> DataFrame:
@@ -31,19 +32,16 @@ def zone_totals(preds: DataFrame, models: Sequence[str]) -> DataFrame:
     Segments overlap, so they are conditional sums rather than copied rows.  Everything
     below works on this table, which has one row per zone.
     """
-    y = F.col(TARGET).cast("double")
-    name = F.min("zone_name") if "zone_name" in preds.columns else F.lit(None).cast("string")
-    aggs = [name.alias("zone_name"), F.count(F.lit(1)).alias("n_all"), F.sum(TARGET).alias("demand")]
-    aggs += [F.sum(F.abs(y - F.col(m))).alias(f"err_all__{m}") for m in models]
-    for s in ROW_SEGMENTS:
-        inside = _row_segment(s)
-        aggs.append(F.count_if(inside).alias(f"n_{s}"))
-        aggs += [
-            F.sum(F.when(inside, F.abs(y - F.col(m))).otherwise(F.lit(0.0))).alias(f"err_{s}__{m}") for m in models
-        ]
-    return (
-        preds.groupBy("zone_id").agg(*aggs).withColumn("mean_demand", F.col("demand") / F.col("n_all"))
-    )
+    name = "min(zone_name)" if "zone_name" in preds.columns else "CAST(NULL AS STRING)"
+    aggs = {"zone_name": name, "n_all": "count(1)", "demand": f"sum({TARGET})"}
+    for m in models:
+        aggs[f"err_all__{m}"] = f"sum(abs({TARGET} - {m}))"
+    for s, inside in _row_segments().items():
+        aggs[f"n_{s}"] = f"count_if({inside})"
+        for m in models:
+            aggs[f"err_{s}__{m}"] = f"sum(IF({inside}, abs({TARGET} - {m}), 0D))"
+    totals = preds.groupBy("zone_id").agg(*[F.expr(e).alias(c) for c, e in aggs.items()])
+    return totals.withColumn("mean_demand", F.col("demand") / F.col("n_all"))
 
 
 def hardest_zones(totals: DataFrame, model: str, k: int = 5) -> DataFrame:
@@ -79,27 +77,15 @@ def segment_mae(totals: DataFrame, models: Sequence[str]) -> DataFrame:
     q = demand_quantiles(totals)
     sparse = F.col("mean_demand") < q.select("p_low").scalar()
     dense = F.col("mean_demand") > q.select("p_high").scalar()
-    aggs = []
-    for s in ROW_SEGMENTS:
-        aggs.append(F.sum(f"n_{s}").alias(f"n_{s}"))
-        aggs += [F.sum(f"err_{s}__{m}").alias(f"err_{s}__{m}") for m in models]
-    for s, inside in zip(ZONE_SEGMENTS, (F.col("_sparse"), F.col("_dense"))):
-        aggs.append(F.sum(F.when(inside, F.col("n_all")).otherwise(F.lit(0))).alias(f"n_{s}"))
-        aggs += [
-            F.sum(F.when(inside, F.col(f"err_all__{m}")).otherwise(F.lit(0.0))).alias(f"err_{s}__{m}") for m in models
-        ]
-    wide = totals.withColumns({"_sparse": sparse, "_dense": dense}).agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("segment"),
-                F.col(f"n_{s}").cast("bigint").alias("n_rows"),
-                *[F.try_divide(F.col(f"err_{s}__{m}"), F.col(f"n_{s}")).alias(f"{m}_mae") for m in models],
-            )
-            for s in ZONE_SEGMENTS + ROW_SEGMENTS
-        ]
-    )
-    return wide.select(F.inline(rows)).where(F.col("n_rows") > 0)
+    aggs, rows = [], []
+    for s in ZONE_SEGMENTS + ROW_SEGMENTS:
+        n, err = (f"IF(_{s}, n_all, 0L)", f"IF(_{s}, err_all__%s, 0D)") if s in ZONE_SEGMENTS else (f"n_{s}", f"err_{s}__%s")
+        aggs.append(F.expr(f"sum({n})").alias(f"n_{s}"))
+        aggs += [F.expr(f"sum({err % m})").alias(f"err_{s}__{m}") for m in models]
+        maes = ", ".join(f"try_divide(err_{s}__{m}, n_{s}) AS {m}_mae" for m in models)
+        rows.append(f"struct('{s}' AS segment, n_{s} AS n_rows, {maes})")
+    wide = totals.withColumns({"_sparse_zones": sparse, "_dense_zones": dense}).agg(*aggs)
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))").where(F.col("n_rows") > 0)
 
 
 def segment_deltas(segments: DataFrame, candidate: str, baseline: str) -> DataFrame:
