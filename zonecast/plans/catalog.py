@@ -34,7 +34,7 @@ from zonecast.operators import (
     training,
     usage,
 )
-from zonecast.plans import learn, monitor
+from zonecast.plans import learn, marts, monitor
 from zonecast.session import materialize, scratch_root, use_utc
 from zonecast.sources import bikes, sinks
 from zonecast.streaming import jobs
@@ -378,6 +378,24 @@ def grid_checks(spark, sf):
     return contracts.grid_report(hourly(spark, sf), CONFIG.start, CONFIG.end, CONFIG.split.train_start)
 
 
+@query
+def layered_marts(spark, sf):
+    """The last layer of the stored tables."""
+    _build_marts(spark, sf)
+    return rounded(spark.table(marts.MART), "avg_fare", "avg_distance")
+
+
+@query
+def layered_checks(spark, sf):
+    """Rule violations per layer (none)."""
+    _build_marts(spark, sf)
+    return marts.check_marts(spark, CONFIG.with_(months=("2024-01",)))
+
+
+def _build_marts(spark, sf):
+    marts.build_marts(spark, raw_trips(spark, sf), f"{scratch_root(spark)}/marts-{uuid.uuid4().hex}", CONFIG)
+
+
 @query
 def regression_gate(spark, sf):
     rows = metrics.model_metrics(predicted(spark, sf), BASELINES)
@@ -837,6 +855,77 @@ def stream_usage(spark, sf):
     return _run_stream(spark, sf, build)
 
 
+def _stage_parts(df: DataFrame, name: str) -> str:
+    """Stores rows as a table a stream can follow."""
+    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+@query
+def stream_log(spark, sf):
+    """Scored requests streamed into the prediction log (ids are fresh on every run)."""
+    hist = materialize(full_history(spark, sf), "history")
+    train, _, _ = splits.split_from_config(features.engineer_features(hist, CONFIG), CONFIG)
+    scored = scoring.score_requests(requests(spark, sf), hist, training.create_model("slot_mean").fit(train), CONFIG)
+    source = _stage_parts(scored.select("zone_id", "hour_ts", "predicted_count"), "scored")
+    root = f"{scratch_root(spark)}/log-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    jobs.prediction_log_stream(stream, f"{root}/out", f"{root}/checkpoint", AS_OF).awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out"), "predicted_value").drop("prediction_id")
+
+
+@query
+def stream_quality(spark, sf):
+    """Sliding quality of logged predictions against actuals observed an hour after the hour."""
+    log, _ = log_and_actuals(spark, sf)
+    truth = history.densify(hourly(spark, sf), CONFIG.start, CONFIG.end)
+    seen = truth.select(
+        _prediction_id("slot_mean").alias("prediction_id"),
+        F.col(TARGET).cast("double").alias("actual_value"),
+        (F.col("hour_ts") + timefns.hours(1)).alias("observed_at"),
+    )
+    tables = {"log": log.select("prediction_id", "predicted_value", "created_at"), "seen": seen}
+    paths = {k: _stage_parts(v, k) for k, v in tables.items()}
+    left, right = (spark.readStream.schema(tables[k].schema).parquet(paths[k]) for k in ("log", "seen"))
+    root = f"{scratch_root(spark)}/quality-{uuid.uuid4().hex}"
+    out = jobs.quality_stream(left, right, "2 days", "1 day", "1 day")
+    return rounded(jobs.run_available(out, f"{root}/out", f"{root}/checkpoint"), "mae", "rmse", "smape")
+
+
+@query
+def stream_admission(spark, sf):
+    """The admission fold as a stream with state per client."""
+
+    def build(events):
+        rows = events.select(F.col("event_id").alias("request_id"), F.col("event_type").alias("client"), "ts")
+        return jobs.admission_stream(rows, RATE_LIMIT, RATE_SECONDS)
+
+    return _run_stream(spark, sf, build).select("request_id", "client", "admitted")
+
+
+@query
+def stream_drift(spark, sf):
+    """Drift per micro-batch over the newest scored rows; the last batch's report."""
+    train, _, test = split_rows(spark, sf)
+    bins = materialize(drift.reference_bins(train), "bins")
+    sample = materialize(drift.reference_sample(train), "sample")
+    stream = spark.readStream.schema(test.schema).parquet(_stage_parts(test, "scored"))
+    root = f"{scratch_root(spark)}/drift-{uuid.uuid4().hex}"
+    jobs.drift_stream(
+        stream,
+        lambda rows: drift.feature_drift(bins, sample, rows, exact=False),
+        f"{root}/buffer",
+        f"{root}/report",
+        f"{root}/checkpoint",
+        CONFIG.drift_max_samples,
+        "hour_ts",
+        "zone_id",
+    ).awaitTermination()
+    reports = spark.read.parquet(f"{root}/report")
+    return reports.where(F.col("batch") == reports.agg(F.max("batch").alias("b")).scalar()).drop("batch")
+
+
 FLAGSHIP = "lag_rolling_features"
 
 __all__ = ["CONFIG", "CONTINUOUS", "FLAGSHIP", "QUERIES"]

@@ -291,6 +291,20 @@ _STAGED = {
     "min_fare": "fare < 0",
     "min_distance": "distance < 0",
 }
+_STAGED_WIDE = {
+    **{k: v for k, v in _STAGED.items() if k.startswith(("not_null", "min"))},
+    "min_zone_id": "zone_id < 1",
+    "window_hour_ts": "hour_ts < TIMESTAMP '2024-01-01' OR hour_ts >= TIMESTAMP '2024-01-31'",
+}
+_CALENDAR_RULES = _rules(
+    "windowed",
+    {
+        **_not_null("day_of_week", "is_weekend", "month"),
+        "accepted_day_of_week": "day_of_week NOT IN (0, 1, 2, 3, 4, 5, 6)",
+        "accepted_is_weekend": "is_weekend NOT IN (0, 1)",
+        "accepted_month": "month NOT IN (1)",
+    },
+)
 _STAGED_SOURCE = "(SELECT *, date_trunc('hour', ts) AS hour_ts FROM raw_trips)"
 
 _SERVED = f"""
@@ -378,17 +392,7 @@ ORACLE = {
         _rules("history", {**_not_null("zone_id", "zone_name", "hour_ts", "trip_count"), **_KEY_RULES}, "zone_id, hour_ts")
     ),
     "staged_contract": sql(_rules(_STAGED_SOURCE, _STAGED)),
-    "calendar_contract": sql(
-        _rules(
-            "windowed",
-            {
-                **_not_null("day_of_week", "is_weekend", "month"),
-                "accepted_day_of_week": "day_of_week NOT IN (0, 1, 2, 3, 4, 5, 6)",
-                "accepted_is_weekend": "is_weekend NOT IN (0, 1)",
-                "accepted_month": "month NOT IN (1)",
-            },
-        )
-    ),
+    "calendar_contract": sql(_CALENDAR_RULES),
     "prediction_contract": sql(
         _rules(
             "preds",
@@ -415,7 +419,12 @@ ORACLE = {
         "0::BIGINT END FROM hourly WHERE hour_ts >= TIMESTAMP '2024-01-01' AND hour_ts < TIMESTAMP '2024-01-08'"
     ),
     "regression_gate": sql("SELECT model, mae < 3.2 AND pct_clipped < 5 AS passed FROM metrics"),
-    "pipeline_parity": "SELECT 0::BIGINT AS rows_different",
+    "pipeline_parity": sql(
+        "SELECT count(*) AS rows_different FROM (SELECT zone_id, hour_ts, sum(n) AS trip_count FROM (SELECT zone_id, "
+        "hour_ts, trip_count AS n FROM hourly UNION ALL SELECT zone_id, hour_ts, 0 FROM (SELECT DISTINCT zone_id FROM "
+        "hourly), spine) GROUP BY ALL) u FULL JOIN dense d ON d.zone_id = u.zone_id AND d.hour_ts = u.hour_ts "
+        "WHERE d.trip_count IS DISTINCT FROM u.trip_count"
+    ),
     "slot_mean_fit": sql(
         "SELECT zone_id, hour_of_day, day_of_week, slot_rows, slot_total, round(slot_mean, 6) AS slot_mean FROM slots"
     ),
@@ -567,6 +576,24 @@ ORACLE = {
         LEFT JOIN slots s ON s.zone_id = f.zone_id AND s.hour_of_day = extract(hour FROM f.hour_ts)
                AND s.day_of_week = isodow(f.hour_ts) - 1"""
     ),
+    "layered_marts": sql(
+        "SELECT zone_id, hour_ts, trip_count, round(avg_fare, 6) AS avg_fare, round(avg_distance, 6) AS avg_distance, "
+        "hour_of_day, day_of_week, CAST(is_weekend AS BIGINT) AS is_weekend, month FROM windowed"
+    ),
+    "layered_checks": sql(
+        f"SELECT 'stg_trips' AS layer, rule, violations FROM ({_rules('trips', _STAGED_WIDE)}) UNION ALL "
+        "SELECT 'zone_hour_dense', 'no_hour_gaps', count(*) FROM (SELECT zone_id, hour_ts FROM "
+        "(SELECT DISTINCT zone_id FROM dense), spine EXCEPT SELECT zone_id, hour_ts FROM dense) UNION ALL "
+        "SELECT 'zone_hour_dense', 'warmup_present', CAST(count(*) FILTER (WHERE hour_ts < TIMESTAMP '2024-01-08') = 0 "
+        f"AS BIGINT) FROM dense UNION ALL SELECT 'training_features', rule, violations FROM ({_CALENDAR_RULES})"
+    ),
+    "stream_log": sql(
+        "SELECT f.zone_id, f.hour_ts, round(coalesce(s.slot_mean, (SELECT coalesce(avg(trip_count), 0) FROM train)), 6) "
+        "AS predicted_value, TIMESTAMP '2024-01-31' AS created_at FROM flagged f LEFT JOIN slots s ON s.zone_id = "
+        "f.zone_id AND s.hour_of_day = extract(hour FROM f.hour_ts) AND s.day_of_week = isodow(f.hour_ts) - 1 "
+        "WHERE f.reason IS NULL"
+    ),
+    "stream_drift": sql("SELECT feature, psi, ks_statistic, ks_pvalue, verdict FROM verdicts"),
     "stream_hourly": sql(
         "SELECT zone_id, hour_ts, trip_count, round(avg_fare, 6) AS avg_fare, round(avg_distance, 6) AS avg_distance "
         "FROM hourly WHERE hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips) - INTERVAL 2 HOUR"
