@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonecast.config import preset
+from zonecast.functions.skew import key_counts, spread_join
 from zonecast.operators.contracts import ContractError
+from zonecast.operators.checks import extreme_predictions
+from zonecast.operators.features import serve_features
 from zonecast.plans import catalog as C
 from zonecast.plans.prepare import prepare
 from zonecast.session import materialize, scratch_root
@@ -68,3 +71,63 @@ def test_prepare_stores_checked_tables(spark, history, tmp_path):
     with pytest.raises(ContractError):
         prepare(spark, "", str(tmp_path / "bad"), cfg.with_(name="taxi_broken"))
     assert not os.path.exists(tmp_path / "bad/history")
+
+
+@pytest.fixture
+def no_coalescing(spark):
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_requests(spark):
+    """60,000 requests: a third for one zone and hour, the others spread over 600 hours."""
+    hot = F.col("id") % 3 == 0
+    other = F.lit(datetime(2024, 2, 1)) + F.make_dt_interval(hours=(F.col("id") % 600).cast("int"))
+    return spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("request_id"),
+        F.when(hot, 2).otherwise(1 + F.col("id") % 3).cast("bigint").alias("zone_id"),
+        F.when(hot, F.lit(datetime(2024, 2, 20, 14))).otherwise(other).cast("timestamp_ntz").alias("hour_ts"),
+    )
+
+
+def largest_partition(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("bulk", [False, True])
+def test_hot_requests_are_spread_and_whole(spark, history, cfg, no_coalescing, bulk):
+    out = serve_features(hot_requests(spark), history, cfg, bulk=bulk)
+    assert largest_partition(out) < 12000
+    got = {r["request_id"]: r for r in out.collect()}
+    assert len(got) == 60000 and all(r["reason"] is None for r in got.values())
+    assert {got[i]["lag_1h"] for i in range(0, 60000, 3)} == {27.0}
+
+
+def test_spread_join_equals_a_plain_join(spark, no_coalescing):
+    left = spark.range(0, 20000, 1, 6).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 1999 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("a"),
+        (F.col("id") % 3 != 0).cast("int").alias("b"),
+    )
+    values = key_counts(left, ["a", "b"]).withColumns({"v": F.md5(F.coalesce("a", F.lit("null"))), "w": F.col("n") * 2})
+    right = values.where("a IS NULL OR a <> 'k7'")
+    out = spread_join(left, right, ["a", "b"])
+    plain = left.alias("l").join(right.alias("r"), F.expr("l.a <=> r.a AND l.b <=> r.b"), "left").select("l.id", "l.a", "l.b", "r.v", "r.w")
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+    assert largest_partition(out) < 4000
+
+
+def test_hot_zone_in_extreme_predictions(spark, history, no_coalescing):
+    preds = hot_requests(spark).select("request_id", "zone_id", (F.col("request_id") * 1.0).alias("predicted_count"))
+    peaks = {r[0]: r[1] for r in history.groupBy("zone_id").agg(F.max("trip_count")).collect()}
+    got = {r["request_id"] for r in extreme_predictions(preds, history).collect()}
+    assert got == {r["request_id"] for r in preds.collect() if r["predicted_count"] > 5 * peaks[r["zone_id"]]}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.timefns import hour_floor
+from zonecast.session import shuffle_partitions
 
 _DIGEST_LENGTH = 32
 
@@ -15,8 +16,8 @@ def bottom_k(df: DataFrame, k: int, digest: str = "digest", by: str = "feature")
 
     Rows are first counted by the number of leading zeros of the digest (at most 33
     levels per group).  The highest level that still holds ``k`` rows is kept and
-    everything else filtered out on the map side, which leaves about ``16 * k``
-    rows per group to rank whatever the input size.
+    everything else filtered out on the map side, which leaves at most about ``16 * k``
+    rows per group to rank whatever the input size.  Groups are features: a fixed few.
     """
     zeros = F.lit(_DIGEST_LENGTH) - F.length(F.ltrim(F.col(digest), F.lit("0")))
     levelled = df.withColumn("_level", zeros)
@@ -41,8 +42,10 @@ def bottom_k(df: DataFrame, k: int, digest: str = "digest", by: str = "feature")
 def latest_n(df: DataFrame, n: int, ts: str, tie: str) -> DataFrame:
     """The ``n`` newest rows by ``(ts, tie)``.
 
-    The hour from which at least ``n`` rows exist is found from hourly counts; older
-    rows are filtered before the ordered limit, so little reaches the final task.
+    The hour from which at least ``n`` rows exist is found from hourly counts, and older
+    rows are filtered at the scan.  What is left is ranked within hash buckets first, so
+    even when a burst falls into that one hour the last task sees at most ``n`` rows per
+    bucket.
     """
     newest_first = Window.orderBy(F.desc("_hour"))
     # One row per hour of the calendar.
@@ -52,4 +55,14 @@ def latest_n(df: DataFrame, n: int, ts: str, tie: str) -> DataFrame:
         .withColumn("_held", F.sum("_n").over(newest_first))
         .agg(F.coalesce(F.max(F.when(F.col("_held") >= n, F.col("_hour"))), F.min("_hour")).alias("_cutoff"))
     )
-    return df.where(F.col(ts) >= cutoff.scalar()).orderBy(F.desc(ts), F.desc(tie)).limit(n)
+    buckets = shuffle_partitions(df.sparkSession)
+    in_bucket = Window.partitionBy("_bucket").orderBy(F.desc(ts), F.desc(tie))
+    return (
+        df.where(F.col(ts) >= cutoff.scalar())
+        .withColumn("_bucket", F.pmod(F.xxhash64(ts, tie), F.lit(buckets)))
+        .withColumn("_rank", F.row_number().over(in_bucket))
+        .where(F.col("_rank") <= n)
+        .drop("_bucket", "_rank")
+        .orderBy(F.desc(ts), F.desc(tie))
+        .limit(n)
+    )

@@ -14,7 +14,7 @@ def fit_slot_means(train: DataFrame, target: str = TARGET) -> DataFrame:
     """Rows, total and mean of the target per zone, hour of day and weekday."""
     return (
         train.groupBy(*SLOT_KEYS)
-        .agg(F.count(F.lit(1)).alias("slot_rows"), F.sum(target).alias("slot_total"))
+        .agg(F.sum(target).alias("slot_total"), F.count(F.lit(1)).alias("slot_rows"))
         .withColumn("slot_mean", F.col("slot_total") / F.col("slot_rows"))
     )
 
@@ -27,7 +27,10 @@ def global_mean(slots: DataFrame) -> Column:
 
 
 def predict_slot_means(df: DataFrame, slots: DataFrame, output: str = "slot_mean") -> DataFrame:
-    """Slot mean of each row; unseen slots get the global mean."""
+    """Slot mean of each row; unseen slots get the global mean.
+
+    Reads ``slots`` twice: pass a stored table.
+    """
     known = slots.select(*SLOT_KEYS, F.col("slot_mean").alias("_slot"))
     return df.join(known, list(SLOT_KEYS), "left").withColumn(output, F.coalesce("_slot", global_mean(slots))).drop("_slot")
 

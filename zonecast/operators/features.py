@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.config import FEATURES, DatasetConfig
+from zonecast.functions.skew import key_counts, spread_join
 from zonecast.functions.timefns import (
     day_of_week,
     hour_floor,
@@ -62,27 +63,36 @@ def engineer_features(history: DataFrame, cfg: DatasetConfig) -> DataFrame:
     return add_calendar(rows.na.drop(subset=cfg.lag_columns + cfg.rolling_columns))
 
 
-def flag_requests(requests: DataFrame, universe: DataFrame, start: datetime, end: Column) -> DataFrame:
-    """Adds ``reason``: NULL when a request can be served; the zone is checked first.
+CELL_KEYS = ("zone_id", "hour", "on_hour")
 
-    Instants with a zone are turned into naive UTC and never truncated: a request off
-    the hour is legal but finds no history.
+
+def with_cells(requests: DataFrame) -> DataFrame:
+    """Requests with naive UTC ``hour_ts`` and their cell: zone, hour, and whether on the hour.
+
+    Everything known about a request at serving time depends on its cell alone.  Requests
+    are never truncated: one off the hour is legal but finds no history.
     """
-    known = universe.select("zone_id").distinct().withColumn("_known", F.lit(True))
-    ts = F.col("hour_ts")
+    hour = hour_floor("hour_ts")
     return (
         requests.withColumn("hour_ts", naive_utc("hour_ts"))
-        .join(known, "zone_id", "left")
-        .withColumn(
-            "reason",
-            F.when(F.col("_known").isNull(), F.lit("unsupported_zone")).when(
-                (ts < ts_lit(start)) | (ts >= end), F.lit("unsupported_timestamp")
-            ),
-        )
-        .drop("_known")
+        .withColumn("hour", hour)
+        .withColumn("on_hour", F.col("hour_ts") == F.col("hour"))
     )
 
 
+def flag_cells(cells: DataFrame, universe: DataFrame, start: datetime, end: Column) -> DataFrame:
+    """Adds ``reason``: NULL when a cell can be served; the zone is checked first.
+
+    Bounds are whole hours, so all requests of a cell are on the same side of them.
+    """
+    if (start.minute, start.second, start.microsecond) != (0, 0, 0):
+        raise ValueError(f"the supported range must start on the hour, not at {start}")
+    known = universe.select("zone_id").distinct().withColumn("_known", F.lit(True))
+    outside = F.col("hour").isNull() | (F.col("hour") < ts_lit(start)) | (F.col("hour") >= end)
+    reason = F.when(F.col("_known").isNull(), F.lit("unsupported_zone")).when(outside, F.lit("unsupported_timestamp"))
+    return cells.join(known, "zone_id", "left").withColumn("reason", reason).drop("_known")
+
+
 def supported_end(history: DataFrame) -> Column:
     """Exclusive end of the servable range, one hour after the last history row."""
     return history.agg((F.max("hour_ts") + hours(1)).alias("e")).scalar()
@@ -111,11 +121,10 @@ def _window_features(keys: DataFrame, history: DataFrame, cfg: DatasetConfig) ->
     Keys join the history as rows without a count; frames count hours, not rows, so
     gaps in the history are seen as gaps.
     """
-    on_hour = keys.where(F.col("hour_ts") == hour_floor("hour_ts"))
     rows = (
         history.select("zone_id", "hour_ts", "trip_count", F.lit(False).alias("asked"))
         .unionByName(
-            on_hour.select("zone_id", "hour_ts", F.lit(None).cast("bigint").alias("trip_count"), F.lit(True).alias("asked"))
+            keys.select("zone_id", "hour_ts", F.lit(None).cast("bigint").alias("trip_count"), F.lit(True).alias("asked"))
         )
         .repartition("zone_id")
         .groupBy("zone_id", "hour_ts")
@@ -129,6 +138,28 @@ def _window_features(keys: DataFrame, history: DataFrame, cfg: DatasetConfig) ->
     return rows.withColumns(cols).where("asked").drop("asked", "h", "trip_count")
 
 
+def cell_features(
+    cells: DataFrame,
+    history: DataFrame,
+    cfg: DatasetConfig,
+    universe: DataFrame | None = None,
+    bulk: bool = False,
+) -> DataFrame:
+    """Cells with ``reason`` and features; those of rejected cells are NULL.
+
+    Missing lags count as 0.0 and the trailing mean is over the hours that exist.
+    """
+    flagged = flag_cells(cells, history if universe is None else universe, cfg.split.train_start, supported_end(history))
+    served = F.col("reason").isNull()
+    keys = flagged.where(served & F.col("on_hour")).select("zone_id", F.col("hour").alias("hour_ts"))
+    found = (_window_features if bulk else _probe_features)(keys, history, cfg)
+    found = found.withColumnRenamed("hour_ts", "hour").withColumn("on_hour", F.lit(True))
+    out = add_calendar(flagged.join(found, list(CELL_KEYS), "left"), "hour")
+    calendar = {c: F.when(served, F.col(c)) for c in ("hour_of_day", "day_of_week", "is_weekend", "month")}
+    measured = {c: F.when(served, F.coalesce(c, F.lit(0.0))) for c in cfg.lag_columns + cfg.rolling_columns}
+    return out.withColumns({**calendar, **measured})
+
+
 def serve_features(
     requests: DataFrame,
     history: DataFrame,
@@ -138,27 +169,13 @@ def serve_features(
 ) -> DataFrame:
     """Features at request time; rejected requests keep NULL features and a ``reason``.
 
-    Missing lags count as 0.0 and the trailing mean is over the hours that exist.
-    Requests for the same zone and hour are looked up once, so a hot key costs one
-    look-up.  ``bulk`` swaps point look-ups for one pass over the history: better when
-    requests cover much of it.
+    Requests are collapsed to cells, so a hot zone and hour costs one look-up, and the
+    join back spreads hot cells.  ``bulk`` swaps point look-ups for one pass over the
+    history: better when requests cover much of it.  Reads ``requests`` twice.
     """
-    flagged = flag_requests(
-        requests,
-        history if universe is None else universe,
-        cfg.split.train_start,
-        supported_end(history),
-    )
-    keys = flagged.where(F.col("reason").isNull()).select("zone_id", "hour_ts").distinct()
-    feats = (_window_features if bulk else _probe_features)(keys, history, cfg)
-    measured = cfg.lag_columns + cfg.rolling_columns
-    served = F.col("reason").isNull()
-    out = add_calendar(flagged.join(feats, ["zone_id", "hour_ts"], "left"))
-    for c in ("hour_of_day", "day_of_week", "is_weekend", "month"):
-        out = out.withColumn(c, F.when(served, F.col(c)))
-    for c in measured:
-        out = out.withColumn(c, F.when(served, F.coalesce(c, F.lit(0.0))))
-    return out
+    rows = with_cells(requests)
+    cells = cell_features(key_counts(rows, CELL_KEYS), history, cfg, universe, bulk)
+    return spread_join(rows, cells, CELL_KEYS).drop("hour", "on_hour")
 
 
 def require_schema(columns: Sequence[str], expected: Sequence[str] = FEATURES) -> None:

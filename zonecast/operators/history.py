@@ -155,10 +155,12 @@ def hour_gaps(history: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Hours of the calendar that a zone lacks.
 
     Gaps are the holes between neighbouring rows of a zone, so the expected grid is
-    never built and joined back.  Neighbours come from distinct hours.
+    never built and joined back.  Neighbours come from distinct hours.  The partition
+    count is fixed because a short row can stand for a long gap.
     """
     first, last = ts_lit(start), ts_lit(end - timedelta(hours=1))
     present = history.select("zone_id", "hour_ts").distinct()
+    present = present.repartition(shuffle_partitions(history.sparkSession), "zone_id")
     zone = Window.partitionBy("zone_id").orderBy("hour_ts")
     prev, nxt = F.lag("hour_ts").over(zone), F.lead("hour_ts").over(zone)
     holes = present.select(

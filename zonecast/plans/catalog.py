@@ -123,10 +123,15 @@ def split_rows(spark, sf):
     return splits.split_from_config(materialize(feature_rows(spark, sf), "features"), CONFIG)
 
 
+def both_baselines(train: DataFrame, test: DataFrame) -> DataFrame:
+    slots = materialize(baselines.fit_slot_means(train), "slots")
+    return baselines.predict_seasonal_naive(baselines.predict_slot_means(test, slots))
+
+
 def predicted(spark, sf):
     """Both baselines on the test split."""
     train, _, test = split_rows(spark, sf)
-    return baselines.predict_seasonal_naive(baselines.predict_slot_means(test, baselines.fit_slot_means(train)))
+    return both_baselines(train, test)
 
 
 def requests(spark, sf):
@@ -202,7 +207,7 @@ def submitted_actuals(feats: DataFrame) -> DataFrame:
 def log_and_actuals(spark, sf):
     feats = materialize(feature_rows(spark, sf), "features")
     train, _, test = splits.split_from_config(feats, CONFIG)
-    preds = baselines.predict_seasonal_naive(baselines.predict_slot_means(test, baselines.fit_slot_means(train)))
+    preds = both_baselines(train, test)
     return materialize(prediction_log(preds), "prediction-log"), submitted_actuals(feats)
 
 

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.config import DatasetConfig
-from zonecast.operators.contracts import enforce, feature_contract, history_contract
+from zonecast.operators.contracts import (
+    Contract,
+    coerce,
+    contract_report,
+    feature_contract,
+    history_contract,
+    raise_on_violations,
+)
 from zonecast.operators.features import engineer_features
-from zonecast.session import use_utc
+from zonecast.session import publish, use_utc
 from zonecast.sources.registry import read_history
 from zonecast.sources.sinks import write_history, write_table, write_universe
 
 
+def _store_checked(df: DataFrame, contract: Contract, out: str, writer) -> str:
+    """Writes once to a staging folder, checks what was written, then publishes it."""
+    spark = df.sparkSession
+    staged = writer(coerce(df, contract), f"{out}/staged/{contract.name}")
+    raise_on_violations(contract_report(spark.read.parquet(staged), contract), contract.name)
+    return publish(spark, staged, f"{out}/{contract.name}")
+
+
 def prepare(spark: SparkSession, root: str, out: str, cfg: DatasetConfig) -> dict[str, str]:
     """Builds, checks and stores the tables of a dataset; returns their paths.
 
@@ -21,12 +36,8 @@ def prepare(spark: SparkSession, root: str, out: str, cfg: DatasetConfig) -> dic
     """
     use_utc(spark)
     out = out.rstrip("/")
-    staged = write_history(read_history(spark, root, cfg), f"{out}/staged/history")
-    history = enforce(spark.read.parquet(staged), history_contract())
-    paths = {"history": write_history(history, f"{out}/history")}
-    stored = spark.read.parquet(paths["history"])
-    paths["universe"] = write_universe(stored, f"{out}/universe", cfg.name)
-    staged = write_table(engineer_features(stored, cfg), f"{out}/staged/features")
-    features = enforce(spark.read.parquet(staged), feature_contract())
-    paths["features"] = write_table(features, f"{out}/features")
+    paths = {"history": _store_checked(read_history(spark, root, cfg), history_contract(), out, write_history)}
+    history = spark.read.parquet(paths["history"])
+    paths["universe"] = write_universe(history, f"{out}/universe", cfg.name)
+    paths["features"] = _store_checked(engineer_features(history, cfg), feature_contract(), out, write_table)
     return paths
