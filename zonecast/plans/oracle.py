@@ -311,7 +311,7 @@ _SERVED = f"""
     SELECT request_id, zone_id, hour_ts, reason,
            CASE WHEN reason IS NULL THEN extract(hour FROM hour_ts) END AS hour_of_day,
            CASE WHEN reason IS NULL THEN isodow(hour_ts) - 1 END AS day_of_week,
-           CASE WHEN reason IS NULL THEN CASE WHEN isodow(hour_ts) >= 6 THEN 1 ELSE 0 END END AS is_weekend,
+           CASE WHEN reason IS NULL THEN CAST(isodow(hour_ts) >= 6 AS BIGINT) END AS is_weekend,
            CASE WHEN reason IS NULL THEN extract(month FROM hour_ts) END AS month,
            CASE WHEN reason IS NULL THEN coalesce(w1, 0) END AS lag_1h,
            CASE WHEN reason IS NULL THEN coalesce(w24, 0) END AS lag_24h,
