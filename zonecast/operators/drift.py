@@ -46,21 +46,25 @@ def reference_sample(
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = CONTINUOUS) -> DataFrame:
-    """``(f1, f2, corr)`` for all pairs, from one aggregate.
+    """``(f1, f2, corr)`` for all pairs.
 
-    Constant columns have correlation 0 with everything, themselves included, so the
-    diagonal tells which columns are valid.
+    Means first, then sums of products of centred values: exact on constant columns and
+    small enough to stay compiled, unlike a covariance aggregate per pair.  Reads ``df``
+    twice.  Constant columns have correlation 0 with everything, themselves included, so
+    the diagonal tells which columns are valid.
     """
-    upper = list(combinations(features, 2))
-    moments = [f"var_pop(CAST({c} AS DOUBLE)) AS v_{c}" for c in features]
-    moments += [f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c_{a}_{b}" for a, b in upper]
-    cells = [f"struct('{c}' AS f1, '{c}' AS f2, v_{c} AS cov, v_{c} AS v1, v_{c} AS v2)" for c in features]
-    cells += [f"struct('{a}' AS f1, '{b}' AS f2, c_{a}_{b} AS cov, v_{a} AS v1, v_{b} AS v2)" for a, b in upper]
-    corr = (
-        "CASE WHEN v1 > 0 AND v2 > 0 THEN IF(f1 = f2, 1.0D, cov / sqrt(v1 * v2)) ELSE 0.0D END AS corr"
+    upper = [(c, c) for c in features] + list(combinations(features, 2))
+    facts = ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS {c}, min({c}) < max({c}) AS varies_{c}" for c in features
     )
+    centre = df.agg(F.expr(f"struct({facts})").alias("m")).scalar()
+    centred = df.withColumn("_m", centre).selectExpr(
+        *[f"IF(_m.varies_{c}, CAST({c} AS DOUBLE) - _m.{c}, 0D) AS {c}" for c in features]
+    )
+    wide = centred.agg(*[F.expr(f"sum({a} * {b})").alias(f"s_{a}__{b}") for a, b in upper])
+    cells = [f"struct('{a}' AS f1, '{b}' AS f2, s_{a}__{b} AS s, s_{a}__{a} AS v1, s_{b}__{b} AS v2)" for a, b in upper]
+    corr = "CASE WHEN v1 > 0 AND v2 > 0 THEN IF(f1 = f2, 1.0D, s / sqrt(v1 * v2)) ELSE 0.0D END AS corr"
     mirrored = "array_compact(array(struct(f1, f2, corr), IF(f1 = f2, NULL, struct(f2 AS f1, f1 AS f2, corr))))"
-    wide = df.agg(*[F.expr(m) for m in moments])
     return (
         wide.selectExpr(f"inline(array({', '.join(cells)}))")
         .selectExpr("f1", "f2", corr)

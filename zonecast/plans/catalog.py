@@ -118,9 +118,14 @@ def feature_rows(spark, sf):
     return features.engineer_features(full_history(spark, sf), CONFIG)
 
 
+def stored_features(spark, sf):
+    """Model columns and zone name, stored because several branches read them."""
+    rows = feature_rows(spark, sf).select("zone_name", "hour_ts", TARGET, *FEATURES)
+    return materialize(rows, "features")
+
+
 def split_rows(spark, sf):
-    """Stored features, split; stored because several branches read them."""
-    return splits.split_from_config(materialize(feature_rows(spark, sf), "features"), CONFIG)
+    return splits.split_from_config(stored_features(spark, sf), CONFIG)
 
 
 def both_baselines(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -205,7 +210,7 @@ def submitted_actuals(feats: DataFrame) -> DataFrame:
 
 
 def log_and_actuals(spark, sf):
-    feats = materialize(feature_rows(spark, sf), "features")
+    feats = stored_features(spark, sf)
     train, _, test = splits.split_from_config(feats, CONFIG)
     preds = both_baselines(train, test)
     return materialize(prediction_log(preds), "prediction-log"), submitted_actuals(feats)
@@ -781,7 +786,7 @@ def zip_trips(spark, sf):
 
 
 def _fitted(spark, sf, *names):
-    feats = materialize(feature_rows(spark, sf), "features")
+    feats = stored_features(spark, sf)
     train, val, test = splits.split_from_config(feats, CONFIG)
     models = {}
     for n in names:
