@@ -13,7 +13,7 @@ from zonecast.operators.checks import extreme_predictions
 from zonecast.operators.features import serve_features
 from zonecast.plans import catalog as C
 from zonecast.plans.prepare import prepare
-from zonecast.session import materialize, scratch_root
+from zonecast.session import clear_stages, materialize, path_exists, scratch_root
 from zonecast.sources import register_source
 
 SF = "/root/testdata/sf0.001"
@@ -58,6 +58,14 @@ def test_stages_land_in_the_shared_folder(spark, history):
     assert "PushedFilters: [IsNotNull(zone_id), EqualTo(zone_id,1)]" in plan(stored.where("zone_id = 1"))
 
 
+def test_stages_can_be_cleared(spark, history):
+    stored = materialize(history.limit(5), "probe")
+    (path, *_) = stored.inputFiles()
+    assert path_exists(spark, path)
+    assert clear_stages(spark) >= 1 and not path_exists(spark, path)
+    assert clear_stages(spark) == 0
+
+
 def test_prepare_stores_checked_tables(spark, history, tmp_path):
     register_source("taxi_fixture")(lambda spark_, root, cfg: history)
     cfg = preset("taxi").with_(name="taxi_fixture")

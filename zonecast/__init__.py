@@ -6,6 +6,6 @@ public function takes and returns DataFrames.
 """
 
 from zonecast.config import DatasetConfig, load_config, preset
-from zonecast.session import materialize, use_utc
+from zonecast.session import clear_stages, materialize, use_utc
 
-__all__ = ["DatasetConfig", "load_config", "materialize", "preset", "use_utc"]
+__all__ = ["DatasetConfig", "clear_stages", "load_config", "materialize", "preset", "use_utc"]

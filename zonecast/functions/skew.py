@@ -24,7 +24,8 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: str =
     The at most ``HOT_SHARE`` hot keys are broadcast.  Their rows then carry a salt that
     matches nothing and spreads them evenly over the shuffle of the remaining keys.
     Adaptive skew handling cannot do this: it leaves a join alone when one side is an
-    aggregate over its shuffle.  NULL keys match NULL keys.
+    aggregate over its shuffle.  NULL keys match NULL keys.  Reads ``right`` three times:
+    pass a stored table.
     """
     values = [c for c in right.columns if c not in (*keys, n)]
     total = right.agg(F.sum(n).alias("total")).scalar()

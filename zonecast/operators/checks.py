@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonecast.config import TARGET
 from zonecast.functions.ordered import floor_rank, order_statistics, single
 from zonecast.functions.skew import key_counts, spread_join
+from zonecast.session import materialize
 
 
 def zone_means(history: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def extreme_predictions(preds: DataFrame, history: DataFrame, multiplier: float
     ``preds`` carries ``zone_id`` and ``predicted_count``.
     """
     peaks = history.groupBy("zone_id").agg(F.max(TARGET).alias("max_seen"))
-    per_zone = key_counts(preds, ["zone_id"]).join(peaks, "zone_id")
+    per_zone = materialize(key_counts(preds, ["zone_id"]).join(peaks, "zone_id"), "peaks")
     return spread_join(preds, per_zone, ["zone_id"]).where(
         (F.col("max_seen") > 0) & (F.col("predicted_count") > F.col("max_seen") * F.lit(float(multiplier)))
     )

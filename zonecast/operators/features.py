@@ -21,6 +21,7 @@ from zonecast.functions.timefns import (
     naive_utc,
     ts_lit,
 )
+from zonecast.session import materialize
 
 
 def add_calendar(df: DataFrame, ts: str = "hour_ts") -> DataFrame:
@@ -171,10 +172,11 @@ def serve_features(
 
     Requests are collapsed to cells, so a hot zone and hour costs one look-up, and the
     join back spreads hot cells.  ``bulk`` swaps point look-ups for one pass over the
-    history: better when requests cover much of it.  Reads ``requests`` twice.
+    history: better when requests cover much of it.  Reads ``requests`` twice and stores
+    the cells in between.
     """
     rows = with_cells(requests)
-    cells = cell_features(key_counts(rows, CELL_KEYS), history, cfg, universe, bulk)
+    cells = materialize(cell_features(key_counts(rows, CELL_KEYS), history, cfg, universe, bulk), "cells")
     return spread_join(rows, cells, CELL_KEYS).drop("hour", "on_hour")
 
 

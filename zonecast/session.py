@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_stages: list[str] = []
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """All timestamps are naive UTC; truncation goes through the session zone."""
@@ -43,10 +45,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stages(spark: SparkSession) -> int:
+    """Deletes the intermediate tables this process stored; call it when their readers are done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    count = len(_stages)
+    while _stages:
+        target = path(_stages.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return count
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether a path (or ``*`` pattern) exists on any Hadoop file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
