@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, idstore, packing, sharding, topk
+from . import bpe, classifier, idstore, lines, mixing, neardup, packing, passages, sharding, topk
 
 QUERIES = {
     "op1_bpe": bpe.query,
+    "op2_mixing": mixing.query,
     "op3_token_store": idstore.query,
+    "op4_near_duplicates": neardup.query,
     "op5_pivot_topk": topk.query,
+    "op6_line_rules": lines.query,
     "op7_best_fit": packing.query,
+    "op8_classifier": classifier.query,
+    "op9_passages": passages.query,
     "op10_sharding": sharding.query,
 }
 

@@ -163,3 +163,8 @@ def sequences(docs: DataFrame, capacity: Capacity = Capacity(), path: str | None
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     return sequences(documents(spark, sf_dir)).select(*columns)
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places, ids included: the training sequences."""
+    return sequences(docs, with_ids=True)
