@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from zonecast.llm import classifier, lines, neardup, packing, passages
 from zonecast.llm.common import new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", classifier.stage),
+    ("quality rules", lines.stage),
+    ("near duplicates", neardup.stage),
+    ("repeated passages", passages.stage),
+    ("packing", packing.stage),
+]
 
 #: No stage before the last can be said in SQL; tests/llm hold each against brute force.
 ORACLE_SQL = None
