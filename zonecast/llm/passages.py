@@ -114,14 +114,16 @@ class _Chain:
         return self.left + self.right >= MIN_WORDS and self.right >= GRAM
 
 
-_COLUMNS = ("d", "th", "pos", "start", "end", "source", "part", "side", "ahead", "behind")
+_COLUMNS = ("d", "th", "pos", "start", "end", "source", "part", "side", "ahead", "behind", "chain")
 _REPEAT = "d bigint, th bigint, pos bigint, start bigint, end bigint, source bigint"
-_EDGE = "part int, side int, ahead binary, behind binary"
+#: chain: the first occurrence of the chain at this edge (d, th, pos), the words to the left and right in which all suffixes between it and
+#: the edge agree, those in which all of the range do, and whether one chain is the whole range.
+_EDGE = "part int, side int, ahead binary, behind binary, chain array<bigint>"
 
 
 def _table(rows: list[tuple], edges: list[tuple] = ()) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 6 + [pa.int32()] * 2 + [pa.binary()] * 2
-    cols = list(zip(*[(*r, *[None] * 4) for r in rows], *[(*e[:3], *[None] * 3, *e[3:]) for e in edges])) or [()] * 10
+    kinds = [pa.int64()] * 6 + [pa.int32()] * 2 + [pa.binary()] * 2 + [pa.list_(pa.int64())]
+    cols = list(zip(*[(*r, *[None] * 5) for r in rows], *[(*e[:3], *[None] * 3, *e[3:]) for e in edges])) or [()] * 11
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=list(_COLUMNS))
 
 
@@ -137,14 +139,23 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     part = TaskContext.get().partitionId()
     first = held = None  # held: the last row, which still waits for its next neighbour
     before = (None, 0, 0)  # key of the row before it, if they match, and the match
-    chain = _Chain(())
+    chain, whole_chain, chains = _Chain(()), _Chain(()), 0
+    first_least: tuple = ()
 
     def settle(row: tuple, before: tuple, after: tuple) -> Iterator[tuple]:
+        nonlocal chains, first_least
         key, left, right, source = row[2:5], 0, 0, None
         if before[0] is None:
+            chains += 1
             chain.restart(key)
+            whole_chain.restart(key)
+            if chains == 1:
+                first_least = (*key, LEFT, RIGHT)
         else:
             whole = chain.follow(before[1], before[2])
+            whole_chain.follow(before[1], before[2])
+            if chains == 1 and key < first_least[:3]:
+                first_least = (*key, whole_chain.left, whole_chain.right)
             if before[0] < key:
                 left, right, source = before[1], before[2], before[0][0]
             if key < chain.least:
@@ -172,19 +183,36 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         held = rows[-1]
         yield _table(out)
     if held:
-        yield _table(list(settle(held, before, (None, 0, 0))), [(*r[2:5], part, side, *r[:2]) for side, r in enumerate((first, held))])
+        out = list(settle(held, before, (None, 0, 0)))
+        rest = (whole_chain.left, whole_chain.right, int(chains == 1))
+        last_least = (*chain.least, chain.left, chain.right)
+        yield _table(out, [(*r[2:5], part, side, *r[:2], [*least, *rest]) for side, r, least in ((0, first, first_least), (1, held, last_least))])
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats at the borders of ranges: the last suffix of each against the first of the next."""
     edges = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["part"], r["side"]))
     rows = [tuple(r[c] for c in ("ahead", "behind", "d", "th", "pos")) for r in edges]
-    out = []
-    for a, b in zip(rows[1::2], rows[2::2]):
-        (hit,), (left,), (right,) = _match([a, b])
-        if hit and a[2:] != b[2:]:
-            source, later = sorted((a[2:], b[2:]))
+    out: list[tuple] = []
+
+    def repeat(a: tuple, b: tuple, left: int, right: int) -> None:
+        if a != b and left + right >= MIN_WORDS and right >= GRAM:
+            source, later = sorted((a, b))
             out.append((*later, later[2] - left, later[2] + right, source[0]))
+
+    carried: tuple | None = None  # the first occurrence of the chain that reaches the border, and the agreement from it to there
+    for k in range(0, len(edges), 2):
+        first, last = edges[k]["chain"], tuple(edges[k + 1]["chain"][:5])
+        whole = first[5:7] if first[7] else None
+        if carried:
+            (hit,), (x,), (y,) = _match([rows[k - 1], rows[k]])
+            if hit:
+                repeat(rows[k - 1][2:], rows[k][2:], x, y)
+                left, right = min(carried[3], x), min(carried[4], y)
+                repeat(carried[:3], tuple(first[:3]), min(left, first[3]), min(right, first[4]))
+                if whole and carried[:3] < last[:3]:
+                    last = (*carried[:3], min(left, whole[0]), min(right, whole[1]))
+        carried = last
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*out)) or [()] * 6)], names=list(_COLUMNS[:6]))
 
 
