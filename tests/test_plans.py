@@ -139,3 +139,9 @@ def test_hot_zone_in_extreme_predictions(spark, history, no_coalescing):
     peaks = {r[0]: r[1] for r in history.groupBy("zone_id").agg(F.max("trip_count")).collect()}
     got = {r["request_id"] for r in extreme_predictions(preds, history).collect()}
     assert got == {r["request_id"] for r in preds.collect() if r["predicted_count"] > 5 * peaks[r["zone_id"]]}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from zonecast.session import is_local
+
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,512]") and not is_local("spark://x:7077")

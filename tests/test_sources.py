@@ -221,3 +221,32 @@ def test_text_and_time_columns(spark):
     assert row["s"] == datetime(2024, 2, 29, 23, 59, 59) and row["m"] == datetime(2024, 2, 29, 23, 59)
     assert row["h"] == datetime(2024, 2, 29, 23)
     assert row["p"] == "2c70e12b7a0646f92279f427c7b38e7334d8e5389cff167a1dc30e73f826b683"
+
+
+def test_files_with_another_column_order_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("started_at,start_station_name,start_station_id\n2024-01-01 00:00:01,North,11.5\n")
+    (tmp_path / "b.csv").write_text("start_station_id,started_at,start_station_name\n22.25,2024-01-01 00:00:02,South\n")
+    rows = bikes.read_member_csv(spark, [f"{tmp_path}/*.csv"]).collect()
+    assert {(r["start_station_name"], r["start_station_id"]) for r in rows} == {("North", "11.5"), ("South", "22.25")}
+
+
+def test_a_row_of_another_width_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("started_at,start_station_name,start_station_id\n2024-01-01 00:00:01,North\n")
+    with pytest.raises(Exception, match="[Mm]alformed|MALFORMED"):
+        bikes.read_member_csv(spark, [f"{tmp_path}/a.csv"]).collect()
+
+
+def test_a_month_without_known_files_raises():
+    with pytest.raises(FileNotFoundError, match="2024-03"):
+        bikes.tfl_files(("2024-02", "2024-03"))
+
+
+def test_members_of_equal_name_and_companion_files(spark, tmp_path):
+    import zipfile
+
+    head = "started_at,start_station_name,start_station_id\n"
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("one/trips.csv", head + "2024-01-01 00:00:01,North,11.5\n")
+        z.writestr("two/trips.csv", head + "2024-01-01 00:00:02,South,22.25\n")
+        z.writestr("__MACOSX/one/._trips.csv", "no table")
+    assert bikes.read_member_zip(spark, [f"{tmp_path}/x.zip"]).count() == 2

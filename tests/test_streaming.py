@@ -99,3 +99,23 @@ def test_drift_buffer_rolls_over_batches(spark, tmp_path):
     assert last == set(range(150, 300))
     report = spark.read.parquet(str(tmp_path / "rep"))
     assert {(r["batch"], r["n_cur"]) for r in report.select("batch", "n_cur").distinct().collect()} == {(0, 100), (1, 150), (2, 150)}
+
+
+def test_open_hours_are_there_in_update_mode(spark, tmp_path):
+    rows = [(z, START + timedelta(minutes=11 * i), float(i), 1.0) for i in range(120) for z in (1, 2)]
+    stream = J.hourly_stream(follow(spark, tmp_path, [rows[:90], rows[90:]], TRIPS))
+    out = J.run_latest(stream, ["zone_id", "hour_ts"], str(tmp_path / "latest"), str(tmp_path / "latest-checkpoint"))
+    batch = hourly_demand(spark.createDataFrame(rows, TRIPS)).select(out.columns)
+    assert out.count() == batch.count() and out.exceptAll(batch).isEmpty()
+
+
+def test_creation_time_is_that_of_the_batch(spark):
+    import time
+
+    from zonecast.operators.quality import log_entries
+
+    scored = spark.createDataFrame([(1, START, 2.0)], "zone_id bigint, hour_ts timestamp_ntz, predicted_count double")
+    entries = log_entries(scored)
+    first = entries.first()["created_at"]
+    time.sleep(0.01)
+    assert entries.first()["created_at"] > first

@@ -18,14 +18,10 @@ def _earliest() -> Column:
     return F.struct("first_ts", "zone_name")
 
 
-def valid_trips(
-    trips: DataFrame,
-    start: datetime,
-    end: datetime,
-    min_zone: int = 1,
-    max_zone: int | None = None,
-) -> DataFrame:
-    """Trips with a known zone, both times and non-negative measures, inside ``[start, end)``.
+def is_valid_trip(
+    start: datetime, end: datetime, min_zone: int = 1, max_zone: int | None = None, has_end: bool = False
+) -> Column:
+    """A known zone, both times and non-negative measures, inside ``[start, end)``.
 
     Plain comparisons on scan columns, so all of them push down to Parquet.
     """
@@ -39,9 +35,20 @@ def valid_trips(
     )
     if max_zone is not None:
         keep &= F.col("zone_id") <= max_zone
-    if "end_ts" in trips.columns:
+    if has_end:
         keep &= F.col("end_ts").isNotNull()
-    return trips.where(keep)
+    return keep
+
+
+def valid_trips(
+    trips: DataFrame,
+    start: datetime,
+    end: datetime,
+    min_zone: int = 1,
+    max_zone: int | None = None,
+) -> DataFrame:
+    """The trips for which :func:`is_valid_trip` holds."""
+    return trips.where(is_valid_trip(start, end, min_zone, max_zone, "end_ts" in trips.columns))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

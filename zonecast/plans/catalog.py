@@ -7,7 +7,6 @@ requests; ``customer`` is the zone lookup.  All queries read whole tables.
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Callable
 from datetime import datetime
@@ -35,7 +34,7 @@ from zonecast.operators import (
     usage,
 )
 from zonecast.plans import learn, marts, monitor
-from zonecast.session import materialize, scratch_root, use_utc
+from zonecast.session import materialize, stage_path, use_utc
 from zonecast.sources import bikes, sinks
 from zonecast.streaming import jobs
 
@@ -271,11 +270,8 @@ def history_status(spark, sf):
 def audit_counts(spark, sf):
     """Row counts before and after the trip filter, from one pass."""
     raw = raw_trips(spark, sf)
-    kept = history.valid_trips(raw, CONFIG.start, CONFIG.end).select("event_id", F.lit(1).alias("kept"))
-    seen = raw.select("event_id", F.lit(0).alias("kept"))
-    return seen.unionByName(kept).agg(
-        F.count_if(F.col("kept") == 0).alias("raw_rows"), F.count_if(F.col("kept") == 1).alias("kept_rows")
-    )
+    kept = F.coalesce(history.is_valid_trip(CONFIG.start, CONFIG.end), F.lit(False))
+    return raw.agg(F.count("*").alias("raw_rows"), F.count_if(kept).alias("kept_rows"))
 
 
 # Features and splits ---------------------------------------------------------
@@ -403,7 +399,7 @@ def layered_checks(spark, sf):
 
 
 def _build_marts(spark, sf):
-    marts.build_marts(spark, raw_trips(spark, sf), f"{scratch_root(spark)}/marts-{uuid.uuid4().hex}", CONFIG)
+    marts.build_marts(spark, raw_trips(spark, sf), stage_path(spark, "marts"), CONFIG)
 
 
 @query
@@ -762,7 +758,7 @@ def _station_counts(trips_: DataFrame) -> DataFrame:
 @query
 def csv_trips(spark, sf):
     """Events written as bike-share CSV files and read back through the CSV source."""
-    path = f"{scratch_root(spark)}/csv-{uuid.uuid4().hex}"
+    path = stage_path(spark, "csv")
     _member_rows(spark, sf).write.option("header", True).option("quoteAll", True).csv(path)
     return _station_counts(bikes.citibike_trips(bikes.read_member_csv(spark, [path])))
 
@@ -828,16 +824,18 @@ def batch_score(spark, sf):
 # Streaming -------------------------------------------------------------------
 
 
-def _run_stream(spark, sf, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _run_stream(spark, sf, build: Callable[[DataFrame], DataFrame], keys: list[str] | None = None) -> DataFrame:
     # A pattern, because a plain path would have to be a folder.
     events = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/[e]vents.parquet")
-    root = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
+    root = stage_path(spark, "stream")
+    if keys:
+        return jobs.run_latest(build(events), keys, f"{root}/out", f"{root}/checkpoint")
     return jobs.run_available(build(events), f"{root}/out", f"{root}/checkpoint")
 
 
 @query
 def stream_hourly(spark, sf):
-    """Hours already closed by the watermark."""
+    """Every hour as it stands after the last batch, open ones too."""
 
     def build(events):
         rows = events.select(
@@ -845,12 +843,12 @@ def stream_hourly(spark, sf):
         )
         return jobs.hourly_stream(history.valid_trips(rows, CONFIG.start, CONFIG.end))
 
-    return rounded(_run_stream(spark, sf, build), "avg_fare", "avg_distance")
+    return rounded(_run_stream(spark, sf, build, ["zone_id", "hour_ts"]), "avg_fare", "avg_distance")
 
 
 @query
 def stream_usage(spark, sf):
-    """Days already closed by the watermark."""
+    """Every day as it stands after the last batch, open ones too."""
 
     def build(events):
         return jobs.usage_stream(
@@ -862,12 +860,12 @@ def stream_usage(spark, sf):
             )
         )
 
-    return _run_stream(spark, sf, build)
+    return _run_stream(spark, sf, build, ["client", "endpoint", "date"])
 
 
 def _stage_parts(df: DataFrame, name: str) -> str:
     """Stores rows as a table a stream can follow."""
-    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return path
 
@@ -879,7 +877,7 @@ def stream_log(spark, sf):
     train, _, _ = splits.split_from_config(features.engineer_features(hist, CONFIG), CONFIG)
     scored = scoring.score_requests(requests(spark, sf), hist, training.create_model("slot_mean").fit(train), CONFIG)
     source = _stage_parts(scored.select("zone_id", "hour_ts", "predicted_count"), "scored")
-    root = f"{scratch_root(spark)}/log-{uuid.uuid4().hex}"
+    root = stage_path(spark, "log")
     stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     jobs.prediction_log_stream(stream, f"{root}/out", f"{root}/checkpoint", AS_OF).awaitTermination()
     return rounded(spark.read.parquet(f"{root}/out"), "predicted_value").drop("prediction_id")
@@ -898,7 +896,7 @@ def stream_quality(spark, sf):
     tables = {"log": log.select("prediction_id", "predicted_value", "created_at"), "seen": seen}
     paths = {k: _stage_parts(v, k) for k, v in tables.items()}
     left, right = (spark.readStream.schema(tables[k].schema).parquet(paths[k]) for k in ("log", "seen"))
-    root = f"{scratch_root(spark)}/quality-{uuid.uuid4().hex}"
+    root = stage_path(spark, "quality")
     out = jobs.quality_stream(left, right, "2 days", "1 day", "1 day")
     return rounded(jobs.run_available(out, f"{root}/out", f"{root}/checkpoint"), "mae", "rmse", "smape")
 
@@ -921,7 +919,7 @@ def stream_drift(spark, sf):
     bins = materialize(drift.reference_bins(train), "bins")
     sample = materialize(drift.reference_sample(train), "sample")
     stream = spark.readStream.schema(test.schema).parquet(_stage_parts(test, "scored"))
-    root = f"{scratch_root(spark)}/drift-{uuid.uuid4().hex}"
+    root = stage_path(spark, "drift")
     jobs.drift_stream(
         stream,
         lambda rows: drift.feature_drift(bins, sample, rows, exact=False),

@@ -481,8 +481,8 @@ ORACLE = {
         "count(*) FILTER (WHERE target IS NULL) AS unmatched_count FROM resolved"
     ),
     "unmatched_actuals": sql(
-        "SELECT CASE WHEN prediction_id IS NOT NULL THEN 'prediction_id ' || prediction_id || ' not found' ELSE "
-        "'No prediction found for zone_id=' || zone_id || ', hour_ts=' || strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') END "
+        "SELECT CASE WHEN prediction_id IS NOT NULL THEN 'unknown prediction ' || prediction_id ELSE "
+        "'nothing predicted for zone ' || zone_id || ' at ' || strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') END "
         "AS warning, count(*) AS submissions FROM resolved WHERE target IS NULL GROUP BY 1"
     ),
     "quality_window": sql(
@@ -566,7 +566,7 @@ ORACLE = {
     "csv_trips": sql("SELECT zone_id, hour_ts, trip_count FROM station_hours"),
     "zip_trips": sql("SELECT zone_id, hour_ts, trip_count FROM station_hours"),
     "batch_score": sql(
-        """SELECT f.request_id, f.zone_id, coalesce(n.zone_name, 'Unknown Zone ' || f.zone_id) AS zone_name, f.hour_ts,
+        """SELECT f.request_id, f.zone_id, coalesce(n.zone_name, 'zone ' || f.zone_id || ' (no name)') AS zone_name, f.hour_ts,
                f.reason, CASE WHEN f.reason IS NULL THEN round(coalesce(s.slot_mean,
                    (SELECT coalesce(avg(trip_count), 0) FROM train)), 6) END AS predicted_count,
                'slot_mean' AS model_name, 'v1' AS model_version
@@ -596,10 +596,9 @@ ORACLE = {
     "stream_drift": sql("SELECT feature, psi, ks_statistic, ks_pvalue, verdict FROM verdicts"),
     "stream_hourly": sql(
         "SELECT zone_id, hour_ts, trip_count, round(avg_fare, 6) AS avg_fare, round(avg_distance, 6) AS avg_distance "
-        "FROM hourly WHERE hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips) - INTERVAL 2 HOUR"
+        "FROM hourly"
     ),
     "stream_usage": sql(
-        "SELECT client, endpoint, date, request_count, total_records FROM usage "
-        "WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+        "SELECT client, endpoint, date, request_count, total_records FROM usage"
     ),
 }

@@ -21,15 +21,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (a local session, a test) is a temporary folder used.
+    A cluster names it in ``spark.checkpoint.dir`` or by ``setCheckpointDir``.  Only a local
+    session without either uses a temporary folder; elsewhere executors would not see it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = spark.conf.get("spark.zonecast.scratch", None)
     if not local:
         local = tempfile.mkdtemp(prefix="zonecast-")
@@ -37,6 +44,13 @@ def scratch_root(spark: SparkSession) -> str:
     return local
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared one, which :func:`clear_stages` removes."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _stages.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -44,8 +58,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     loss of executors, and later scans still prune columns and push filters.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _stages.append(path)
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,8 +85,15 @@ def publish(spark: SparkSession, staged: str, final: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path
     source, target = path(staged), path(final)
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
     fs.mkdirs(target.getParent())
+    aside = path(f"{final.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot move {final} aside")
     if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
         raise OSError(f"cannot move {staged} to {final}")
+    if had:
+        fs.delete(aside, True)
     return final

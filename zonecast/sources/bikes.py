@@ -30,9 +30,45 @@ TFL_FILES = {
     ),
 }
 # Columns used from an archive member.
+TFL_COLUMNS = ("Start station number", "Start station", "Start date")
 MEMBER_COLUMNS = ("started_at", "start_station_name", "start_station_id")
 
-_CSV = {"header": True, "quote": '"', "escape": '"'}
+_CSV = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": False}
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    first = spark.read.options(header=True, quote='"', escape='"').csv(path)
+    return tuple(first.columns)
+
+
+def _expanded(spark: SparkSession, pattern: str) -> list[str]:
+    """Files of a path or pattern, on any file system that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def read_named_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multiline: bool = False) -> DataFrame:
+    """``columns`` of several CSV files as text, by name.
+
+    Files are grouped by their header line, so one with another order of columns is read by its own.  A file without
+    a wanted column, or a row with a different number of fields than its header, raises.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in (f for p in paths for f in _expanded(spark, p)):
+        groups.setdefault(_header(spark, path), []).append(path)
+    out = None
+    for header, files in groups.items():
+        absent = [c for c in columns if c not in header]
+        if absent:
+            raise ValueError(f"no column {absent} in {files}")
+        schema = ", ".join(f"`{c}` string" for c in header)
+        # All fields are parsed (no pruning), or a short row would go unseen.
+        rows = spark.read.options(**_CSV, multiLine=multiline, columnPruning=False).schema(schema).csv(files).select(*[f"`{c}`" for c in columns])
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"no files at {list(paths)}")
+    return out
 
 
 def require_files(spark: SparkSession, root: str, expected: Sequence[str]) -> None:
@@ -43,7 +79,10 @@ def require_files(spark: SparkSession, root: str, expected: Sequence[str]) -> No
 
 
 def tfl_files(months: Sequence[str]) -> list[str]:
-    return [f for m in months for f in TFL_FILES.get(m, ())]
+    unknown = [m for m in months if m not in TFL_FILES]
+    if unknown:
+        raise FileNotFoundError(f"no extract files are known for {unknown}")
+    return [f for m in months for f in TFL_FILES[m]]
 
 
 def read_tfl_trips(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
@@ -51,7 +90,7 @@ def read_tfl_trips(spark: SparkSession, paths: Sequence[str], multiline: bool =
 
     ``multiline`` accepts line breaks inside quotes, at the price of one task per file.
     """
-    raw = spark.read.options(**_CSV, multiLine=multiline).csv(list(paths))
+    raw = read_named_csv(spark, paths, TFL_COLUMNS, multiline)
     return (
         raw.select(
             F.col("Start station number").cast("bigint").alias("zone_id"),
@@ -68,8 +107,7 @@ def citibike_patterns(months: Sequence[str]) -> list[str]:
 
 def read_member_csv(spark: SparkSession, paths: Sequence[str], multiline: bool = False) -> DataFrame:
     """Extracted CSV members as text columns."""
-    raw = spark.read.options(**_CSV, multiLine=multiline).csv(list(paths))
-    return raw.select(*MEMBER_COLUMNS)
+    return read_named_csv(spark, paths, MEMBER_COLUMNS, multiline)
 
 
 def read_member_zip(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -81,8 +119,9 @@ def unzip_members(archives: DataFrame, chunk: int = 50_000) -> DataFrame:
     """Every ``*.csv`` member (any case, any folder) of a ``content`` column as text columns.
 
     An archive cannot be split, so it is one task; its members are decompressed as a
-    stream and leave the task in chunks.  A member name seen twice in an archive is
-    read once.
+    stream and leave the task in chunks.  Companion files of an archiver (``__MACOSX``
+    folders, names that start with ``._``) are no data; a member that repeats another's name and
+    content is read once, one of that name with other content is read, too.
     """
     columns = list(MEMBER_COLUMNS)
 
@@ -92,10 +131,12 @@ def unzip_members(archives: DataFrame, chunk: int = 50_000) -> DataFrame:
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     done = set()
                     for info in archive.infolist():
-                        base = info.filename.rsplit("/", 1)[-1]
-                        if info.file_size == 0 or not base.lower().endswith(".csv") or base in done:
+                        *folders, base = info.filename.split("/")
+                        companion = base.startswith("._") or "__MACOSX" in folders
+                        same = (base, info.CRC, info.file_size)
+                        if info.file_size == 0 or companion or not base.lower().endswith(".csv") or same in done:
                             continue
-                        done.add(base)
+                        done.add(same)
                         with archive.open(info) as member:
                             parts = pd.read_csv(
                                 member,
@@ -126,7 +167,8 @@ def citibike_trips(members: DataFrame, audit: Observation | None = None) -> Data
     )
 
 
-def require_trips(trips: DataFrame) -> None:
-    """A source whose rows were all filtered out is an error, not an empty grid."""
+def require_trips(trips: DataFrame, members: DataFrame | None = None) -> None:
+    """A source whose rows were all filtered out is an error, not an empty grid; ``members`` tells how many there were."""
     if trips.isEmpty():
-        raise ValueError("all rows were filtered out (no usable station ids); cannot build a grid")
+        count = "" if members is None else f" {members.count()}"
+        raise ValueError(f"all{count} rows were filtered out (no usable station ids); cannot build a grid")

@@ -45,10 +45,8 @@ def taxi_history(spark: SparkSession, root: str, cfg: DatasetConfig) -> DataFram
 @register_source("tfl")
 def tfl_history(spark: SparkSession, root: str, cfg: DatasetConfig) -> DataFrame:
     names = bikes.tfl_files(cfg.months)
-    if not names:
-        raise FileNotFoundError(f"no extract files are known for {cfg.months}")
     bikes.require_files(spark, root, names)
-    trips = bikes.read_tfl_trips(spark, [f"{root.rstrip('/')}/{n}" for n in names])
+    trips = bikes.read_tfl_trips(spark, [f"{root.rstrip('/')}/{n}" for n in names], cfg.paths.get("multiline") == "true")
     return hourly_history(trips, cfg.start, cfg.end, None, cfg.unknown_label)
 
 
@@ -72,5 +70,5 @@ def citibike_zip_history(spark: SparkSession, root: str, cfg: DatasetConfig) ->
 
 def _from_members(members: DataFrame, cfg: DatasetConfig) -> DataFrame:
     trips = bikes.citibike_trips(members)
-    bikes.require_trips(trips)
+    bikes.require_trips(trips, members)
     return hourly_history(trips, cfg.start, cfg.end, None, cfg.unknown_label)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from zonecast.functions.timefns import NTZ
 from zonecast.operators.drift import current_buffer
@@ -26,7 +27,7 @@ def as_instant(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def hourly_stream(trips: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Hourly demand per zone; an hour is emitted once the watermark has passed it."""
+    """Hourly demand per zone: in append mode an hour once the watermark has passed it, in update mode every change."""
     per_hour = as_instant(trips).withWatermark("ts", lateness).groupBy("zone_id", F.window("ts", "1 hour").alias("w"))
     return per_hour.agg(
         F.count(F.lit(1)).alias("trip_count"), F.avg("fare").alias("avg_fare"), F.avg("distance").alias("avg_distance")
@@ -175,6 +176,28 @@ def drift_stream(
     return each_batch(scored, handle, checkpoint)
 
 
+def run_latest(df: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Runs an update-mode aggregate over everything available; the last state of every group, open windows included.
+
+    Each micro-batch stores the groups it changed (a repeated batch overwrites itself); reading keeps each group's newest row.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = (
+        df.writeStream.foreachBatch(handle)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    states = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).parquet(path)
+    newest = states.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), "batch").alias("row"))
+    return newest.select("row.*")
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Runs an append-mode stream over everything available into Parquet, and reads it back."""
     query = (
