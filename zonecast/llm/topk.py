@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import shuffle_partitions, store
+
 K, PIVOTS, BLOCK = 5, 64, 2048
 #: Candidates evaluated at a time before the stopping rule is looked at again.
 STEP = 256
@@ -87,11 +89,12 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K, n_pivots: int
     # Blocks are rows of bytes, so a shuffle moves each block whole and tasks get equal shares.
     left = _blocks(queries, pivots, block).withColumn("q_block", F.monotonically_increasing_id())
     right = _blocks(candidates, pivots, block).withColumn("c_block", F.monotonically_increasing_id())
-    from .common import store
-
     left, right = store(left, "queries"), store(right, "candidates")
-    numbers = left.select("q_block").withColumn("one", F.lit(1)).join(right.select("c_block").withColumn("one", F.lit(1)), "one")
-    pairs = numbers.select("q_block", "c_block").repartition(_tasks(spark), "q_block", "c_block")
+    # Query blocks get running numbers (a row for each block, no vectors), so that each candidate block can name them all.
+    numbers = left.select("q_block", (F.row_number().over(Window.orderBy("q_block")) - 1).alias("number"))
+    count = left.count()
+    pairs = right.select("c_block", F.explode(F.sequence(F.lit(0), F.lit(max(0, count - 1)))).alias("number")).where(F.lit(count > 0))
+    pairs = pairs.join(numbers, "number").select("q_block", "c_block").repartition(shuffle_partitions(spark), "q_block", "c_block")
     work = pairs.join(left.selectExpr("q_block", "ids q_ids", "vectors q_vectors", "table q_table"), "q_block").join(right, "c_block")
     wide = len(pivots)
 
@@ -110,10 +113,6 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K, n_pivots: int
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return search(vectors.where("vec_id % 50 = 0"), vectors)
