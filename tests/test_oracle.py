@@ -4,8 +4,12 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_check import compare, connect
+from zonecast.plans.catalog import QUERIES
+from zonecast.plans.oracle import ORACLE
+
+queries, oracle_sql = QUERIES.copy, ORACLE.copy
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
