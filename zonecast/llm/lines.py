@@ -147,8 +147,8 @@ class ChainField:
         field, rng = cls(), np.random.default_rng(SEED)
         seen = []
         for marks in sequences:
-            x = np.zeros((min(len(marks), 200), len(FEATURES)))  # a gradient step uses the first lines of a very long text
-            for i, active in enumerate(marks[: len(x)]):
+            x = np.zeros((len(marks), len(FEATURES)))
+            for i, active in enumerate(marks):
                 x[i, active] = 1
             seen.append(x)
         for _ in range(EPOCHS):
