@@ -32,7 +32,9 @@ from .words import mixed, words
 SAMPLE, BUCKETS, WIDTH, EPOCHS, RATE, SEED = 6000, 1 << 16, 8, 4, 1.0, 17
 GRAMS = (2, 3, 4)
 THRESHOLD = 0.3
-KEPT = 600_000
+KEPT = 200_000
+#: Words whose features are drawn at a time, and documents whose features are laid end to end for learning.
+WORDS_AT_ONCE, DOCUMENTS_AT_ONCE = 1 << 14, 256
 #: Holds a space, so no word equals it.
 AGAIN = b"the same again"
 
@@ -88,15 +90,26 @@ class Model:
         unique, inverse = np.unique(row, return_inverse=True)
         return unique, np.bincount(inverse, weights=weight)
 
+    @classmethod
+    def _documents(cls, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``_document`` of all texts.  All are held while learning: in narrow types, and in few large arrays that are given back whole."""
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(texts), DOCUMENTS_AT_ONCE):
+            rows, weights = zip(*[cls._document(t) for t in texts[at : at + DOCUMENTS_AT_ONCE]])
+            ends = np.cumsum([len(r) for r in rows])[:-1]
+            flat = np.concatenate([r.astype(np.min_scalar_type(BUCKETS - 1)) for r in rows])
+            out += zip(np.split(flat, ends), np.split(np.concatenate([w.astype(np.float32) for w in weights]), ends))
+        return out
+
     @classmethod
     def train(cls, texts: list[str], labels: list[int]) -> "Model":
         rng = np.random.default_rng(SEED)
         table, out, bias = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH)), np.zeros((WIDTH, 2)), np.zeros(2)
-        seen = [cls._document(t) for t in texts]
+        seen = cls._documents(texts)
         steps, total = 0, EPOCHS * len(seen)
         for _ in range(EPOCHS if len(seen) else 0):
             for i in rng.permutation(len(seen)):
-                rows, weight = seen[i]
+                rows, weight = seen[i][0].astype(np.intp), seen[i][1].astype(float)
                 rate = RATE * (1 - steps / total)
                 steps += 1
                 hidden = weight @ table[rows]
@@ -127,9 +140,9 @@ class Model:
         if len(known) > KEPT:
             known.clear()
         new = list(set().union(*cut).difference(known))
-        if new:
-            owner, row = features(new)
-            known.update(zip(new, (np.bincount(owner, weights=self._line[row]) / np.bincount(owner)).tolist()))
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            owner, row = features(part := new[at : at + WORDS_AT_ONCE])
+            known.update(zip(part, (np.bincount(owner, weights=self._line[row]) / np.bincount(owner)).tolist()))
         base = float(self.bias[1] - self.bias[0])
         z = np.array([base + sum(map(known.__getitem__, c)) / (len(c) or 1) for c in cut])
         return (1 / (1 + np.exp(-np.clip(z, -500, 500)))).tolist()

@@ -92,3 +92,5 @@ def text_groups(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterat
             end = max(start + 1, int(np.searchsorted(sizes, base + GROUP_BYTES, "right")))
             yield table.slice(start, end - start)
             start = end
+        del table, batch
+        pa.default_memory_pool().release_unused()  # a worker serves many stages; what a batch took goes back

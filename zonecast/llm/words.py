@@ -8,7 +8,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KEPT = 400_000
+KEPT = 200_000
 
 
 class WordHashes(dict):
