@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, map_rows
 from .samples import held_out, labelled
 from .tokens import text_groups
 from .words import mixed, words
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes:
         rows = sorted((r["rank"], r["doc_id"], r["text"], r["label"]) for b in batches for r in b.to_pylist())
         yield pa.RecordBatch.from_pydict({"model": [Model.train([r[2] for r in rows], [r[3] for r in rows]).dump()]})
 
-    got = labelled(docs, labels, sample).repartition(1).mapInArrow(run, "model binary").collect()
+    got = map_rows(labelled(docs, labels, sample).repartition(1), run, "model binary").collect()
     return bytes(got[0]["model"]) if got else Model.train([], []).dump()
 
 
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFr
             yield from group.append_column("predicted", pa.array([int(x >= threshold) for x in s], pa.int32())).to_batches()
 
     fields = rows.schema.add("score", "double").add("predicted", "integer")
-    return rows.withColumn(" text", F.col("text").cast("string")).mapInArrow(run, fields)
+    return map_rows(rows.withColumn(" text", F.col("text").cast("string")), run, fields)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..session import scratch_root, shuffle_partitions
 
-__all__ = ["documents", "new_folder", "scratch_root", "shuffle_partitions", "store"]
+__all__ = ["documents", "map_rows", "new_folder", "scratch_root", "shuffle_partitions", "store"]
+
+#: Rows, and bytes, of one Arrow batch: whole texts are long, and a batch stands in the JVM and in the worker at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 8_000_000
+_BATCH = "spark.sql.execution.arrow.max{}PerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` in bounded batches.  Sets the limits for the session; a smaller one that it already has stays."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get(_BATCH.format("Records")))
+    if not 0 < rows <= BATCH_ROWS:
+        conf.set(_BATCH.format("Records"), BATCH_ROWS)
+        conf.set(_BATCH.format("Bytes"), BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, map_rows
 from .samples import labelled
 from .tokens import text_groups
 from .words import hashes, windows, words
@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[lis
         field = ChainField.train([lines_of(r[2])[0] for r in rows], [r[3] for r in rows])
         yield pa.RecordBatch.from_pydict({"weights": [field.weights.tolist()], "moves": [field.moves.ravel().tolist()]})
 
-    got = labelled(docs, labels, sample).repartition(1).mapInArrow(run, "weights array<double>, moves array<double>").collect()
+    got = map_rows(labelled(docs, labels, sample).repartition(1), run, "weights array<double>, moves array<double>").collect()
     return (list(got[0]["weights"]), list(got[0]["moves"])) if got else ([0.0] * len(FEATURES), [0.0] * 4)
 
 
@@ -228,7 +228,7 @@ def apply(docs: DataFrame, weights: list[float], moves: list[float], share: floa
     schema = rows.schema
     for f in empty:
         schema = schema.add(f)
-    return rows.withColumn(" text", F.col("text").cast("string")).mapInArrow(run, schema)
+    return map_rows(rows.withColumn(" text", F.col("text").cast("string")), run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

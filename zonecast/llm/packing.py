@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, shuffle_partitions, store
+from .common import documents, map_rows, shuffle_partitions, store
 from .tokens import default_path, fast_encoder, text_groups
 
 
@@ -70,7 +70,7 @@ def pieces_of(docs: DataFrame, most: int = 2048, path: str | None = None, end_id
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     schema = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return rows.mapInArrow(run, schema + ", ids array<bigint>" * with_ids)
+    return map_rows(rows, run, schema + ", ids array<bigint>" * with_ids)
 
 
 def best_fit(counts: dict[int, int], capacity: Capacity = Capacity()) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, shuffle_partitions, store
+from .common import documents, map_rows, shuffle_partitions, store
 from .tokens import text_groups
 from .words import hashes, windows, words
 
@@ -61,7 +61,7 @@ def positions(docs: DataFrame) -> DataFrame:
             pos, gram = (np.concatenate(x) for x in zip(*found))
             yield from pa.table({"gram": gram.view(np.int64), "d": d, "th": th, "pos": pos.astype(np.int64)}).to_batches()
 
-    return docs.mapInArrow(run, "gram bigint, d bigint, th bigint, pos bigint")
+    return map_rows(docs, run, "gram bigint, d bigint, th bigint, pos bigint")
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
                     )
 
     # rows with equal id and text are one document
-    return both.dropDuplicates(["d", "th"]).mapInArrow(run, "ahead binary, d bigint, th bigint, pos bigint, behind binary")
+    return map_rows(both.dropDuplicates(["d", "th"]), run, "ahead binary, d bigint, th bigint, pos bigint, behind binary")
 
 
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,7 +274,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield batch.drop_columns([" spans"]).filter(left)
 
     touched = marked.where("` spans` is not null").select(*names, "` spans`")
-    touched = touched.mapInArrow(run, docs.schema)
+    touched = map_rows(touched, run, docs.schema)
     if "n_chars" in docs.columns:
         touched = touched.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return untouched.union(touched)
