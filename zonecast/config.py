@@ -67,7 +67,7 @@ class DatasetConfig:
     unknown_label: str = "Unknown"
     lags: tuple[int, ...] = (1, 24, 168)
     rolling_windows: tuple[int, ...] = (24,)
-    # Tree settings keep the configured meaning: rounds, shrinkage, depth, leaf size, row share.
+    # Fixed values down to the alert margin: configured defaults.  Tree settings keep the configured meaning: rounds, shrinkage, depth, leaf size, row share.
     rounds: int = 500
     learning_rate: float = 0.05
     max_depth: int = 6
@@ -120,6 +120,18 @@ _PRESETS = {
 }
 
 
+# Names of the tree settings in a configuration file.
+_TREE_KEYS = {
+    "n_estimators": "rounds",
+    "learning_rate": "learning_rate",
+    "max_depth": "max_depth",
+    "min_child_samples": "min_child_samples",
+    "subsample": "subsample",
+    "colsample_bytree": "feature_share",
+    "random_state": "seed",
+}
+
+
 def preset(name: str, **changes) -> DatasetConfig:
     """Configuration of a known dataset, with optional overrides."""
     if name not in _PRESETS:
@@ -161,15 +173,9 @@ def load_config(path: str) -> DatasetConfig:
             "min_matched_pairs": "min_matched_pairs",
             "mae_alert_margin": "mae_alert_margin",
         },
-        ("models", "gbt"): {
-            "n_estimators": "rounds",
-            "learning_rate": "learning_rate",
-            "max_depth": "max_depth",
-            "min_child_samples": "min_child_samples",
-            "subsample": "subsample",
-            "colsample_bytree": "feature_share",
-            "random_state": "seed",
-        },
+        # The tree section goes by either name.
+        ("models", "lightgbm"): _TREE_KEYS,
+        ("models", "gbt"): _TREE_KEYS,
     }.items():
         node = raw
         for part in section:

@@ -41,7 +41,9 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: str =
     hot_rows = right.where(hot).select(*named("_h_"))
     # Always 0, but not a literal: a literal would drop out of the join keys.
     cold_rows = right.where(~hot).select(*named("_c_", F.pmod(F.col(n), F.lit(1)).cast("bigint").alias("_c_salt")))
-    salt = F.when(F.col("_h_row").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*left.columns), F.lit(_SALTS)))
+    # Identical rows of different partitions get different salts; maps have no hash.
+    hashed = [c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.when(F.col("_h_row").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(_SALTS)))
     joined = left.join(F.broadcast(hot_rows), same("_h_"), "left").withColumn("_salt", salt.cast("bigint"))
     joined = joined.join(cold_rows, same("_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
     found = F.coalesce("_h_row", "_c_row")

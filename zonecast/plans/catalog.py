@@ -35,7 +35,7 @@ from zonecast.operators import (
 )
 from zonecast.plans import learn, marts, monitor
 from zonecast.session import materialize, stage_path, use_utc
-from zonecast.sources import bikes, sinks
+from zonecast.sources import bikes, sinks, taxi
 from zonecast.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,6 +535,13 @@ def quality_window(spark, sf):
     return monitor.quality_report(*log_and_actuals(spark, sf), CONFIG, "3d", AS_OF)
 
 
+@query
+def quality_alert(spark, sf):
+    """Quality below a threshold that the baselines miss, with the overall drift status attached."""
+    _, status = _drift_tables(spark, sf)
+    return monitor.quality_report(*log_and_actuals(spark, sf), CONFIG.with_(mae_threshold=0.01), "3d", AS_OF, status)
+
+
 # Drift -----------------------------------------------------------------------
 
 
@@ -590,7 +597,7 @@ def ks_stat(spark, sf):
 def ks_exact(spark, sf):
     """P-values from counted lattice paths."""
     train, now = _reference_and_buffer(spark, sf)
-    return rounded(drift.ks_test(drift.reference_sample(train), drift.long_values(now)), "ks_statistic", "ks_pvalue")
+    return rounded(drift.ks_test(drift.reference_sample(train), drift.long_values(now), exact=True), "ks_statistic", "ks_pvalue")
 
 
 @query
@@ -763,6 +770,40 @@ def csv_trips(spark, sf):
     return _station_counts(bikes.citibike_trips(bikes.read_member_csv(spark, [path])))
 
 
+@query
+def tfl_csv_trips(spark, sf):
+    """Events written as quoted extracts, errors with the columns the other way round, and read back by column name."""
+    rows = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("Start station number"),
+        F.concat(F.lit("Stop, "), F.col("event_type")).alias("Start station"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("Start date"),
+        F.col("event_type").alias("kind"),
+    )
+    names, paths = list(bikes.TFL_COLUMNS), []
+    for columns, own in ((names, rows.where("kind <> 'error'")), (names[::-1], rows.where("kind = 'error'"))):
+        paths.append(stage_path(spark, "extracts"))
+        own.select(*[f"`{c}`" for c in columns]).write.options(header=True, quoteAll=True).csv(paths[-1])
+    return _station_counts(bikes.read_tfl_trips(spark, [f"{p}/*.csv" for p in paths]))
+
+
+@query
+def taxi_trips(spark, sf):
+    """Events under the column names of taxi files, and their zones' names from a lookup CSV."""
+    trips_path, zones_path = stage_path(spark, "taxi"), stage_path(spark, "zones")
+    raw_trips(spark, sf).select(
+        F.col("zone_id").alias("PULocationID"),
+        F.col("ts").alias("tpep_pickup_datetime"),
+        F.col("ts").alias("tpep_dropoff_datetime"),
+        F.col("fare").alias("total_amount"),
+        F.col("distance").alias("trip_distance"),
+    ).write.parquet(trips_path)
+    zones = lookup(spark, sf).select(F.col("zone_name").alias("Zone"), F.col("zone_id").alias("LocationID"))
+    zones.write.options(header=True, quoteAll=True).csv(zones_path)
+    valid = history.valid_trips(taxi.read_trips(spark, trips_path), CONFIG.start, CONFIG.end)
+    out = history.hourly_history(valid, CONFIG.start, CONFIG.end, taxi.read_zone_lookup(spark, zones_path), CONFIG.unknown_label)
+    return rounded(out, "avg_fare", "avg_distance")
+
+
 @query
 def zip_trips(spark, sf):
     """Events packed into zip archives by Spark tasks and read through the archive source."""
@@ -916,13 +957,34 @@ def stream_admission(spark, sf):
 def stream_drift(spark, sf):
     """Drift per micro-batch over the newest scored rows; the last batch's report."""
     train, _, test = split_rows(spark, sf)
-    bins = materialize(drift.reference_bins(train), "bins")
-    sample = materialize(drift.reference_sample(train), "sample")
+    bins, sample = _reference(train)
+    return _stream_drift(spark, test, lambda rows: drift.feature_drift(bins, sample, rows))
+
+
+@query
+def stream_drift_status(spark, sf):
+    """The overall verdict of the last micro-batch: sample gate, worst feature and correlation shift."""
+    train, _, test = split_rows(spark, sf)
+    bins, sample = _reference(train)
+    correlation = materialize(drift.correlation_matrix(train), "correlation")
+
+    def evaluate(rows):
+        shift = drift.correlation_shift(correlation, drift.correlation_matrix(rows))
+        return drift.drift_status(drift.feature_drift(bins, sample, rows), shift, rows, CONFIG.drift_min_samples)
+
+    return _stream_drift(spark, test, evaluate)
+
+
+def _reference(train):
+    return materialize(drift.reference_bins(train), "bins"), materialize(drift.reference_sample(train), "sample")
+
+
+def _stream_drift(spark, test, evaluate):
     stream = spark.readStream.schema(test.schema).parquet(_stage_parts(test, "scored"))
     root = stage_path(spark, "drift")
     jobs.drift_stream(
         stream,
-        lambda rows: drift.feature_drift(bins, sample, rows, exact=False),
+        evaluate,
         f"{root}/buffer",
         f"{root}/report",
         f"{root}/checkpoint",

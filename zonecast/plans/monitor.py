@@ -20,7 +20,7 @@ def drift_tables(
     cfg: DatasetConfig,
     ts: str = "scored_at",
     tie: str = "request_id",
-    exact: bool = True,
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(per feature, overall)`` drift of the newest scored rows."""
     # At most ``drift_max_samples`` rows.

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-FEATURES = (
-    "hour_of_day", "day_of_week", "is_weekend", "month", "zone_id", "lag_1h", "lag_24h", "lag_168h", "rolling_mean_24h",
-)
-CONTINUOUS = tuple(c for c in FEATURES if c != "zone_id")
+from zonecast.config import CONTINUOUS, FEATURES
+
 MEASURES = ", ".join(CONTINUOUS)
 
 # Common table expressions, in dependency order.
@@ -324,6 +322,29 @@ _HISTOGRAM = """
            count(*) FILTER (WHERE v <= e) AS observations
     FROM (SELECT {by} {value} AS v FROM rlog) CROSS JOIN (SELECT unnest({edges}::DOUBLE[]) AS e) GROUP BY {by} e"""
 
+_QUALITY = """
+    SELECT CASE WHEN n >= 10 THEN 'ok' ELSE 'insufficient_matched_pairs' END AS status, '3d' AS window,
+               n AS matched_pairs, 10::BIGINT AS required, CASE WHEN n >= 10 THEN round(mae, 6) END AS mae,
+               CASE WHEN n >= 10 THEN round(rmse, 6) END AS rmse, CASE WHEN n >= 10 THEN round(smape, 6) END AS smape,
+               CASE WHEN n >= 10 THEN z END AS zero_denominator_pairs_excluded,
+               coalesce(n >= 10 AND round(mae, 6) > {threshold} * 1.2, false) AS degraded
+        FROM (SELECT count(*) AS n, avg(abs(actual_value - predicted_value)) AS mae,
+                     sqrt(avg(pow(actual_value - predicted_value, 2))) AS rmse,
+                     coalesce(100 * avg(CASE WHEN abs(actual_value) + abs(predicted_value) > 0 THEN
+                         2 * abs(actual_value - predicted_value) / (abs(actual_value) + abs(predicted_value)) END), 0) AS smape,
+                     count(*) FILTER (WHERE abs(actual_value) + abs(predicted_value) = 0) AS z
+              FROM final_log WHERE actual_value IS NOT NULL AND created_at >= TIMESTAMP '2024-01-28')"""
+
+_DRIFT_STATUS = """
+    SELECT CASE WHEN n < 100 THEN 'insufficient_samples' WHEN alerts > 0 OR s > 0.1 THEN 'alert'
+                    WHEN warnings > 0 THEN 'warning' ELSE 'ok' END AS status,
+               n AS collected, 100::BIGINT AS required, CASE WHEN n >= 100 THEN round(s, 6) END AS correlation_shift,
+               CASE WHEN n >= 100 THEN x END AS n_excluded
+        FROM (SELECT (SELECT count(*) FROM buffer) AS n,
+                     (SELECT count(*) FROM verdicts WHERE verdict = 'alert') AS alerts,
+                     (SELECT count(*) FROM verdicts WHERE verdict = 'warning') AS warnings,
+                     (SELECT correlation_shift FROM shift) AS s, (SELECT n_excluded FROM shift) AS x)"""
+
 ORACLE = {
     "filter_trips": sql("SELECT event_id, zone_id, hour_ts, fare, distance FROM trips"),
     "hourly_agg": sql(
@@ -485,19 +506,7 @@ ORACLE = {
         "'nothing predicted for zone ' || zone_id || ' at ' || strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') END "
         "AS warning, count(*) AS submissions FROM resolved WHERE target IS NULL GROUP BY 1"
     ),
-    "quality_window": sql(
-        """SELECT CASE WHEN n >= 10 THEN 'ok' ELSE 'insufficient_matched_pairs' END AS status, '3d' AS window,
-               n AS matched_pairs, 10::BIGINT AS required, CASE WHEN n >= 10 THEN round(mae, 6) END AS mae,
-               CASE WHEN n >= 10 THEN round(rmse, 6) END AS rmse, CASE WHEN n >= 10 THEN round(smape, 6) END AS smape,
-               CASE WHEN n >= 10 THEN z END AS zero_denominator_pairs_excluded,
-               coalesce(n >= 10 AND round(mae, 6) > 3.2 * 1.2, false) AS degraded
-        FROM (SELECT count(*) AS n, avg(abs(actual_value - predicted_value)) AS mae,
-                     sqrt(avg(pow(actual_value - predicted_value, 2))) AS rmse,
-                     coalesce(100 * avg(CASE WHEN abs(actual_value) + abs(predicted_value) > 0 THEN
-                         2 * abs(actual_value - predicted_value) / (abs(actual_value) + abs(predicted_value)) END), 0) AS smape,
-                     count(*) FILTER (WHERE abs(actual_value) + abs(predicted_value) = 0) AS z
-              FROM final_log WHERE actual_value IS NOT NULL AND created_at >= TIMESTAMP '2024-01-28')"""
-    ),
+    "quality_window": sql(_QUALITY.format(threshold=3.2)),
     "latest_buffer": sql("SELECT zone_id, hour_ts, trip_count FROM buffer"),
     "decile_bins": sql("SELECT feature, bin, round(low, 6) AS low, round(high, 6) AS high, rows FROM ref_bins"),
     "ks_sample": sql("SELECT feature, round(value, 6) AS value, digest FROM sample"),
@@ -508,16 +517,7 @@ ORACLE = {
     "corr_matrix": sql("SELECT f1, f2, round(corr, 6) AS corr FROM ref_corr"),
     "corr_shift": sql("SELECT round(correlation_shift, 6) AS correlation_shift, n_excluded FROM shift"),
     "drift_report": sql("SELECT feature, psi, ks_statistic, ks_pvalue, verdict FROM verdicts"),
-    "drift_status": sql(
-        """SELECT CASE WHEN n < 100 THEN 'insufficient_samples' WHEN alerts > 0 OR s > 0.1 THEN 'alert'
-                    WHEN warnings > 0 THEN 'warning' ELSE 'ok' END AS status,
-               n AS collected, 100::BIGINT AS required, CASE WHEN n >= 100 THEN round(s, 6) END AS correlation_shift,
-               CASE WHEN n >= 100 THEN x END AS n_excluded
-        FROM (SELECT (SELECT count(*) FROM buffer) AS n,
-                     (SELECT count(*) FROM verdicts WHERE verdict = 'alert') AS alerts,
-                     (SELECT count(*) FROM verdicts WHERE verdict = 'warning') AS warnings,
-                     (SELECT correlation_shift FROM shift) AS s, (SELECT n_excluded FROM shift) AS x)"""
-    ),
+    "drift_status": sql(_DRIFT_STATUS),
     "sparse_zones": sql(
         """SELECT zone_id, round(mean_demand, 6) AS mean_demand, round(threshold, 6) AS threshold FROM (
             SELECT *, max(mean_demand) FILTER (WHERE rn = least(CAST(floor(n * 10.0::DOUBLE / 100) AS BIGINT), n - 1))
@@ -565,6 +565,13 @@ ORACLE = {
     ),
     "csv_trips": sql("SELECT zone_id, hour_ts, trip_count FROM station_hours"),
     "zip_trips": sql("SELECT zone_id, hour_ts, trip_count FROM station_hours"),
+    "tfl_csv_trips": (
+        "SELECT user_id AS zone_id, date_trunc('hour', ts) AS hour_ts, count(*) AS trip_count FROM events GROUP BY ALL"
+    ),
+    "taxi_trips": sql(
+        "SELECT zone_id, zone_name, hour_ts, trip_count, round(avg_fare, 6) AS avg_fare, "
+        "round(avg_distance, 6) AS avg_distance FROM history"
+    ),
     "batch_score": sql(
         """SELECT f.request_id, f.zone_id, coalesce(n.zone_name, 'zone ' || f.zone_id || ' (no name)') AS zone_name, f.hour_ts,
                f.reason, CASE WHEN f.reason IS NULL THEN round(coalesce(s.slot_mean,
@@ -594,6 +601,11 @@ ORACLE = {
         "WHERE f.reason IS NULL"
     ),
     "stream_drift": sql("SELECT feature, psi, ks_statistic, ks_pvalue, verdict FROM verdicts"),
+    "stream_drift_status": sql(_DRIFT_STATUS),
+    "quality_alert": sql(
+        f"SELECT q.*, CASE WHEN q.degraded THEN s.status END AS drift_status FROM ({_QUALITY.format(threshold=0.01)}) q, "
+        f"({_DRIFT_STATUS}) s"
+    ),
     "stream_hourly": sql(
         "SELECT zone_id, hour_ts, trip_count, round(avg_fare, 6) AS avg_fare, round(avg_distance, 6) AS avg_distance "
         "FROM hourly"
