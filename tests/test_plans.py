@@ -145,3 +145,10 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     from zonecast.session import is_local
 
     assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,512]") and not is_local("spark://x:7077")
+
+
+def test_spread_join_with_equal_rows_and_a_map(spark, no_coalescing):
+    rows = spark.range(0, 6000, 1, 8).select(F.lit(1).cast("bigint").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    right = materialize(key_counts(rows, ["k"]).withColumn("v", F.lit("x")), "right")
+    out = spread_join(rows, right, ["k"])
+    assert out.where("v = 'x'").count() == 6000 and largest_partition(out) < 3000

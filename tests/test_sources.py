@@ -204,6 +204,8 @@ def test_config_file_overrides(tmp_path):
     assert (c.lags, c.rolling_windows, c.rounds, c.min_matched_pairs, c.drift_max_samples) == ((1,), (12,), 7, 3, 50)
     assert c.split.val_end == datetime(2024, 6, 15) and c.paths["raw_dir"] == "r"
     assert (preset("taxi").end, preset("citibike").end) == (datetime(2024, 3, 1), datetime(2024, 4, 1))
+    path.write_text('{"models": {"lightgbm": {"n_estimators": 9, "random_state": 5}}}')
+    assert (load_config(str(path)).rounds, load_config(str(path)).seed) == (9, 5)
     with pytest.raises(ValueError):
         preset("boats")
 
