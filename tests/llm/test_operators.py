@@ -137,6 +137,21 @@ def test_topk_is_exact(spark):
     assert topk.search(vectors.where("false"), vectors.where("false")).count() == 0
 
 
+def test_topk_counts_repeated_rows_once(spark):
+    """Rows that stand several times among a query's best, of candidates and of queries: the SQL over distinct rows."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(6)
+    data = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(1, 120)]
+    data += [(500, [9.0] * 4)] * 5 + [(501, [8.0] * 4)] * 2 + [(50, data[49][1]), (50, [1.0] * 4), (100, [2.0] * 4)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>").coalesce(1)
+    vectors = topk.integer_vectors(frame)
+    got = rows(topk.search(vectors.where("vec_id % 50 = 0"), vectors, n_pivots=4, block=1000))
+    db = duckdb.connect()
+    db.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    db.executemany("INSERT INTO embeddings VALUES (?, ?)", [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in data}])
+    assert sorted(got) == sorted(db.execute(topk.ORACLE_SQL).fetchall())
+
+
 def test_sharding(odd, empty):
     table = sharding.fill(["a", "b", "c"], 101)
     counts = collections.Counter(table)

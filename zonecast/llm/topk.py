@@ -11,7 +11,9 @@ size, so the memory of a task does not depend on the table.  Pivots are a bounde
 smallest hash); they affect speed alone.  The work grows with queries times candidates: both grow with the table here.
 
 Vectors that are null or hold a null or non-finite component take no part, and so do rows without an id.  All vectors must have
-one dimension.  Repeated ids: a query is each distinct (id, vector); a candidate with the query's own id is left out, whatever its row.
+one dimension.  Rows of equal (id, vector) are one, as a query and as a candidate, and are removed before blocks are built, so that they
+take one place of a block's best (``ORACLE_SQL`` ranks each of such rows, and agrees where there are none).  The hits of all vectors
+with a query's id are ranked together.  A candidate with the query's own id is left out, whatever its row.
 """
 
 from __future__ import annotations
@@ -43,6 +45,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """``rows`` without repeats of (vec_id, v).  Only rows of ids that occur more than once are shuffled."""
+    again = store(rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id"), "again")
+    return rows.join(again, "vec_id", "left_anti").union(rows.join(again, "vec_id", "left_semi").distinct())
+
+
 def _blocks(rows: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
     """``block``, ``ids`` and ``vectors`` and ``table`` (distances to the pivots) as raw bytes; at most ``size`` vectors each."""
 
@@ -84,6 +92,7 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, q_to: np.ndarray, c_ids: np.
 def search(queries: DataFrame, candidates: DataFrame, k: int = K, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``; both inputs as ``integer_vectors`` gives them."""
     spark = queries.sparkSession
+    queries, candidates = _distinct(queries.select("vec_id", "v")), _distinct(candidates.select("vec_id", "v"))
     chosen = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).select("v").collect()  # PIVOTS rows
     pivots = np.array([r["v"] for r in chosen], np.int64) if chosen else np.zeros((0, 1), np.int64)
     # Blocks are rows of bytes, so a shuffle moves each block whole and tasks get equal shares.
@@ -108,7 +117,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K, n_pivots: int
                 cols = list(zip(*found)) or [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["query_id", "vec_id", "score"])
 
-    hits = work.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint").distinct()
+    hits = work.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
