@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm import bpe, classifier, idstore, lines, mixing, neardup, packing, passages, sharding, topk
 from zonecast.llm.components import components
+from zonecast.llm.samples import held_out
 from zonecast.llm.tokens import default_path, fast_encoder
 
 SF = "/root/testdata/sf0.001"
@@ -259,6 +260,18 @@ def test_classifier_and_rules_on_held_out_documents(spark):
     assert sum(k == bool(q) for q, k in judged) >= 0.95 * len(judged)
 
 
+def test_rules_stage_learns_from_the_whole_table(spark):
+    """Documents that reach the stage are judged as the query judges them, though the boilerplate to learn from is gone by then."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    bad = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 0 and doc_id is not null").where(~held_out()).select("doc_id")
+    reaching = docs.join(bad, "doc_id", "left_anti")
+    judged = lines.query(spark, folder).select("doc_id", "kept", "base_failed").join(reaching.select("doc_id"), "doc_id")
+    verdict = {r["doc_id"]: r["kept"] for r in judged.collect()}
+    assert judged.where("not kept and not base_failed").count() > 0
+    assert {r["doc_id"] for r in lines.stage(spark, reaching, folder).select("doc_id").collect()} == {i for i, kept in verdict.items() if kept}
+
+
 def test_classifier_on_odd_rows(spark, odd, empty):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id bigint, quality int")
     model = classifier.train(odd, none)

@@ -237,6 +237,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that pass."""
-    judged = apply(docs, *train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Keeps the documents that pass.  As in the query, the field learns from the whole documents table: of what reaches the stage, earlier
+    stages have taken most lines of boilerplate away."""
+    whole = documents(spark, sf_dir).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    judged = apply(docs, *train(whole, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return judged.where("kept").select(*[f"`{c}`" for c in docs.columns])
