@@ -213,6 +213,23 @@ def test_near_duplicates_with_a_large_group(spark, percent, n):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute_components(docs, percent, n)
 
 
+def test_near_duplicates_of_a_crowd_without_links_to_its_typical_document(spark, monkeypatch):
+    """Shortened copies, each 0.84 similar to the whole text and 0.7 to the others, but 0.9 to its twin."""
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 50)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    docs = [(0, " ".join(base))]
+    for _ in range(80):
+        gone = rng.sample(range(200), 41)
+        for mine in (gone[:33], gone[8:]):
+            docs.append((len(docs), " ".join(w for k, w in enumerate(base) if k not in mine)))
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 85, 1)
+    want = brute_components(docs, 85, 1)
+    assert len(set(want.values())) > 70
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
 def test_near_duplicates_on_odd_rows(odd, empty):
     got = rows(neardup.near_duplicates(odd))
     assert len(got) == len(ODD) and {r[0]: r[2] for r in got}[5] == 4
