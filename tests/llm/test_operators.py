@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,6 +317,43 @@ def test_passages(spark, odd, empty):
     assert passages.cut("a b\nc d", [(0, 1), (2, 4)]) == "b\n"
 
 
+@pytest.mark.parametrize("ranges", [1, 4, 25])
+def test_every_later_occurrence_of_a_run_is_reported(monkeypatch, ranges):
+    """Sorted suffixes whose agreement falls and rises, whatever the order of their documents, against all pairs."""
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        n = 60
+        around = np.ones((n, passages.LEFT + passages.RIGHT), ">u4")
+        for row in around:  # the words to the left up to some place, and those to the right from some place on, are other ones
+            row[: rng.choice([0, 0, 0, 4, 14, 34])] = rng.integers(2, 4)
+            row[passages.LEFT + rng.choice([50, 50, 30, 20, 16]) :] = rng.integers(2, 4)
+        ids = rng.permutation(n).tolist()
+        data = sorted((r[passages.LEFT :].tobytes(), d, 0, 100, r[: passages.LEFT].tobytes()) for r, d in zip(around, ids))
+        _, left, right = passages._match([(a, b, d, th, pos) for a, d, th, pos, b in data])
+        want = {}
+        for i in range(n):
+            x, y = passages.LEFT, passages.RIGHT
+            for j in range(i + 1, n):
+                x, y = min(x, left[j - 1]), min(y, right[j - 1])
+                if x + y >= passages.MIN_WORDS and y >= passages.GRAM:
+                    old = want.get(later := max(data[i][1], data[j][1]), (100, 100))
+                    want[later] = min(old[0], 100 - x), max(old[1], 100 + y)
+        found, edges = [], []
+        for part, own in enumerate(np.array_split(np.arange(n), ranges)):
+            monkeypatch.setattr(passages.TaskContext, "get", lambda part=part: type("Context", (), {"partitionId": lambda self: part})())
+            cols = [pa.array(c) for c in zip(*(data[i] for i in own))]
+            for batch in passages._compare_sorted(iter([pa.RecordBatch.from_arrays(cols, names=["ahead", "d", "th", "pos", "behind"])])):
+                found += [r for r in batch.to_pylist() if r["part"] is None]
+                edges.append(batch.filter(batch.column("part").is_valid()))
+        found += [r for b in passages._across(iter(edges)) for r in b.to_pylist()]
+        got = {}
+        for r in found:
+            assert r["source"] < r["d"]
+            old = got.get(r["d"], (100, 100))
+            got[r["d"]] = min(old[0], r["start"]), max(old[1], r["end"])
+        assert got == want
+
+
 def test_mixing(spark, odd, empty):
     got = mixing.query(spark, SF).collect()
     texts = {i: (t or "").encode().lower().split() for i, t in rows(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))}

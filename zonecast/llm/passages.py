@@ -9,8 +9,8 @@ first (by doc_id, then place) are repeats.
 Scale: only positions (about one word in 18) are shuffled at first; those whose gram occurs once drop out by a count.
 The rest carry the hashed words around them, as far as the next selected position can be, so that the pieces of
 longer matches join up.  They are range-partitioned by the whole suffix, then document, so a passage that a third of all documents share is
-spread over many tasks; each task streams its sorted rows and keeps one row and one running minimum.  What lies across the
-borders of two tasks is settled from two rows for each of them.
+spread over many tasks; each task streams its sorted rows and keeps one row and a few dozen earlier occurrences (``_Chain``).  What lies
+across the borders of two tasks is settled from two rows for each of them.
 
 A match is the same words after lower-casing; only matches of ``MIN_WORDS`` or more count.  Repeats within one document count too.  Null
 and short texts have none.  Rows with equal doc_id and text are one document; documents without an id sort first.  Other columns are left alone.
@@ -99,25 +99,46 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return reach(left), reach(right)
 
 
-class _Chain:
-    """Matching neighbours: the first occurrence so far, and how far all suffixes since then agree with it."""
-
-    def __init__(self, key: tuple):
-        self.restart(key)
+def _whole(left: int, right: int) -> bool:
+    """Whether so many words to either side of a suffix are a passage."""
+    return left + right >= MIN_WORDS and right >= GRAM
 
-    def restart(self, key: tuple) -> None:
-        self.least, self.left, self.right = key, LEFT, RIGHT
 
-    def follow(self, left: int, right: int) -> bool:
-        """Goes on by a neighbour's match; whether the next suffix still repeats a whole passage of the first occurrence."""
-        self.left, self.right = min(self.left, left), min(self.right, right)
-        return self.left + self.right >= MIN_WORDS and self.right >= GRAM
+class _Chain:
+    """Matching neighbours: the occurrences that a later suffix can still repeat, as (key, left, right) with the words in which all
+    suffixes from there to the last one agree.  Keys and agreement grow towards the newest, and of equal agreement only the first
+    occurrence is held, so there are at most LEFT + RIGHT - MIN_WORDS + 1 of them."""
+
+    def __init__(self, held: list[tuple] = ()):
+        self.held = list(held)
+
+    def follow(self, left: int, right: int) -> None:
+        """Goes on by a neighbour's match; what shares no whole passage with the next suffix is dropped."""
+        old, self.held = self.held, []
+        for key, x, y in old:
+            x, y = min(x, left), min(y, right)
+            if _whole(x, y) and not (self.held and self.held[-1][1:] == (x, y)):
+                self.held.append((key, x, y))
+
+    def add(self, key: tuple, left: int = LEFT, right: int = RIGHT) -> list[tuple]:
+        """Takes a suffix, or what else agrees so far with the last one; the repeats it settles: of it by later keys, and its own."""
+        out = []
+        while self.held and self.held[-1][0] > key:
+            later, x, y = self.held.pop()
+            out.append((*later, later[2] - x, later[2] + y, key[0]))
+        if self.held:
+            _, x, y = self.held[-1]
+            out.append((*key, key[2] - x, key[2] + y, self.held[0][0][0]))
+        if not (self.held and self.held[-1][1:] == (left, right)):
+            self.held.append((key, left, right))
+        return out
 
 
 _COLUMNS = ("d", "th", "pos", "start", "end", "source", "part", "side", "ahead", "behind", "chain")
 _REPEAT = "d bigint, th bigint, pos bigint, start bigint, end bigint, source bigint"
-#: chain: the first occurrence of the chain at this edge (d, th, pos), the words to the left and right in which all suffixes between it and
-#: the edge agree, those in which all of the range do, and whether one chain is the whole range.
+#: chain: the words to the left and right in which all suffixes of the range agree, whether one chain is the whole range, and then
+#: (d, th, pos, left, right) of occurrences in the chain at this edge, with their agreement up to the edge.  At the first suffix: those
+#: before every earlier key of the range.  At the last: those that a later suffix can still repeat.
 _EDGE = "part int, side int, ahead binary, behind binary, chain array<bigint>"
 
 
@@ -138,37 +159,24 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Neighbours of one range.  Gives repeats, and a row for the first and for the last suffix of the range."""
     part = TaskContext.get().partitionId()
     first = held = None  # held: the last row, which still waits for its next neighbour
-    before = (None, 0, 0)  # key of the row before it, if they match, and the match
-    chain, whole_chain, chains = _Chain(()), _Chain(()), 0
-    first_least: tuple = ()
-
-    def settle(row: tuple, before: tuple, after: tuple) -> Iterator[tuple]:
-        nonlocal chains, first_least
-        key, left, right, source = row[2:5], 0, 0, None
-        if before[0] is None:
+    before: tuple | None = None  # the match of the row before it, if they match
+    chain, whole, chains = _Chain(), (LEFT, RIGHT), 0
+    opening: list[tuple] = []
+
+    def settle(row: tuple, before: tuple | None) -> list[tuple]:
+        nonlocal whole, chains
+        key = row[2:5]
+        if before is None:
             chains += 1
-            chain.restart(key)
-            whole_chain.restart(key)
-            if chains == 1:
-                first_least = (*key, LEFT, RIGHT)
+            chain.held = []
         else:
-            whole = chain.follow(before[1], before[2])
-            whole_chain.follow(before[1], before[2])
-            if chains == 1 and key < first_least[:3]:
-                first_least = (*key, whole_chain.left, whole_chain.right)
-            if before[0] < key:
-                left, right, source = before[1], before[2], before[0][0]
-            if key < chain.least:
-                if whole:
-                    yield (*chain.least, chain.least[2] - chain.left, chain.least[2] + chain.right, key[0])
-                chain.restart(key)
-            elif whole:
-                left, right, source = max(left, chain.left), max(right, chain.right), chain.least[0]
-        if after[0] is not None and after[0] < key:
-            left, right = max(left, after[1]), max(right, after[2])
-            source = after[0][0] if source is None else min(source, after[0][0])
-        if source is not None:
-            yield (*key, key[2] - left, key[2] + right, source)
+            chain.follow(*before)
+            whole = min(whole[0], before[0]), min(whole[1], before[1])
+        if chains == 1 and _whole(*whole) and not (opening and opening[-1][0] < key):
+            if opening and opening[-1][1:] == whole:
+                opening.pop()  # repeats this one as far as the edge agrees
+            opening.append((key, *whole))
+        return chain.add(key)
 
     for batch in batches:
         if not batch.num_rows:
@@ -177,16 +185,16 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         first = first or rows[0]
         rows = ([held] if held else []) + rows
         out: list[tuple] = []
-        for row, following, hit, left, right in zip(rows, rows[1:], *_match(rows)):
-            out += settle(row, before, (following[2:5], left, right) if hit else (None, 0, 0))
-            before = (row[2:5], left, right) if hit else (None, 0, 0)
+        for row, hit, left, right in zip(rows, *_match(rows)):
+            out += settle(row, before)
+            before = (left, right) if hit else None
         held = rows[-1]
         yield _table(out)
     if held:
-        out = list(settle(held, before, (None, 0, 0)))
-        rest = (whole_chain.left, whole_chain.right, int(chains == 1))
-        last_least = (*chain.least, chain.left, chain.right)
-        yield _table(out, [(*r[2:5], part, side, *r[:2], [*least, *rest]) for side, r, least in ((0, first, first_least), (1, held, last_least))])
+        out = settle(held, before)
+        edges = ((0, first, opening), (1, held, chain.held))
+        flat = [[*whole, int(chains == 1), *(x for key, left, right in own for x in (*key, left, right))] for _, _, own in edges]
+        yield _table(out, [(*r[2:5], part, side, *r[:2], f) for (side, r, _), f in zip(edges, flat)])
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,24 +203,26 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [tuple(r[c] for c in ("ahead", "behind", "d", "th", "pos")) for r in edges]
     out: list[tuple] = []
 
-    def repeat(a: tuple, b: tuple, left: int, right: int) -> None:
-        if a != b and left + right >= MIN_WORDS and right >= GRAM:
-            source, later = sorted((a, b))
-            out.append((*later, later[2] - left, later[2] + right, source[0]))
+    def entries(edge: dict) -> list[tuple]:
+        flat = edge["chain"][3:]
+        return [(tuple(flat[i : i + 3]), *flat[i + 3 : i + 5]) for i in range(0, len(flat), 5)]
 
-    carried: tuple | None = None  # the first occurrence of the chain that reaches the border, and the agreement from it to there
+    carried = _Chain()  # the occurrences before the border that a suffix behind it can repeat
     for k in range(0, len(edges), 2):
-        first, last = edges[k]["chain"], tuple(edges[k + 1]["chain"][:5])
-        whole = first[5:7] if first[7] else None
-        if carried:
-            (hit,), (x,), (y,) = _match([rows[k - 1], rows[k]])
-            if hit:
-                repeat(rows[k - 1][2:], rows[k][2:], x, y)
-                left, right = min(carried[3], x), min(carried[4], y)
-                repeat(carried[:3], tuple(first[:3]), min(left, first[3]), min(right, first[4]))
-                if whole and carried[:3] < last[:3]:
-                    last = (*carried[:3], min(left, whole[0]), min(right, whole[1]))
-        carried = last
+        left, right, one = edges[k]["chain"][:3]
+        (hit,), (x,), (y,) = _match([rows[k - 1], rows[k]]) if k else ([False], [0], [0])
+        carried.follow(x, y) if hit else carried.held.clear()
+        for key, a, b in carried.held:
+            for other, c, d in entries(edges[k]):
+                if key != other and _whole(min(a, c), min(b, d)):
+                    source, later = sorted((key, other))
+                    out.append((*later, later[2] - min(a, c), later[2] + min(b, d), source[0]))
+        if one:
+            carried.follow(left, right)
+        else:
+            carried.held.clear()
+        for entry in entries(edges[k + 1]):
+            carried.add(*entry)  # repeats between ranges are settled by their opening
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*out)) or [()] * 6)], names=list(_COLUMNS[:6]))
 
 
