@@ -75,6 +75,39 @@ def test_quality_windows_equal_plain_sums(spark, tmp_path):
         assert r["rmse"] == pytest.approx((sum(e * e for e in errs) / len(errs)) ** 0.5)
 
 
+def test_quality_has_open_windows_and_late_actuals(spark, tmp_path):
+    """Every pair is in each window of its prediction, the last and the late ones too."""
+    preds = [(f"p{i}", float(i), START + timedelta(hours=3 * i)) for i in range(64)]
+    acts = [(f"p{i}", float(i + i % 4), START + timedelta(hours=3 * i + (200 if i % 7 == 0 else 2))) for i in range(64) if i % 5]
+    p = follow(spark, tmp_path, [preds[:40], preds[40:]], "prediction_id string, predicted_value double, created_at timestamp_ntz", "p")
+    a = follow(spark, tmp_path, [acts[30:], acts[:30]], "prediction_id string, actual_value double, observed_at timestamp_ntz", "a")
+    out = J.quality_latest(p, a, str(tmp_path / "pairs"), str(tmp_path / "pairs-checkpoint"), "2 days", "1 day").collect()
+    truth, want = {k: v for k, v, _ in acts}, {}
+    for k, v, t in preds:
+        for back in range(2):
+            if k in truth:
+                want.setdefault(datetime(t.year, t.month, t.day) - timedelta(days=back), []).append(v - truth[k])
+    assert {r["window_start"]: r["matched_pairs"] for r in out} == {w: len(errs) for w, errs in want.items()}
+    for r in out:
+        errs = want[r["window_start"]]
+        assert r["mae"] == pytest.approx(sum(map(abs, errs)) / len(errs))
+
+
+def test_stream_quality_matches_every_pair(spark):
+    """Against a batch join: windows of two days hold every matched prediction twice."""
+    from zonecast.operators.history import densify
+    from zonecast.plans import catalog as C
+
+    sf = "/root/testdata/sf0.001"
+    C.use_utc(spark)
+    log, _ = C.log_and_actuals(spark, sf)
+    truth = densify(C.hourly(spark, sf), C.CONFIG.start, C.CONFIG.end)
+    seen = truth.select(C._prediction_id("slot_mean").alias("prediction_id"), (F.col("hour_ts") + F.expr("interval 1 hour")).alias("observed_at"))
+    pairs = log.join(seen, "prediction_id").where("observed_at >= created_at").count()
+    got = C.QUERIES["stream_quality"](spark, sf).agg(F.sum("matched_pairs")).first()[0]
+    assert pairs > 0 and got == 2 * pairs
+
+
 def test_admission_state_survives_batches(spark, tmp_path):
     rows = [(i, "ab"[i % 2], START + timedelta(seconds=4 * i)) for i in range(90)]
     schema = "request_id bigint, client string, ts timestamp_ntz"

@@ -926,7 +926,7 @@ def stream_log(spark, sf):
 
 @query
 def stream_quality(spark, sf):
-    """Sliding quality of logged predictions against actuals observed an hour after the hour."""
+    """Sliding quality of logged predictions against actuals observed an hour after the hour; open windows and late actuals too."""
     log, _ = log_and_actuals(spark, sf)
     truth = history.densify(hourly(spark, sf), CONFIG.start, CONFIG.end)
     seen = truth.select(
@@ -938,8 +938,8 @@ def stream_quality(spark, sf):
     paths = {k: _stage_parts(v, k) for k, v in tables.items()}
     left, right = (spark.readStream.schema(tables[k].schema).parquet(paths[k]) for k in ("log", "seen"))
     root = stage_path(spark, "quality")
-    out = jobs.quality_stream(left, right, "2 days", "1 day", "1 day")
-    return rounded(jobs.run_available(out, f"{root}/out", f"{root}/checkpoint"), "mae", "rmse", "smape")
+    out = jobs.quality_latest(left, right, f"{root}/pairs", f"{root}/checkpoint", "2 days", "1 day")
+    return rounded(out, "mae", "rmse", "smape")
 
 
 @query

@@ -85,6 +85,11 @@ def quality_stream(
             f"AND observed_at <= created_at + interval {max_delay}"
         ),
     )
+    return quality_windows(pairs, window, slide)
+
+
+def quality_windows(pairs: DataFrame, window: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """Quality of matched pairs (``predicted_value, actual_value, created_at``) over sliding windows of prediction time."""
     err = F.col("predicted_value") - F.col("actual_value")
     size = F.abs("predicted_value") + F.abs("actual_value")
     return (
@@ -106,6 +111,24 @@ def quality_stream(
     )
 
 
+def quality_latest(predictions: DataFrame, actuals: DataFrame, path: str, checkpoint: str, window: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """``quality_stream`` over everything available, windows as they stand after the last batch, open ones too.
+
+    Each micro-batch stores the pairs it matched (a repeated batch overwrites itself).  An actual may come any time after its
+    prediction, so there is no watermark and the join keeps both sides in its state.
+    """
+    late = as_instant(actuals.withColumnRenamed("prediction_id", "actual_id"), "observed_at")
+    pairs = as_instant(predictions, "created_at").join(late, F.expr("prediction_id = actual_id AND observed_at >= created_at"))
+    pairs = pairs.select("predicted_value", "actual_value", "created_at")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    each_batch(pairs, handle, checkpoint).awaitTermination()
+    schema = StructType([*pairs.schema.fields, StructField("batch", LongType())])
+    return quality_windows(pairs.sparkSession.read.schema(schema).parquet(path), window, slide)
+
+
 def admission_stream(requests: DataFrame, limit: int, seconds: int = 60) -> DataFrame:
     """Sliding-window admission as ``(client, request_id, ts, admitted)``.
 
