@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, classifier, idstore, lines, mixing, neardup, packing, passages, sharding, topk
+from . import bpe, classifier, codes, idstore, lexical, lines, mixing, neardup, packing, pages, passages, sharding, topk
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_classifier": classifier.query,
     "op9_passages": passages.query,
     "op10_sharding": sharding.query,
+    "op11_lexical_search": lexical.query,
+    "op12_vector_codes": codes.query,
+    "op13_page_text": pages.query,
 }
 
-ORACLE = {"op5_pivot_topk": topk.ORACLE_SQL, "op10_sharding": sharding.ORACLE_SQL}
+ORACLE = {"op5_pivot_topk": topk.ORACLE_SQL, "op10_sharding": sharding.ORACLE_SQL, "op11_lexical_search": lexical.ORACLE_SQL, "op12_vector_codes": codes.ORACLE_SQL}
