@@ -217,7 +217,6 @@ def test_near_duplicates_with_a_large_group(spark, percent, n):
 def test_near_duplicates_of_a_crowd_without_links_to_its_typical_document(spark, monkeypatch):
     """Shortened copies, each 0.84 similar to the whole text and 0.7 to the others, but 0.9 to its twin."""
     monkeypatch.setattr(neardup, "SMALL", 4)
-    monkeypatch.setattr(neardup, "BLOCK", 50)
     rng = random.Random(8)
     base = [f"w{k}" for k in range(200)]
     docs = [(0, " ".join(base))]
@@ -231,6 +230,28 @@ def test_near_duplicates_of_a_crowd_without_links_to_its_typical_document(spark,
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_pairs_of_a_crowd_grow_with_its_members(spark):
+    """Edited copies about 0.56 similar to each other, far from a link: no all-pairs comparison, and links between twins are found."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(200)]
+    docs, twins = [], []
+    for i in range(800):
+        own = [f"x{i}.{k}" if rng.random() < 0.14 else w for k, w in enumerate(base)]
+        docs.append((i, " ".join(own)))
+        if i % 40 == 0:
+            twins.append((i, 1000 + i))
+            docs.append((1000 + i, " ".join([*own[:-5], *(f"y{k}" for k in range(5))])))
+    counts = []
+    for n in (400, 800):
+        part = spark.createDataFrame([d for d in docs if d[0] % 1000 < n], "doc_id bigint, text string").cache()
+        members = part.selectExpr("1L key", "doc_id rep")
+        nobody = spark.createDataFrame([], "node bigint, component bigint")
+        pairs = rows(neardup.crowd_pairs(members, nobody, part, 85, 1).select("a", "b"))
+        assert {t for t in twins if t[0] < n} <= set(pairs)
+        counts.append(len(pairs))
+    assert counts[1] <= 3 * counts[0] and counts[1] < 4000
+
+
 def test_near_duplicates_on_odd_rows(odd, empty):
     got = rows(neardup.near_duplicates(odd))
     assert len(got) == len(ODD) and {r[0]: r[2] for r in got}[5] == 4

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..session import scratch_root, shuffle_partitions
 
-__all__ = ["documents", "map_rows", "new_folder", "scratch_root", "shuffle_partitions", "store"]
+__all__ = ["delete", "documents", "map_rows", "new_folder", "passing", "scratch_root", "shuffle_partitions", "store"]
 
 #: Rows, and bytes, of one Arrow batch: whole texts are long, and a batch stands in the JVM and in the worker at once.
 BATCH_ROWS, BATCH_BYTES = 2000, 8_000_000
@@ -37,8 +38,39 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_scopes: list[list[str]] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
     path = new_folder(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at the end; the function it gives stores one that stays.  What is returned must read no other."""
+    own: list[str] = []
+    _scopes.append(own)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        _scopes.pop()
+        try:
+            return store(df, name)
+        finally:
+            _scopes.append(own)
+
+    try:
+        yield keep
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            delete(spark, path)

@@ -60,17 +60,17 @@ def pieces_of(docs: DataFrame, most: int = 2048, path: str | None = None, end_id
                 ids, start = np.concatenate([encode(text), end]).astype("<u4"), 0
                 for piece, n in enumerate(cut_lengths(len(ids), most)):
                     own = ids[start : start + n]
-                    values = (key, row, piece, start, n, zlib.crc32(own.tobytes()), own.astype("i8") if with_ids else None)
+                    values = (key, row, piece, start, n, zlib.crc32(own.tobytes()), own.astype("i4") if with_ids else None)
                     for k, v in zip(out, values):
                         out[k].append(v)
                     start += n
-            kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int64())}
+            kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32())}
             yield from pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items() if k != "ids" or with_ids}).to_batches()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     schema = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return map_rows(rows, run, schema + ", ids array<bigint>" * with_ids)
+    return map_rows(rows, run, schema + ", ids array<int>" * with_ids)
 
 
 def best_fit(counts: dict[int, int], capacity: Capacity = Capacity()) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, shuffle_partitions, store
+from .common import documents, map_rows, passing, shuffle_partitions, store
 from .tokens import text_groups
 from .words import hashes, windows, words
 
@@ -268,8 +268,10 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` (and ``n_chars`` counted anew); documents with no word left go."""
-    spans = repeats(docs).groupBy("d", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))  # of one document
-    spans = store(spans, "spans").withColumnsRenamed({"d": " d", "th": " th", "spans": " spans"})
+    with passing(docs.sparkSession) as keep:
+        spans = repeats(docs).groupBy("d", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))  # of one document
+        spans = keep(spans, "spans")
+    spans = spans.withColumnsRenamed({"d": " d", "th": " th", "spans": " spans"})
     names = [f"`{c}`" for c in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.withColumn(" d", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))).withColumn(" th", F.xxhash64(text)).join(spans, [" d", " th"], "left")
