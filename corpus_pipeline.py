@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.llm import classifier, lines, neardup, packing, passages
-from zonecast.llm.common import new_folder
+from zonecast.llm.common import delete, new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,9 +25,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_folder(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)  # its only reader is written
+        docs, before = spark.read.parquet(path), path
     return docs
