@@ -74,6 +74,7 @@ class DatasetConfig:
     min_child_samples: int = 20
     subsample: float = 0.8
     feature_share: float = 0.8
+    patience: int = 50
     seed: int = 42
     drift_min_samples: int = 100
     drift_max_samples: int = 1000
@@ -128,6 +129,7 @@ _TREE_KEYS = {
     "min_child_samples": "min_child_samples",
     "subsample": "subsample",
     "colsample_bytree": "feature_share",
+    "early_stopping_rounds": "patience",
     "random_state": "seed",
 }
 
