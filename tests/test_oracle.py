@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 
 # Queries whose result SQL cannot state; they are checked elsewhere in these tests.
 NO_SQL = {
-    "ks_exact", "rate_limit_replay", "gbt_eval", "compare_objectives", "feature_importance", "stream_quality", "stream_admission",
+    "ks_exact", "rate_limit_replay", "gbt_eval", "compare_objectives", "feature_importance", "stream_admission",
 }
 
 

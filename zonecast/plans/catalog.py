@@ -36,7 +36,7 @@ from zonecast.operators import (
 from zonecast.plans import learn, marts, monitor
 from zonecast.session import materialize, stage_path, use_utc
 from zonecast.sources import bikes, sinks, taxi
-from zonecast.streaming import jobs
+from zonecast.streaming import jobs, revisions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -951,6 +951,32 @@ def stream_quality(spark, sf):
     return rounded(out, "mae", "rmse", "smape")
 
 
+@query
+def stream_quality_revised(spark, sf):
+    """The prediction log and its actuals, wrong first submissions and hour-addressed ones too, in several files: pairs are revised as rows come."""
+    log, actuals = log_and_actuals(spark, sf)
+    seen = actuals.withColumn("observed_at", F.lit(AS_OF).cast(timefns.NTZ))
+    parts = {"log": log.select(*quality.LOG_COLUMNS), "seen": seen.select("seq", "prediction_id", "zone_id", "hour_ts", "actual_value", "observed_at")}
+    paths = {k: _stage_parts(v.repartition(3), k) for k, v in parts.items()}
+    left, right = (spark.readStream.schema(parts[k].schema).option("maxFilesPerTrigger", 1).parquet(paths[k]) for k in parts)
+    root = stage_path(spark, "quality")
+    out = revisions.revised_quality(left, right, f"{root}/state", f"{root}/checkpoint", window="2 days")
+    return rounded(out, "mae", "rmse", "smape")
+
+
+@query
+def usage_upserts(spark, sf):
+    """Daily usage kept by upserts of a file stream, one of whose files is replayed at the end."""
+    files = _stage_parts(usage_events(spark, sf).repartition(4), "usage")
+    stream = spark.readStream.schema(spark.read.parquet(files).schema).option("maxFilesPerTrigger", 2).parquet(files)
+    root = stage_path(spark, "usage")
+    source = F.col("_metadata.file_name")
+    revisions.usage_upserts(stream.withColumn("source", source), f"{root}/daily", f"{root}/checkpoint")
+    again = spark.read.parquet(files).withColumn("source", source)
+    revisions.merge_usage(again.where(F.col("source") == again.agg(F.min("source")).scalar()), f"{root}/daily")
+    return revisions.stored_usage(spark, f"{root}/daily")
+
+
 @query
 def stream_admission(spark, sf):
     """The admission fold as a stream with state per client."""

@@ -322,6 +322,16 @@ _HISTOGRAM = """
            count(*) FILTER (WHERE v <= e) AS observations
     FROM (SELECT {by} {value} AS v FROM rlog) CROSS JOIN (SELECT unnest({edges}::DOUBLE[]) AS e) GROUP BY {by} e"""
 
+#: Windows of two days that start every day, of matched pairs.
+_WINDOWS = """
+    SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, {columns} FROM (
+        SELECT date_trunc('day', created_at) - k * INTERVAL 1 DAY AS window_start, count(*) AS matched_pairs,
+               round(avg(abs(actual_value - predicted_value)), 6) AS mae,
+               round(sqrt(avg(pow(actual_value - predicted_value, 2))), 6) AS rmse,
+               round(coalesce(100 * avg(CASE WHEN abs(actual_value) + abs(predicted_value) > 0 THEN
+                   2 * abs(actual_value - predicted_value) / (abs(actual_value) + abs(predicted_value)) END), 0), 6) AS smape
+        FROM ({pairs}), (SELECT unnest([0, 1]) AS k) GROUP BY 1)"""
+
 _QUALITY = """
     SELECT CASE WHEN n >= 10 THEN 'ok' ELSE 'insufficient_matched_pairs' END AS status, '3d' AS window,
                n AS matched_pairs, 10::BIGINT AS required, CASE WHEN n >= 10 THEN round(mae, 6) END AS mae,
@@ -613,4 +623,21 @@ ORACLE = {
     "stream_usage": sql(
         "SELECT client, endpoint, date, request_count, total_records FROM usage"
     ),
+    "usage_upserts": sql("SELECT client, endpoint, date, request_count, total_records FROM usage"),
+    "stream_quality": sql(
+        _WINDOWS.format(
+            pairs="SELECT p.created_at, p.predicted_value, s.v AS actual_value FROM plog p JOIN (SELECT md5(concat_ws('|', zone_id, hour_ts, "
+            "'slot_mean', '')) AS prediction_id, hour_ts + INTERVAL 1 HOUR AS observed_at, CAST(trip_count AS DOUBLE) AS v FROM dense) s "
+            "USING (prediction_id) WHERE s.observed_at >= p.created_at",
+            columns="matched_pairs, mae, rmse, smape",
+        )
+    ),
+    "stream_quality_revised": sql(
+        _WINDOWS.format(
+            pairs="SELECT created_at, predicted_value, actual_value FROM final_log WHERE actual_value IS NOT NULL",
+            columns="CASE WHEN matched_pairs >= 10 THEN 'ok' ELSE 'insufficient_matched_pairs' END AS status, matched_pairs, "
+            "CASE WHEN matched_pairs >= 10 THEN mae END AS mae, CASE WHEN matched_pairs >= 10 THEN rmse END AS rmse, "
+            "CASE WHEN matched_pairs >= 10 THEN smape END AS smape",
+        )
+    ),
 }
