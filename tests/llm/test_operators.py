@@ -75,9 +75,32 @@ def test_token_store(spark, odd, empty, tmp_path):
     want = sorted(zlib.crc32(np.array([*lib.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for r in ODD)
     assert sorted(r[3] for r in got) == want
     found = idstore.lookup(spark, str(tmp_path / "odd"), spark.createDataFrame([(5,), (7,), (99,), (None,)], "doc_id bigint")).collect()
-    assert sorted((r["doc_id"], r["occurrence"]) for r in found) == [(5, 0), (5, 1), (7, 0)]
+    starts = [(r[0], r[1]) for r in got if r[0] in (None, 5, 7)]
+    assert sorted((r["doc_id"] or 0, r["start"]) for r in found) == sorted((k or 0, at) for k, at in starts)
+    for r in found:
+        text = next(t for i, t, *_ in ODD if i == r["doc_id"])
+        assert r["ids"] == [*lib.encode(text, add_special_tokens=False).ids, 0]
     idstore.write(empty, str(tmp_path / "empty"))
     assert idstore.digests(spark, str(tmp_path / "empty")).count() == 0
+    assert idstore.lookup(spark, str(tmp_path / "empty"), spark.createDataFrame([(5,), (None,)], "doc_id bigint")).count() == 0
+
+
+def test_token_store_opens_only_addressed_segments(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(idstore, "BUCKET_KEYS", 64)
+    folder = str(tmp_path / "many")
+    docs = [(i, f"text number {i} " * (1 + i % 5)) for i in range(600)] + [(250, f"again {i}") for i in range(300)] + [(None, f"none {i}") for i in range(40)]
+    idstore.write(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5), folder, segment_ids=200)
+    wanted = spark.createDataFrame([(3,), (599,), (77,), (-1,), (600,), (1 << 62,)], "doc_id bigint")
+    opened = idstore._addressed(spark, folder, wanted).collect()
+    assert sorted(r["doc_id"] for r in opened) == [3, 77, 599]
+    found = idstore.lookup(spark, folder, wanted).collect()
+    fast = fast_encoder(default_path())
+    assert {r["doc_id"]: r["ids"] for r in found} == {i: [*fast(docs[i][1]).tolist(), 0] for i in (3, 77, 599)}
+    # a key that spans several segments, and the null key
+    hot = idstore.lookup(spark, folder, spark.createDataFrame([(250,), (None,)], "doc_id bigint")).collect()
+    texts = sorted((i or -1, tuple([*fast(t).tolist(), 0])) for i, t in docs if i in (250, None))
+    assert sorted((r["doc_id"] or -1, tuple(r["ids"])) for r in hot) == texts
+    assert len({r["start"] for r in hot}) == len(hot)
 
 
 def test_perfect_hash():
@@ -133,25 +156,34 @@ def test_topk_is_exact(spark):
     v = {i: np.floor(2 * np.array(x)) for i, x in data[:300]}
     want = []
     for q in range(0, 300, 50):
-        best = sorted((-int(v[q] @ v[c]), c) for c in v if c != q)[:5]
+        best = sorted((-int(v[q] @ v[c]), c) for c in [*v, 7] if c != q)[:5]  # 7 is stored twice
         want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     assert got == want
     assert topk.search(vectors.where("false"), vectors.where("false")).count() == 0
 
 
-def test_topk_counts_repeated_rows_once(spark):
-    """Rows that stand several times among a query's best, of candidates and of queries: the SQL over distinct rows."""
+def test_topk_ranks_every_row(spark):
+    """Rows that stand several times among a query's best, of candidates and of queries, against the SQL over the same rows."""
     duckdb = pytest.importorskip("duckdb")
     rng = np.random.default_rng(6)
     data = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(1, 120)]
-    data += [(500, [9.0] * 4)] * 5 + [(501, [8.0] * 4)] * 2 + [(50, data[49][1]), (50, [1.0] * 4), (100, [2.0] * 4)]
-    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>").coalesce(1)
-    vectors = topk.integer_vectors(frame)
-    got = rows(topk.search(vectors.where("vec_id % 50 = 0"), vectors, n_pivots=4, block=1000))
+    data += [(500, [9.0] * 4)] * 3 + [(501, [8.0] * 4)] * 2 + [(50, data[49][1]), (50, [1.0] * 4), (100, [2.0] * 4)]
     db = duckdb.connect()
     db.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
-    db.executemany("INSERT INTO embeddings VALUES (?, ?)", [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in data}])
-    assert sorted(got) == sorted(db.execute(topk.ORACLE_SQL).fetchall())
+    db.executemany("INSERT INTO embeddings VALUES (?, ?)", data)
+    want = sorted(db.execute(topk.ORACLE_SQL).fetchall())
+    for parts, block in ((1, 1000), (4, 16)):
+        vectors = topk.integer_vectors(spark.createDataFrame(data, "vec_id bigint, embedding array<double>").repartition(parts))
+        got = rows(topk.search(vectors.where("vec_id % 50 = 0"), vectors, n_pivots=4, block=block))
+        assert sorted(got) == want
+    assert [v for q, r, v, _ in want if q == 100] == [500, 500, 500, 501, 501]
+
+
+def test_topk_refuses_what_it_cannot_compare(spark):
+    for data in ([(0, [1.0] * 3), (1, [1.0] * 5)], [(0, [1e12] * 3), (1, [1.0] * 3)]):
+        vectors = topk.integer_vectors(spark.createDataFrame(data, "vec_id bigint, embedding array<double>").coalesce(1))
+        with pytest.raises(Exception, match="compare|too large"):
+            topk.search(vectors, vectors).collect()
 
 
 def test_sharding(odd, empty):

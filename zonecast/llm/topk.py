@@ -11,9 +11,9 @@ size, so the memory of a task does not depend on the table.  Pivots are a bounde
 smallest hash); they affect speed alone.  The work grows with queries times candidates: both grow with the table here.
 
 Vectors that are null or hold a null or non-finite component take no part, and so do rows without an id.  All vectors must have
-one dimension.  Rows of equal (id, vector) are one, as a query and as a candidate, and are removed before blocks are built, so that they
-take one place of a block's best (``ORACLE_SQL`` ranks each of such rows, and agrees where there are none).  The hits of all vectors
-with a query's id are ranked together.  A candidate with the query's own id is left out, whatever its row.
+one dimension, and squared lengths must fit 60 bits; others raise.  Every row is a candidate, so a row that is stored m times can take m
+ranks.  Every row of a query's id is asked, and the hits of all of them are ranked together.  A candidate with the query's own id is
+left out, whatever its row.
 """
 
 from __future__ import annotations
@@ -40,15 +40,14 @@ def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     return rows.select(F.col(key).cast("bigint").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
-
-
-def _distinct(rows: DataFrame) -> DataFrame:
-    """``rows`` without repeats of (vec_id, v).  Only rows of ids that occur more than once are shuffled."""
-    again = store(rows.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").select("vec_id"), "again")
-    return rows.join(again, "vec_id", "left_anti").union(rows.join(again, "vec_id", "left_semi").distinct())
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    sizes = np.diff(column.offsets.to_numpy())
+    if (sizes != width).any():
+        raise ValueError(f"vectors of {sorted(set(sizes.tolist()) | {width})} components cannot be compared")
+    m = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)
+    if m.size and np.abs(m).max() > (1 << 30) / width**0.5:
+        raise ValueError("components are too large for exact 64-bit scores; choose a smaller scale")
+    return m
 
 
 def _blocks(rows: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
@@ -58,7 +57,7 @@ def _blocks(rows: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, size):
                 part = batch.slice(start, size)
-                m = _matrix(part.column("v"))
+                m = _matrix(part.column("v"), pivots.shape[1])
                 to = np.sqrt(np.maximum(0, (m * m).sum(1)[:, None] + (pivots * pivots).sum(1) - 2 * (m @ pivots.T))).astype(np.float64)
                 ids = part.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int32()), "ids": [ids.tobytes()], "vectors": [m.tobytes()], "table": [to.tobytes()]})
@@ -73,8 +72,9 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, q_to: np.ndarray, c_ids: np.
     c_float, all_c = np.ascontiguousarray(c_to.T), np.arange(len(c))
     for i in range(len(q)):
         lower = np.abs(c_float - q_to[i][:, None]).max(axis=0) if c_float.size else np.zeros(len(c))
-        # One more than the bound itself: square roots are rounded.
-        upper = np.floor((q_norm[i] + c_norm - lower * lower * (1 - 1e-12)) / 2).astype(np.int64) + 1
+        # A little more than the bound itself: square roots and doubles are rounded.
+        both = q_norm[i] + c_norm
+        upper = np.floor((both - lower * lower * (1 - 1e-12)) / 2).astype(np.int64) + 1 + (both >> 50)
         own = all_c[c_ids != q_ids[i]]
         order = own[np.argsort(-upper[own], kind="stable")]
         best_s, best_c = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -92,9 +92,13 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, q_to: np.ndarray, c_ids: np.
 def search(queries: DataFrame, candidates: DataFrame, k: int = K, n_pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``; both inputs as ``integer_vectors`` gives them."""
     spark = queries.sparkSession
-    queries, candidates = _distinct(queries.select("vec_id", "v")), _distinct(candidates.select("vec_id", "v"))
+    queries, candidates = queries.select("vec_id", "v"), candidates.select("vec_id", "v")
     chosen = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).select("v").collect()  # PIVOTS rows
-    pivots = np.array([r["v"] for r in chosen], np.int64) if chosen else np.zeros((0, 1), np.int64)
+    if len({len(r["v"]) for r in chosen}) > 1:
+        raise ValueError("vectors of different numbers of components cannot be compared")
+    if not chosen:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    pivots = np.array([r["v"] for r in chosen], np.int64)
     # Blocks are rows of bytes, so a shuffle moves each block whole and tasks get equal shares.
     left = _blocks(queries, pivots, block).withColumn("q_block", F.monotonically_increasing_id())
     right = _blocks(candidates, pivots, block).withColumn("c_block", F.monotonically_increasing_id())
