@@ -424,15 +424,94 @@ def test_mixing(spark, odd, empty):
 
 
 def test_mixing_is_a_probability():
-    code = mixing.Code(np.arange(257))
+    code = mixing.Code(np.arange(mixing.SYMBOLS))
     assert sum(2.0 ** -int(n) for n in code.length) == 1.0
-    tables, total = np.zeros(mixing.SLOTS, np.int8), 0.0
-    for s in range(257):  # of all first symbols
-        slots, place, bit = code.decisions(np.array([s]))
-        total += math.exp(mixing.Mixer().learn(tables, slots, place, bit))
+    total = 0.0
+    for s in range(mixing.SYMBOLS):  # of all first symbols
+        _, _, step = code.steps(np.array([s]))
+        total += math.exp(mixing.Mixer().learn(np.zeros((mixing.PREDICTORS, len(step)), np.int8), np.zeros(len(step), np.int64), code.bit[step]))
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def plain_contexts(symbols):
+    """Of each symbol: the symbols before it (zero: none), the word so far, and the place in the word."""
+    word = []
+    for i, s in enumerate(symbols):
+        before = [symbols[i - k] + 1 if i >= k else 0 for k in (1, 2, 3, 4, 5)]
+        yield s, (tuple(before[:2]), tuple(before[:3]), tuple(before), tuple(word)), len(word)
+        word = [] if s == 32 else [*word, s]
+
+
+def test_mixing_contexts_of_parts(monkeypatch):
+    rng = random.Random(2)
+    texts = [mixing.symbols_of([bytes(rng.choices(b"abc", k=rng.choice([1, 2, 40]))) for _ in range(n)]) for n in (0, 1, 3, 200, 2, 0, 90, 1)]
+    whole = [mixing.contexts(t, np.zeros(1, np.int64))[:2] for t in texts]
+    seen, back = {}, {}
+    for t, (pairs, place) in zip(texts, whole):
+        for i, (s, contexts, at) in enumerate(plain_contexts(t.tolist())):
+            assert place[i] == at
+            for k, context in enumerate(contexts):
+                assert seen.setdefault((k, context, s), pairs[k, i]) == pairs[k, i] and back.setdefault(pairs[k, i], (k, context, s)) == (k, context, s)
+    for part in (7, 64, 10_000):
+        monkeypatch.setattr(mixing, "PART", part)
+        laid = list(mixing.laid_out(texts))
+        assert [x for _, s, _, _ in laid for x in s.tolist()] == [x for t in texts for x in t.tolist()]
+        assert np.array_equal(np.concatenate([p for _, _, p, _ in laid], axis=1), np.concatenate([p for p, _ in whole], axis=1))
+        assert np.array_equal(np.concatenate([p for _, _, _, p in laid]), np.concatenate([p for _, p in whole]))
+        assert sum(n > 0 for lengths, *_ in laid for n in lengths) == len(texts)
+
+
+def test_mixing_against_plain_loops(spark):
+    """Counts, start state and scores by dictionaries over a small corpus, in which some rows repeat."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdé", k=rng.randint(1, 6))) for _ in range(40)]
+    data = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 60)))) for i in range(60)] + [(7, "again"), (None, "None here"), (61, None)]
+    got = {}
+    for parts in (1, 8):
+        frame = spark.createDataFrame(data, "doc_id bigint, text string").repartition(parts)
+        got[parts] = sorted(((r["doc_id"] if r["doc_id"] is not None else -1, r["n_tokens"], r["score"]) for r in mixing.scores(frame).collect()))
+    texts = [(i, mixing.symbols_of((t or "").encode().lower().split()).tolist(), zlib.crc32(str(i).encode()) % 10 if i is not None else 0) for i, t in data]
+    code = mixing.Code(np.bincount([s for _, t, fold in texts if fold for s in t], minlength=256))
+    path = {s: [(int(code.node[j]), int(code.bit[j])) for j in range(code.start[s], code.start[s] + code.length[s])] for s in range(256)}
+
+    def counted(folds):
+        seen = collections.Counter()
+        for _, t, fold in texts:
+            for s, contexts, _ in plain_contexts(t) if fold in folds else ():
+                seen.update((k, c, *step) for k, c in enumerate(contexts) for step in path[s])
+        return seen
+
+    def learned(t, seen, mixer):
+        rows = [([(k, c, node) for k, c in enumerate(contexts)], min(place, 7), bit) for s, contexts, place in plain_contexts(t) for node, bit in path[s]]
+        logits = [[max(-127, min(127, round(16 * math.log((seen[(*key, 1)] + 0.4) / (seen[(*key, 0)] + 0.4))))) for key in keys] for keys, _, _ in rows]
+        return mixer.blocks(np.array(logits, np.int8).T, np.array([p for _, p, _ in rows]), np.array([b for _, _, b in rows], np.uint8)), -(-len(rows) // mixing.BLOCK)
+
+    early, total, n = counted(range(2, 10)), 0, 0
+    for _, t, fold in texts:
+        if fold == 1:
+            mixer = mixing.Mixer()
+            _, blocks = learned(t, early, mixer)
+            total, n = total + blocks * np.concatenate([mixer.weights.ravel(), mixer.cells]).astype(float), n + blocks
+    assert n > 1
+    state = np.array(total / n, np.float32)
+    cut, seen, want = mixing.PREDICTORS * mixing.GATES, counted(range(1, 10)), []
+    for i, t, _ in texts:
+        mixer = mixing.Mixer(state[:cut].reshape(mixing.PREDICTORS, mixing.GATES), state[cut:])
+        want.append((i if i is not None else -1, t.count(32) + 2 - (t == [mixing.END]), learned(t, seen, mixer)[0] / math.log(10)))
+    want.sort()
+    assert [x[:2] for x in got[1]] == [x[:2] for x in want]
+    assert [x[2] for x in got[1]] == pytest.approx([x[2] for x in want], rel=1e-4)
+    assert [x[2] for x in got[8]] == pytest.approx([x[2] for x in got[1]], rel=1e-9)
+
+
+def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one = {r["doc_id"]: r["score"] for r in mixing.scores(docs.coalesce(1)).collect()}
+    monkeypatch.setattr(mixing, "CHUNK_BYTES", 50_000)
+    many = {r["doc_id"]: r["score"] for r in mixing.scores(docs.repartition(8)).collect()}
+    assert many == pytest.approx(one, rel=1e-9)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -9,12 +9,16 @@ text's log probability, and in base 2 over its bytes the bits per byte.
 The decisions of a symbol are the steps down a Huffman tree of the training symbols: lower-cased bytes of the words, one space after
 each word, and an end.  About four steps stand for a symbol instead of eight, and any byte can be coded.
 
-What is learned from the corpus, all of it by Spark: (1) symbol counts; (2) for each context slot how often the bit was 0 and 1, over all
-training texts but those with remainder 1; each task counts its own texts into tables of a fixed size, which are summed by
-segment; (3) the start of weights and map, from the training texts with remainder 1, which the tables haven't seen (means over
-tasks); (4) exact counts of all words, for the base score.  The tables (``SLOTS`` bytes) and weights have a fixed size and are
-broadcast.  Word counts aren't: texts are dealt into chunks of about ``CHUNK_BYTES``, each chunk sends its distinct words to
-buckets, the buckets send the counts back, and the chunk is scored together with them.  No group grows beyond a chunk or a bucket.
+What is learned from the corpus, all of it by Spark and all of it growing with it: (1) symbol counts; (2) how often each symbol followed each
+context, hence how often each bit was 0 and 1 there; (3) the start of weights and map: the mean, over the training texts with
+remainder 1, of what each of them learns from contexts counted without these texts (scores use the counts of all training texts); (4) counts of
+all words, for the base score.  A context is known by 56 bits of its hash, so there is no table of a fixed size that could fill.  Texts
+are dealt into chunks of about ``CHUNK_BYTES``.  Each chunk sends its distinct words and its distinct pairs of context and symbol to
+buckets, which add up and send back word counts and, for each pair, the logits on the symbol's way down the tree; the chunk is scored together
+with them.  Buckets are as many as chunks, so no group grows beyond a chunk or a bucket; nothing but symbol counts, weights and map is broadcast.
+
+All counts and the mean are sums of integers and contexts never reach over a text's start, so scores don't depend on how the table is
+partitioned.  Long texts are laid out in parts that carry the last symbols and the word so far.
 
 Null text is the empty text: one token, the end.  Rows without a doc_id count as held out.  Repeated rows are counted and scored one by one.
 Other columns are ignored.
@@ -25,43 +29,45 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, shuffle_partitions, store
+from .common import documents, passing, store
 from .tokens import text_groups
 from .words import hashes, mixed, words
 
 FOLDS, WEIGHT_FOLD = 10, 1
-CHUNK_BYTES = 6_000_000
-END = 256
+CHUNK_BYTES = 12_000_000
+#: The end of a text: a byte that no word holds.
+END, SYMBOLS = 9, 256
 END_WORD = np.uint64(0x9D8C7B6A59483726)
-#: Slots of each predictor's table: two, three, five symbols, word so far.
-TABLES = (1 << 18, 1 << 20, 1 << 21, 1 << 21)
-STARTS = np.cumsum((0, *TABLES))
-SLOTS = int(STARTS[-1])
-SEGMENT = 1 << 16
+#: Two, three and five symbols, and the word so far.
+PREDICTORS = 4
 PLACES, CELLS = 8, 24
 #: The gate: place in the word, and whether the two longest contexts have been seen.
 GATES = 4 * PLACES
-BLOCK = 4096
+BLOCK, PART = 4096, 1 << 18
 WEIGHT_RATE, MAP_RATE = 0.05, 0.5
+#: States are averaged as integers of this fraction.
+FRACTION = 1 << 20
+#: What a row of counts is about: words, contexts as they stand for scores, contexts without the weight fold.
+WORDS, ALL, EARLY = 0, 1, 2
 
 
 class Code:
-    """Prefix code of the 257 symbols: for each, its steps (inner node, bit), laid out one after the other."""
+    """Prefix code of the symbols: for each, its steps (inner node, bit), laid out one after the other."""
 
     def __init__(self, counts: np.ndarray):
         heap = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
         heapq.heapify(heap)
         tree: dict[int, tuple[int, int]] = {}
-        node = 257
+        node = SYMBOLS
         while len(heap) > 1:
             (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
             tree[node] = (x, y)
@@ -71,58 +77,124 @@ class Code:
         todo = [(node - 1, [])]
         while todo:
             at, path = todo.pop()
-            if at < 257:
+            if at < SYMBOLS:
                 steps[at] = path
             else:
-                todo += [(child, [*path, (at - 257, bit)]) for bit, child in enumerate(tree[at])]
-        self.length = np.array([len(steps[s]) for s in range(257)])
+                todo += [(child, [*path, (at - SYMBOLS, bit)]) for bit, child in enumerate(tree[at])]
+        self.length = np.array([len(steps[s]) for s in range(SYMBOLS)])
         self.start = np.cumsum(self.length) - self.length
-        self.node = np.array([n for s in range(257) for n, _ in steps[s]], np.int64)
-        self.bit = np.array([b for s in range(257) for _, b in steps[s]], np.uint8)
-        self.salt = [(mixed(np.arange(256, dtype=np.uint64) + np.uint64(1000 * k + 7)) >> np.uint64(32)).astype(np.uint32) for k in range(4)]
+        self.node = np.array([n for s in range(SYMBOLS) for n, _ in steps[s]], np.int64)
+        self.bit = np.array([b for s in range(SYMBOLS) for _, b in steps[s]], np.uint8)
 
-    def decisions(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Table slots for each predictor, place in the word, and bit of every decision."""
-        n = len(symbols)
+    def steps(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of steps of each symbol; of every step its number within the symbol, and its place in ``node`` and ``bit``."""
         count = self.length[symbols]
         ends = np.cumsum(count)
-        step = np.arange(ends[-1]) + np.repeat(self.start[symbols] - ends + count, count)
-        node, bit = self.node[step], self.bit[step]
-        s = symbols.astype(np.uint64) + np.uint64(1)
-        padded = np.concatenate([np.zeros(5, np.uint64), s])
-        back = [padded[5 - k : 5 - k + n] for k in range(6)]  # back[k]: the symbol k places before
-        two = back[1] * np.uint64(259) + back[2]
-        three = two * np.uint64(259) + back[3]
-        five = (three * np.uint64(259) + back[4]) * np.uint64(259) + back[5]
-        # The word so far: the sum of its symbols, mixed with their places.
-        index = np.arange(n)
-        gap = np.concatenate([[True], symbols[:-1] == 32])  # a word starts here
-        first = np.maximum.accumulate(np.where(gap, index, 0))
-        place = index - first
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(s + np.uint64(263) * place.astype(np.uint64)))])[:-1]
-        word = mixed(total - total[first] + np.uint64(3))
-        slots = np.empty((len(TABLES), len(node)), np.int64)
-        for k, (context, size) in enumerate(zip((mixed(two), mixed(three), mixed(five), word), TABLES)):
-            np.add(np.repeat((context >> np.uint64(32)).astype(np.uint32), count) + self.salt[k][node] & np.uint32(size - 1), STARTS[k], out=slots[k], casting="unsafe")
-        return slots, np.repeat(np.minimum(place, PLACES - 1), count), bit
+        within = np.arange(int(count.sum())) - np.repeat(ends - count, count)
+        return count, within, within + np.repeat(self.start[symbols], count)
+
+
+@lru_cache(maxsize=2)
+def code_of(counts: tuple[int, ...]) -> Code:
+    return Code(np.array(counts))
 
 
 def symbols_of(own: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b" ".join(own), np.uint8).astype(np.int64)
-    return np.concatenate([raw, [END]])
+    raw = np.frombuffer(b" ".join(own), np.uint8)
+    return np.append(raw, np.uint8(END))
+
+
+@dataclass
+class Lead:
+    """What a part of a long text carries over: the last five symbols (each plus one), and place and hash of the word so far."""
+
+    last: np.ndarray
+    place: int
+    word: np.uint64
+
+
+def _marked(begins: np.ndarray, n: int, before: int) -> np.ndarray:
+    """``begins`` at their own places and ``before`` elsewhere, to be spread by a running maximum."""
+    out = np.full(n, before)
+    out[begins] = begins
+    return out
+
+
+def contexts(symbols: np.ndarray, begins: np.ndarray, lead: Lead | None = None) -> tuple[np.ndarray, np.ndarray, Lead]:
+    """For each predictor and symbol the pair (56 bits of the context, symbol) as one number; place in the word; what the next part needs.
+
+    ``begins`` are the positions where texts start, ascending; with ``lead`` the first symbols go on from an earlier part.
+    """
+    n, index = len(symbols), np.arange(len(symbols))
+    s = symbols.astype(np.uint64) + np.uint64(1)
+    padded = np.concatenate([np.zeros(5, np.uint64) if lead is None else lead.last, s])
+    back = [padded[5 - k : 5 - k + n].copy() for k in range(6)]  # back[k]: the symbol k places before
+    # nothing stands before a text: its first k symbols have no k-th symbol before them
+    age = index - np.maximum.accumulate(_marked(begins, n, -5))
+    for k in range(1, 6):
+        back[k][age < k] = 0
+    two = back[1] * np.uint64(259) + back[2]
+    three = two * np.uint64(259) + back[3]
+    five = (three * np.uint64(259) + back[4]) * np.uint64(259) + back[5]
+    # The word so far: the sum of its symbols, mixed with their places.
+    gap = back[1] == 33
+    gap[begins] = True
+    first = np.maximum.accumulate(np.where(gap, index, -1))
+    carried = first < 0
+    place = index - first
+    if carried.any():
+        place[carried] = index[carried] + lead.place
+    own = mixed(s + np.uint64(263) * place.astype(np.uint64))
+    total = np.cumsum(own) - own
+    word = total - np.where(carried, np.uint64(0), total[np.maximum(first, 0)])
+    if carried.any():
+        word[carried] += lead.word
+    pairs = np.empty((PREDICTORS, n), np.uint64)
+    for k, context in enumerate((two, three, five, word)):
+        np.bitwise_or(mixed(context * np.uint64(PREDICTORS) + np.uint64(k)) << np.uint64(8), s - np.uint64(1), out=pairs[k])
+    return pairs, place, Lead(padded[-5:].copy(), int(place[-1]) + 1, (word[-1:] + own[-1:])[0])
+
+
+def laid_out(texts: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Parts of at most about ``PART`` symbols: the lengths of the texts in it, symbols, pairs, places.
+
+    A text longer than a part stands alone, in parts; all but its last have a negative length.
+    """
+    held: list[np.ndarray] = []
+
+    def together():
+        lengths = [len(x) for x in held]
+        symbols = np.concatenate(held)
+        pairs, place, _ = contexts(symbols, np.cumsum([0, *lengths[:-1]]))
+        return lengths, symbols, pairs, place
+
+    for text in texts:
+        if held and sum(map(len, held)) + len(text) > PART:
+            yield together()
+            held = []
+        if len(text) <= PART:
+            held.append(text)
+            continue
+        lead = None
+        for at in range(0, len(text), PART):
+            own = text[at : at + PART]
+            pairs, place, lead = contexts(own, np.zeros(0 if at else 1, np.int64), lead)
+            yield [len(own) if at + PART >= len(text) else -len(own)], own, pairs, place
+    if held:
+        yield together()
 
 
 class Mixer:
     """Weights by gate and refining map; they learn after every block."""
 
     def __init__(self, weights: np.ndarray | None = None, cells: np.ndarray | None = None):
-        self.weights = np.full((len(TABLES), GATES), 0.3, np.float32) if weights is None else weights.copy()
+        self.weights = np.full((PREDICTORS, GATES), 0.3, np.float32) if weights is None else weights.copy()
         line = (np.arange(CELLS) - CELLS / 2 + 0.5) / 1.5
         self.cells = np.tile(line, GATES).astype(np.float32) if cells is None else cells.copy()
 
-    def learn(self, tables: np.ndarray, slots: np.ndarray, place: np.ndarray, bit: np.ndarray) -> float:
-        """Natural log probability of the bits; then learns from them."""
-        logits = [tables[s] * np.float32(1 / 16) for s in slots]
+    def learn(self, sixteenths: np.ndarray, place: np.ndarray, bit: np.ndarray) -> float:
+        """Natural log probability of the bits, from the predictors' logits in sixteenths; then learns from them."""
+        logits = [x * np.float32(1 / 16) for x in sixteenths]
         gate = place * 4 + (logits[-1] == 0) * 2 + (logits[-2] == 0)
         z = logits[0] * self.weights[0].take(gate)
         for x, w in zip(logits[1:], self.weights[1:]):
@@ -139,25 +211,50 @@ class Mixer:
         self.cells += (MAP_RATE * np.bincount(cell, off, GATES * CELLS) / seen).astype(np.float32)
         return total
 
-    def text(self, code: Code, tables: np.ndarray, symbols: np.ndarray) -> float:
-        total = 0.0
-        # contexts reach back over the start of a long text's parts, so the whole text is laid out in bounded parts
-        for at in range(0, len(symbols), 1 << 18):
-            slots, place, bit = code.decisions(symbols[at : at + (1 << 18)])
-            for b in range(0, len(bit), BLOCK):
-                total += self.learn(tables, slots[:, b : b + BLOCK], place[b : b + BLOCK], bit[b : b + BLOCK])
-        return total
-
-
-class Model:
-    def __init__(self, counts: list[int], tables: bytes, weights: list[float], cells: list[float]):
-        self.code = Code(np.array(counts))
-        self.tables = np.frombuffer(tables, np.int8)
-        self.weights = np.array(weights, np.float32).reshape(len(TABLES), GATES)
-        self.cells = np.array(cells, np.float32)
-
-    def log10(self, own: list[bytes]) -> float:
-        return Mixer(self.weights, self.cells).text(self.code, self.tables, symbols_of(own)) / math.log(10)
+    def blocks(self, sixteenths: np.ndarray, place: np.ndarray, bit: np.ndarray) -> float:
+        return sum(self.learn(sixteenths[:, b : b + BLOCK], place[b : b + BLOCK], bit[b : b + BLOCK]) for b in range(0, len(bit), BLOCK))
+
+
+class Known:
+    """A chunk's pairs, each with the logits on its symbol's way down the tree."""
+
+    def __init__(self, code: Code, pairs: np.ndarray, logits: np.ndarray):
+        length = code.length[(pairs & np.uint64(255)).astype(np.int64)]
+        start = np.cumsum(length) - length
+        order = np.argsort(pairs)
+        self.code, self.pairs, self.start, self.logits = code, pairs[order], start[order], logits
+        # Most pairs have a place of their own in a table by the upper bits; the others are searched for.
+        self.shift = np.uint64(64 - max(1, min(24, len(pairs).bit_length() + 1)))
+        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.table[(self.pairs >> self.shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
+
+    def at(self, pairs: np.ndarray) -> np.ndarray:
+        """Where the logits of each pair start."""
+        i = self.table[(pairs >> self.shift).astype(np.int64)]
+        other = np.flatnonzero(self.pairs[i] != pairs)
+        i[other] = np.searchsorted(self.pairs, pairs[other])
+        return self.start[i]
+
+    def decisions(self, symbols: np.ndarray, pairs: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of decisions of each symbol; logits in sixteenths of every predictor, place in the word, and bit of every decision."""
+        count, within, step = self.code.steps(symbols)
+        sixteenths = np.empty((PREDICTORS, len(step)), np.int8)
+        for own, row in zip(pairs, sixteenths):
+            np.take(self.logits, np.repeat(self.at(own), count) + within, out=row)
+        return count, sixteenths, np.repeat(np.minimum(place, PLACES - 1), count), self.code.bit[step]
+
+    def learned(self, texts: list[np.ndarray], start: tuple[np.ndarray, np.ndarray] | tuple[()] = ()) -> Iterator[tuple[float, int, Mixer]]:
+        """Of each text: natural log probability, number of blocks, and the state it ends in."""
+        mixer, total, blocks = Mixer(*start), 0.0, 0
+        for lengths, symbols, pairs, place in laid_out(texts):
+            count, sixteenths, place, bit = self.decisions(symbols, pairs, place)
+            ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(abs, lengths)])].tolist()
+            for length, a, b in zip(lengths, ends, ends[1:]):
+                total += mixer.blocks(sixteenths[:, a:b], place[a:b], bit[a:b])
+                blocks += -(-(b - a) // BLOCK)
+                if length > 0:
+                    yield total, blocks, mixer
+                    mixer, total, blocks = Mixer(*start), 0.0, 0
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -176,144 +273,161 @@ def chunked(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, fold int, text string, chunk bigint")
 
 
-def _sizes(sorted_buckets: np.ndarray) -> list[tuple[int, int, int]]:
-    edges = [0, *(np.flatnonzero(np.diff(sorted_buckets)) + 1).tolist(), len(sorted_buckets)]
-    return [(int(sorted_buckets[a]), a, b) for a, b in zip(edges, edges[1:]) if b > a]
+class Tally:
+    """Distinct keys with two counts each, added up in parts."""
+
+    def __init__(self):
+        self.keys, self.counts = [], []
+
+    def add(self, keys: np.ndarray, which: int | None) -> None:
+        """Counts ``keys`` as ``which``; None: they are wanted, but not counted."""
+        own, n = np.unique(keys, return_counts=True)
+        counts = np.zeros((2, len(own)), np.int64)
+        if which is not None:
+            counts[which] = n
+        self.keys.append(own)
+        self.counts.append(counts)
+        if len(self.keys) > 32:
+            own, counts = self.total()
+            self.keys, self.counts = [own], [counts]
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        return added(np.concatenate(self.keys), np.concatenate(self.counts, axis=1))[:2]
+
+
+def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sums of their counts (2 rows), and the place of each key among the distinct ones."""
+    own, inverse = np.unique(keys, return_inverse=True)
+    return own, np.stack([np.bincount(inverse, c, len(own)).astype(np.int64) for c in counts]), inverse
+
 
+SENT = "chunk bigint, bucket bigint, kind int, keys binary, counts binary, early binary, symbols array<bigint>"
 
-def word_rows(chunks: DataFrame, buckets: int) -> DataFrame:
-    """chunk, bucket, words (distinct hashes) and counts (in its training texts); bucket -1 holds the symbol counts."""
+
+def sent_rows(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Of each chunk and bucket the distinct words and pairs with their counts in its training texts: outside the weight fold, and
+    in it (``early``).  One row more a chunk, with bucket -1, holds the symbol counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict = {"chunk": None, "train": [], "rest": [], "symbols": np.zeros(257, np.int64), "held": 0}
+        state: dict = {"chunk": None}
+
+        def begin(chunk: int) -> None:
+            state.update(chunk=chunk, tallies=(Tally(), Tally()), symbols=np.zeros(SYMBOLS, np.int64), held={})
+
+        def spend(which: int | None) -> None:
+            own = state["held"].pop(which)
+            state["tallies"][WORDS].add(np.concatenate([h for h, _ in own]), which)
+            for _, symbols, pairs, _ in laid_out([s for _, s in own]):
+                if which is not None:
+                    state["symbols"] += np.bincount(symbols, minlength=SYMBOLS)
+                state["tallies"][ALL].add(pairs.ravel(), which)
 
         def flush() -> Iterator[pa.RecordBatch]:
             if state["chunk"] is None:
                 return
-            h = np.concatenate([*state["train"], *state["rest"]])
-            distinct, inverse = np.unique(h, return_inverse=True)
-            count = np.bincount(inverse, np.arange(len(h)) < sum(map(len, state["train"])), len(distinct)).astype(np.int64)
-            bucket = (distinct % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            distinct, count, bucket = distinct[order], count[order], bucket[order]
-            cut = _sizes(bucket)
-            rows = [(k, distinct[a:b].tobytes(), count[a:b].tobytes(), None) for k, a, b in cut] + [(-1, b"", b"", state["symbols"].tolist())]
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([state["chunk"]] * len(rows), pa.int64()), "bucket": pa.array(cols[0], pa.int32()), "words": pa.array(cols[1], pa.binary()),
-                 "counts": pa.array(cols[2], pa.binary()), "symbols": pa.array(cols[3], pa.list_(pa.int64()))}
-            )
-            state.update(train=[], rest=[], symbols=np.zeros(257, np.int64), held=0)
+            for which in list(state["held"]):
+                spend(which)
+            rows: list[tuple] = [(-1, WORDS, b"", b"", b"", state["symbols"].tolist())]
+            for kind, tally in enumerate(state["tallies"]):
+                keys, counts = tally.total()
+                bucket = ((keys >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                keys, counts, bucket = keys[order], counts[:, order].astype(np.uint32), bucket[order]
+                edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+                rows += [(int(bucket[a]), kind, keys[a:b].tobytes(), counts[0, a:b].tobytes(), counts[1, a:b].tobytes(), None) for a, b in zip(edges, edges[1:])]
+            cols = [[state["chunk"]] * len(rows), *zip(*rows)]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in SENT.split(", ")])
 
         for group in text_groups(batches):
             for chunk, fold, text in zip(*(group.column(c).to_pylist() for c in ("chunk", "fold", "text"))):
-                if chunk != state["chunk"] or state["held"] > 4 * CHUNK_BYTES:
+                if chunk != state["chunk"]:
                     yield from flush()
-                    state["chunk"] = chunk
-                own = words(text)
-                state["train" if fold else "rest"].append(np.append(hashes(own), END_WORD))
-                state["held"] += len(text)
-                if fold:
-                    state["symbols"] += np.bincount(symbols_of(own), minlength=257)
+                    begin(chunk)
+                own, which = words(text), None if fold == 0 else int(fold == WEIGHT_FOLD)
+                held = state["held"].setdefault(which, [])
+                held.append((np.append(hashes(own), END_WORD), symbols_of(own)))
+                if sum(len(s) for _, s in held) > PART:
+                    spend(which)
         yield from flush()
 
-    return chunks.mapInArrow(run, "chunk bigint, bucket int, words binary, counts binary, symbols array<bigint>")
+    return chunks.mapInArrow(run, SENT)
 
 
-def corpus_counts(rows: DataFrame) -> DataFrame:
-    """chunk, words, counts (in the whole corpus), and once for each bucket its training tokens and distinct training words."""
+def path_logits(code: Code, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending pairs, how many steps each symbol has, and of every step the logit in sixteenths that the counts give in its context."""
+    symbols = (pairs & np.uint64(255)).astype(np.int64)
+    context = np.cumsum(np.concatenate([[0], np.diff(pairs >> np.uint64(8)) != 0])[: len(pairs)])
+    length, _, step = code.steps(symbols)
+    _, slot = np.unique(np.repeat(context, length) * SYMBOLS + code.node[step], return_inverse=True)
+    n, bit = np.repeat(counts, length), code.bit[step]
+    total = np.bincount(slot, n)
+    ones = np.bincount(slot, n * bit)
+    logit = np.log((ones + 0.4) / (total - ones + 0.4))
+    return length, np.clip(np.round(logit * 16), -127, 127).astype(np.int8)[slot]
 
-    def run(table: pa.Table) -> pa.Table:
-        words_, counts, chunk = table.column("words").to_pylist(), table.column("counts").to_pylist(), table.column("chunk").to_pylist()
-        h = np.frombuffer(b"".join(words_), np.uint64)
-        distinct, inverse = np.unique(h, return_inverse=True)
-        total = np.bincount(inverse, np.frombuffer(b"".join(counts), np.int64), len(distinct)).astype(np.int64)
-        back, at, out = total[inverse], 0, []
-        for w in words_:
-            out.append(back[at : at + len(w) // 8].tobytes())
-            at += len(w) // 8
-        zero = [0] * (len(chunk) - 1)
-        return pa.table(
-            {"chunk": pa.array(chunk, pa.int64()), "words": pa.array(words_, pa.binary()), "counts": pa.array(out, pa.binary()),
-             "tokens": pa.array([int(total.sum()), *zero], pa.int64()), "distinct_words": pa.array([int((total > 0).sum()), *zero], pa.int64())}
-        )
-
-    schema = "chunk bigint, words binary, counts binary, tokens bigint, distinct_words bigint"
-    return rows.where("bucket >= 0").groupBy("bucket").applyInArrow(run, schema)
-
-
-def context_tables(chunks: DataFrame, symbol_counts: list[int]) -> bytes:
-    """Quantised logits of all context slots, learned from the training texts outside the weight fold."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, seen = Code(np.array(symbol_counts)), np.zeros(2 * SLOTS, np.uint32)
-        for group in text_groups(batches):
-            held: list[np.ndarray] = []
-
-            def add() -> None:
-                slots, _, bit = code.decisions(np.concatenate(held))
-                for start, size, s in zip(STARTS, TABLES, slots):
-                    part = seen[2 * start : 2 * (start + size)]
-                    part += np.bincount((s - start) * 2 + bit, minlength=2 * size).astype(np.uint32)
-
-            # a text's first contexts would reach into the text before; an end stands between, as at scoring nothing does
-            for text in group.column("text").to_pylist():
-                symbols = symbols_of(words(text))
-                for at in range(0, len(symbols), 1 << 18):
-                    held.append(symbols[at : at + (1 << 18)])
-                    if sum(map(len, held)) >= 1 << 18:
-                        add()
-                        held = []
-            if held:
-                add()
-        pack = zstandard.ZstdCompressor(level=1)
-        for k in range(0, 2 * SLOTS, 2 * SEGMENT):
-            own = seen[k : k + 2 * SEGMENT]
-            if own.any():
-                yield pa.RecordBatch.from_pydict({"segment": pa.array([k // (2 * SEGMENT)], pa.int32()), "seen": [pack.compress(own.tobytes())]})
-
-    def total(table: pa.Table) -> pa.Table:
-        seen = np.zeros(2 * SEGMENT, np.int64)
-        for x in table.column("seen").to_pylist():
-            own = np.frombuffer(zstandard.decompress(x), np.uint32)
-            seen[: len(own)] += own
-        logit = np.log((seen[1::2] + 0.4) / (seen[::2] + 0.4))
-        return pa.table({"segment": table.column("segment")[:1], "logits": [np.clip(np.round(logit * 16), -127, 127).astype(np.int8).tobytes()]})
-
-    rows = chunks.where((F.col("fold") != 0) & (F.col("fold") != WEIGHT_FOLD)).select("text").mapInArrow(count, "segment int, seen binary")
-    parts = rows.groupBy("segment").applyInArrow(total, "segment int, logits binary").collect()  # SLOTS bytes
-    out = bytearray(SLOTS)
-    for r in parts:
-        at = r["segment"] * SEGMENT
-        out[at : at + SEGMENT] = r["logits"][: SLOTS - at]
-    return bytes(out)
-
-
-def start_state(chunks: DataFrame, symbol_counts: list[int], tables: bytes) -> tuple[list[float], list[float]]:
-    """Weights and map to start from: learned online in each task over the weight fold, averaged over the tasks by their texts' sizes."""
-    shared = chunks.sparkSession.sparkContext.broadcast(tables)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, code, logits, n = Mixer(), Code(np.array(symbol_counts)), np.frombuffer(shared.value, np.int8), 0
-        for group in text_groups(batches):
-            for text in group.column("text").to_pylist():
-                symbols = symbols_of(words(text))
-                mixer.text(code, logits, symbols)
-                n += len(symbols)
-        if n:
-            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "state": [np.concatenate([mixer.weights.ravel(), mixer.cells]).astype(float).tolist()]})
-
-    rows = chunks.where(F.col("fold") == WEIGHT_FOLD).select("text").mapInArrow(run, "n bigint, state array<double>")
-    means = rows.select("n", F.posexplode("state").alias("place", "value")).groupBy("place")
-    means = dict(means.agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("x")).collect())  # as many as weights and cells
-    plain = np.concatenate([Mixer().weights.ravel(), Mixer().cells]).tolist()
-    state = [means.get(i, x) for i, x in enumerate(plain)]
-    return state[: len(TABLES) * GATES], state[len(TABLES) * GATES :]
+COUNTED = "chunk bigint, kind int, keys binary, counts binary, tokens bigint, distinct_words bigint"
+
 
+def corpus_counts(rows: DataFrame, symbol_counts: tuple[int, ...]) -> DataFrame:
+    """What the buckets send back to each chunk: counts of its words, logits of its pairs, and of those in its weight fold once more the
+    logits without that fold; and once for each bucket its training tokens and distinct training words."""
 
-@lru_cache(maxsize=1)
-def _model(parts: tuple) -> Model:
-    return Model(*parts)
+    def run(table: pa.Table) -> pa.Table:
+        kind, chunk = table.column("kind")[0].as_py(), table.column("chunk").to_pylist()
+        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        plain, early = (np.concatenate([np.frombuffer(x, np.uint32) for x in table.column(c).to_pylist()]) for c in ("counts", "early"))
+        own, counts, inverse = added(np.concatenate(keys), np.stack([plain, early]))
+        ends, out = np.cumsum([0, *map(len, keys)]), []
+        if kind == WORDS:
+            total = counts.sum(0)
+            out = [(c, WORDS, k.tobytes(), total[inverse[a:b]].tobytes(), 0, 0) for c, k, a, b in zip(chunk, keys, ends, ends[1:])]
+            out[0] = (*out[0][:4], int(total.sum()), int((total > 0).sum()))
+        else:
+            code = code_of(symbol_counts)
+            for which, n in ((ALL, counts.sum(0)), (EARLY, counts[0])):
+                length, logits = path_logits(code, own, n)
+                start = np.cumsum(length) - length
+                for c, k, a, b in zip(chunk, keys, ends, ends[1:]):
+                    place = inverse[a:b]
+                    if which == EARLY:
+                        k, place = k[early[a:b] > 0], place[early[a:b] > 0]
+                    if len(k):
+                        count = length[place]
+                        steps = np.arange(int(count.sum())) + np.repeat(start[place] - np.cumsum(count) + count, count)
+                        out.append((c, which, k.tobytes(), logits[steps].tobytes(), 0, 0))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split()[0] for f in COUNTED.split(", ")])
+
+    return rows.where("bucket >= 0").groupBy("bucket", "kind").applyInArrow(run, COUNTED)
+
+
+def known(code: Code, rows: pa.Table, kind: int) -> Known:
+    own = [(k, c) for k, c, of in zip(*(rows.column(x).to_pylist() for x in ("keys", "counts", "kind"))) if of == kind]
+    return Known(code, np.frombuffer(b"".join(k for k, _ in own), np.uint64), np.frombuffer(b"".join(c for _, c in own), np.int8))
+
+
+def start_state(chunks: DataFrame, counted: DataFrame, symbol_counts: tuple[int, ...]) -> tuple[list[float], list[float]]:
+    """Weights and map to start from: what each text of the weight fold learns from the plain ones, averaged by the texts' blocks."""
+
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        own = [symbols_of(words(text or "")) for text in texts.column("text").to_pylist()]
+        total, n = np.zeros(PREDICTORS * GATES + GATES * CELLS, np.int64), 0
+        if own:
+            for _, blocks, mixer in known(code_of(symbol_counts), rows, EARLY).learned(own):
+                total += blocks * np.rint(np.concatenate([mixer.weights.ravel(), mixer.cells]) * FRACTION).astype(np.int64)
+                n += blocks
+        return pa.table({"n": pa.array([n], pa.int64()), "state": pa.array([total.tolist()], pa.list_(pa.int64()))})
+
+    texts = chunks.where(F.col("fold") == WEIGHT_FOLD).select("chunk", "text").groupBy("chunk")
+    wanted = counted.where(F.col("kind") == EARLY).select("chunk", "kind", "keys", "counts").groupBy("chunk")
+    rows = texts.cogroup(wanted).applyInArrow(run, "n bigint, state array<bigint>")
+    sums = rows.select("n", F.posexplode("state").alias("place", "value")).groupBy("place").agg(F.sum("value"), F.sum("n")).collect()  # 896 rows
+    means = {place: value / n / FRACTION for place, value, n in sums if n}
+    plain = np.concatenate([Mixer().weights.ravel(), Mixer().cells]).tolist()
+    state = [means.get(i, x) for i, x in enumerate(plain)]
+    return state[: PREDICTORS * GATES], state[PREDICTORS * GATES :]
 
 
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
@@ -322,35 +436,38 @@ RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 def scores(docs: DataFrame) -> DataFrame:
     """Base score and model score of every document."""
     spark = docs.sparkSession
-    chunks = store(chunked(docs), "chunks")
-    rows = store(word_rows(chunks, 4 * shuffle_partitions(spark)), "words")
-    symbols = dict(rows.where("bucket < 0").select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n")).collect())  # 257 rows
-    symbol_counts = [symbols.get(s, 0) for s in range(257)]
-    counted = store(corpus_counts(rows), "counts")
-    n, v = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
-    tables = context_tables(chunks, symbol_counts)
-    weights, cells = start_state(chunks, symbol_counts, tables)
-    shared = spark.sparkContext.broadcast((tuple(symbol_counts), tables, tuple(weights), tuple(cells)))
+    with passing(spark) as keep:
+        chunks = keep(chunked(docs), "chunks")
+        buckets = max(8, chunks.select("chunk").distinct().count())
+        rows = store(sent_rows(chunks, buckets), "sent")
+        symbols = dict(rows.where("bucket < 0").select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n")).collect())  # 256 rows
+        symbol_counts = tuple(symbols.get(s, 0) for s in range(SYMBOLS))
+        counted = keep(corpus_counts(rows, symbol_counts), "counts")
+        n, v = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
+    weights, cells = start_state(chunks, counted, symbol_counts)
+    start = (np.array(weights, np.float32).reshape(PREDICTORS, GATES), np.array(cells, np.float32))
     below = math.log10(n + 0.1 * (v + 1))
 
-    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        model = _model(shared.value)
-        h = np.frombuffer(b"".join(known.column("words").to_pylist()), np.uint64)
-        c = np.frombuffer(b"".join(known.column("counts").to_pylist()), np.int64)
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        held = [(k, c) for k, c, of in zip(*(rows.column(x).to_pylist() for x in ("keys", "counts", "kind"))) if of == WORDS]
+        h, c = np.frombuffer(b"".join(k for k, _ in held), np.uint64), np.frombuffer(b"".join(x for _, x in held), np.int64)
         order = np.argsort(h)
         h, c = h[order], c[order]
-        out = []
-        for doc_id, fold, text in zip(*(texts.column(x).to_pylist() for x in ("doc_id", "fold", "text"))):
-            own = words(text or "")
-            count = c[np.searchsorted(h, np.append(hashes(own), END_WORD))]
-            score = model.log10(own)
-            size = sum(map(len, own)) + len(own) + 1
-            out.append((doc_id, fold == 0, len(count), int((count > 0).sum()), n, float(np.log10(count + 0.1).sum()) - len(count) * below, score, -score / math.log10(2) / size))
+        out, of = [], known(code_of(symbol_counts), rows, ALL)
+        for group in text_groups(iter(texts.to_batches())):
+            split = [words(text) for text in group.column("text").to_pylist()]
+            learned = of.learned([symbols_of(own) for own in split], start)
+            for doc_id, fold, own, (total, _, _) in zip(group.column("doc_id").to_pylist(), group.column("fold").to_pylist(), split, learned):
+                count = c[np.searchsorted(h, np.append(hashes(own), END_WORD))]
+                score = total / math.log(10)
+                size = sum(map(len, own)) + len(own) + 1
+                out.append((doc_id, fold == 0, len(count), int((count > 0).sum()), n, float(np.log10(count + 0.1).sum()) - len(count) * below, score, -score / math.log10(2) / size))
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         names = [f.split()[0] for f in RESULT.split(", ")]
         return pa.table([pa.array(col, kind) for col, kind in zip(list(zip(*out)) or [()] * 8, kinds)], names=names)
 
-    return chunks.groupBy("chunk").cogroup(counted.select("chunk", "words", "counts").groupBy("chunk")).applyInArrow(run, RESULT)
+    back = counted.where(F.col("kind") != EARLY).select("chunk", "kind", "keys", "counts")
+    return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
