@@ -223,17 +223,30 @@ class Known:
         start = np.cumsum(length) - length
         order = np.argsort(pairs)
         self.code, self.pairs, self.start, self.logits = code, pairs[order], start[order], logits
-        # Most pairs have a place of their own in a table by the upper bits; the others are searched for.
-        self.shift = np.uint64(64 - max(1, min(24, len(pairs).bit_length() + 1)))
-        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
-        self.table[(self.pairs >> self.shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
+        # Most pairs have a place of their own in one of two tables; the rest is searched for.
+        bits = max(4, min(24, len(pairs).bit_length() + 1))
+        self.places = [(np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)), (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(66 - bits))]
+        self.tables, left, begin = [], self.pairs, self.start
+        for factor, shift in self.places:
+            table = np.zeros((1 << 64 - int(shift), 2), np.uint64)
+            place = (left * factor >> shift).astype(np.int64)
+            table[place, 0], table[place, 1] = left, begin
+            other = table[place, 0] != left
+            left, begin = left[other], begin[other]
+            self.tables.append(table)
 
     def at(self, pairs: np.ndarray) -> np.ndarray:
         """Where the logits of each pair start."""
-        i = self.table[(pairs >> self.shift).astype(np.int64)]
-        other = np.flatnonzero(self.pairs[i] != pairs)
-        i[other] = np.searchsorted(self.pairs, pairs[other])
-        return self.start[i]
+        (factor, shift), (factor_2, shift_2) = self.places
+        found = self.tables[0].take((pairs * factor >> shift).astype(np.int64), axis=0)
+        other = np.flatnonzero(found[:, 0] != pairs)
+        if len(other):
+            rest = pairs[other]
+            again = self.tables[1].take((rest * factor_2 >> shift_2).astype(np.int64), axis=0)
+            last = np.flatnonzero(again[:, 0] != rest)
+            again[last, 1] = self.start[np.searchsorted(self.pairs, rest[last])]
+            found[other, 1] = again[:, 1]
+        return found[:, 1].astype(np.int64)
 
     def decisions(self, symbols: np.ndarray, pairs: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Number of decisions of each symbol; logits in sixteenths of every predictor, place in the word, and bit of every decision."""
@@ -297,7 +310,8 @@ class Tally:
 
 def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the sums of their counts (2 rows), and the place of each key among the distinct ones."""
-    own, inverse = np.unique(keys, return_inverse=True)
+    own = np.unique(keys)
+    inverse = np.searchsorted(own, keys)  # keys come in ascending runs, which is faster than to sort them with their places
     return own, np.stack([np.bincount(inverse, c, len(own)).astype(np.int64) for c in counts]), inverse
 
 
@@ -359,7 +373,8 @@ def path_logits(code: Code, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.n
     symbols = (pairs & np.uint64(255)).astype(np.int64)
     context = np.cumsum(np.concatenate([[0], np.diff(pairs >> np.uint64(8)) != 0])[: len(pairs)])
     length, _, step = code.steps(symbols)
-    _, slot = np.unique(np.repeat(context, length) * SYMBOLS + code.node[step], return_inverse=True)
+    slot = np.repeat(context, length) * SYMBOLS + code.node[step]
+    slot = np.searchsorted(np.unique(slot), slot)
     n, bit = np.repeat(counts, length), code.bit[step]
     total = np.bincount(slot, n)
     ones = np.bincount(slot, n * bit)
