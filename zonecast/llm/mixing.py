@@ -34,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -310,11 +311,28 @@ class Tally:
 
 def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the sums of their counts (2 rows), and the place of each key among the distinct ones."""
-    own = np.unique(keys)
-    inverse = np.searchsorted(own, keys)  # keys come in ascending runs, which is faster than to sort them with their places
+    own, inverse = np.unique(keys, return_inverse=True)
     return own, np.stack([np.bincount(inverse, c, len(own)).astype(np.int64) for c in counts]), inverse
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Compressed, all first bytes before all second ones and so on."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(ascending: np.ndarray) -> bytes:
+    return packed(np.diff(ascending, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
+
+
 SENT = "chunk bigint, bucket bigint, kind int, keys binary, counts binary, early binary, symbols array<bigint>"
 
 
@@ -348,7 +366,7 @@ def sent_rows(chunks: DataFrame, buckets: int) -> DataFrame:
                 order = np.argsort(bucket, kind="stable")
                 keys, counts, bucket = keys[order], counts[:, order].astype(np.uint32), bucket[order]
                 edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-                rows += [(int(bucket[a]), kind, keys[a:b].tobytes(), counts[0, a:b].tobytes(), counts[1, a:b].tobytes(), None) for a, b in zip(edges, edges[1:])]
+                rows += [(int(bucket[a]), kind, packed_keys(keys[a:b]), packed(counts[0, a:b]), packed(counts[1, a:b]), None) for a, b in zip(edges, edges[1:])]
             cols = [[state["chunk"]] * len(rows), *zip(*rows)]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in SENT.split(", ")])
@@ -373,8 +391,7 @@ def path_logits(code: Code, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.n
     symbols = (pairs & np.uint64(255)).astype(np.int64)
     context = np.cumsum(np.concatenate([[0], np.diff(pairs >> np.uint64(8)) != 0])[: len(pairs)])
     length, _, step = code.steps(symbols)
-    slot = np.repeat(context, length) * SYMBOLS + code.node[step]
-    slot = np.searchsorted(np.unique(slot), slot)
+    _, slot = np.unique(np.repeat(context, length) * SYMBOLS + code.node[step], return_inverse=True)
     n, bit = np.repeat(counts, length), code.bit[step]
     total = np.bincount(slot, n)
     ones = np.bincount(slot, n * bit)
@@ -391,13 +408,13 @@ def corpus_counts(rows: DataFrame, symbol_counts: tuple[int, ...]) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         kind, chunk = table.column("kind")[0].as_py(), table.column("chunk").to_pylist()
-        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-        plain, early = (np.concatenate([np.frombuffer(x, np.uint32) for x in table.column(c).to_pylist()]) for c in ("counts", "early"))
+        keys = [unpacked_keys(x.as_py()) for x in table.column("keys")]
+        plain, early = (np.concatenate([unpacked(x.as_py(), np.uint32) for x in table.column(c)]) for c in ("counts", "early"))
         own, counts, inverse = added(np.concatenate(keys), np.stack([plain, early]))
         ends, out = np.cumsum([0, *map(len, keys)]), []
         if kind == WORDS:
             total = counts.sum(0)
-            out = [(c, WORDS, k.tobytes(), total[inverse[a:b]].tobytes(), 0, 0) for c, k, a, b in zip(chunk, keys, ends, ends[1:])]
+            out = [(c, WORDS, packed_keys(k), packed(total[inverse[a:b]]), 0, 0) for c, k, a, b in zip(chunk, keys, ends, ends[1:])]
             out[0] = (*out[0][:4], int(total.sum()), int((total > 0).sum()))
         else:
             code = code_of(symbol_counts)
@@ -411,16 +428,22 @@ def corpus_counts(rows: DataFrame, symbol_counts: tuple[int, ...]) -> DataFrame:
                     if len(k):
                         count = length[place]
                         steps = np.arange(int(count.sum())) + np.repeat(start[place] - np.cumsum(count) + count, count)
-                        out.append((c, which, k.tobytes(), logits[steps].tobytes(), 0, 0))
+                        out.append((c, which, packed_keys(k), packed(logits[steps]), 0, 0))
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split()[0] for f in COUNTED.split(", ")])
 
     return rows.where("bucket >= 0").groupBy("bucket", "kind").applyInArrow(run, COUNTED)
 
 
+def held(rows: pa.Table, kind: int, of: type) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a kind and what came back for them."""
+    own = [(k.as_py(), c.as_py()) for k, c, x in zip(*(rows.column(x) for x in ("keys", "counts", "kind"))) if x.as_py() == kind]
+    empty = (np.zeros(0, np.uint64), np.zeros(0, of))
+    return tuple(np.concatenate(x) for x in zip(empty, *((unpacked_keys(k), unpacked(c, of)) for k, c in own)))
+
+
 def known(code: Code, rows: pa.Table, kind: int) -> Known:
-    own = [(k, c) for k, c, of in zip(*(rows.column(x).to_pylist() for x in ("keys", "counts", "kind"))) if of == kind]
-    return Known(code, np.frombuffer(b"".join(k for k, _ in own), np.uint64), np.frombuffer(b"".join(c for _, c in own), np.int8))
+    return Known(code, *held(rows, kind, np.int8))
 
 
 def start_state(chunks: DataFrame, counted: DataFrame, symbol_counts: tuple[int, ...]) -> tuple[list[float], list[float]]:
@@ -464,8 +487,7 @@ def scores(docs: DataFrame) -> DataFrame:
     below = math.log10(n + 0.1 * (v + 1))
 
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        held = [(k, c) for k, c, of in zip(*(rows.column(x).to_pylist() for x in ("keys", "counts", "kind"))) if of == WORDS]
-        h, c = np.frombuffer(b"".join(k for k, _ in held), np.uint64), np.frombuffer(b"".join(x for _, x in held), np.int64)
+        h, c = held(rows, WORDS, np.int64)
         order = np.argsort(h)
         h, c = h[order], c[order]
         out, of = [], known(code_of(symbol_counts), rows, ALL)
