@@ -100,6 +100,50 @@ def test_holes_give_partial_means_both_ways(spark, history, cfg):
     assert probe["a"]["lag_1h"] == 0.0 and probe["a"]["rolling_mean_24h"] == sum(left) / len(left)
 
 
+def test_blocks_of_other_lags_and_windows(spark, history, cfg):
+    other = cfg.with_(lags=(1, 5, 24, 30, 49), rolling_windows=(6, 24, 36))
+    assert X.block_days(other) == [3, 2, 1, 0] and X.block_days(cfg) == [7, 1, 0]
+    t = datetime(2024, 2, 20, 14)
+    holed = history.where(~((F.col("zone_id") == 2) & F.col("hour_ts").isin([F.lit(t - timedelta(hours=k)) for k in (2, 30, 31)])))
+    asked = requests(spark, [(str(h), 2, t - timedelta(hours=h)) for h in range(60)])
+    assert served(X.serve_features(asked, holed, other)) == served(X.serve_features(asked, holed, other, bulk=True))
+
+
+def test_day_without_rows_still_has_a_block(spark, history, cfg):
+    gone = datetime(2024, 2, 20)
+    holed = history.where((F.col("zone_id") != 1) | (F.to_date("hour_ts") != F.lit(gone.date())))
+    blocks = X.day_blocks(holed, cfg).where(f"zone_id = 1 AND day = '{gone.date()}'").collect()
+    slots = blocks[0]["slots"]
+    assert len(blocks) == 1 and len(slots) == 72 and slots[48:] == [None] * 24
+    assert slots[24:48] == [demand(1, gone + timedelta(hours=h - 24)) for h in range(24)]
+    assert slots[:24] == [demand(1, gone + timedelta(hours=h - 168)) for h in range(24)]
+    got = served(X.serve_features(requests(spark, [("a", 1, gone + timedelta(hours=10))]), holed, cfg))["a"]
+    left = [demand(1, gone - timedelta(hours=k)) for k in range(1, 15)]
+    assert got["lag_1h"] == 0.0 and got["rolling_mean_24h"] == sum(left) / len(left)
+
+
+def test_stored_tables_replace_the_history(spark, history, cfg, tmp_path):
+    X.day_blocks(history, cfg).write.parquet(f"{tmp_path}/blocks")
+    X.zone_facts(history).write.parquet(f"{tmp_path}/zones")
+    blocks, zones = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("blocks", "zones"))
+    asked = requests(spark, [("a", 1, datetime(2024, 2, 20, 14)), ("b", 99, datetime(2024, 2, 20, 14)), ("c", 2, datetime(2024, 3, 1)), ("d", None, None)])
+    assert served(X.serve_features(asked, None, cfg, zones=zones, blocks=blocks)) == served(X.serve_features(asked, history, cfg))
+
+
+def test_empty_requests_and_history(spark, history, cfg):
+    none = requests(spark, [])
+    assert X.serve_features(none, history, cfg).count() == 0
+    got = served(X.serve_features(requests(spark, [("a", 1, datetime(2024, 2, 20, 14))]), history.where("false"), cfg))
+    assert got["a"]["reason"] == "unsupported_zone" and got["a"]["lag_1h"] is None
+
+
+def test_look_ups_join_once_without_copies_of_the_keys(spark, history, cfg):
+    keys = history.select("zone_id", "hour_ts")
+    blocks = spark.range(1).selectExpr("id AS zone_id", "date'2024-01-01' AS day", "array(1L) AS slots")
+    plan = X._block_features(keys, blocks, cfg)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Generate" not in plan
+
+
 def test_zoned_instants_become_utc(spark, history, cfg):
     asked = spark.createDataFrame([("a", 1)], "request_id string, zone_id bigint").withColumn(
         "hour_ts", F.to_timestamp(F.lit("2024-02-01T14:00:00+02:00"))

@@ -21,7 +21,7 @@ from zonecast.functions.timefns import (
     naive_utc,
     ts_lit,
 )
-from zonecast.session import materialize
+from zonecast.session import materialize, shuffle_partitions
 
 
 def add_calendar(df: DataFrame, ts: str = "hour_ts") -> DataFrame:
@@ -65,6 +65,7 @@ def engineer_features(history: DataFrame, cfg: DatasetConfig) -> DataFrame:
 
 
 CELL_KEYS = ("zone_id", "hour", "on_hour")
+HOURS = 24
 
 
 def with_cells(requests: DataFrame) -> DataFrame:
@@ -94,26 +95,79 @@ def flag_cells(cells: DataFrame, universe: DataFrame, start: datetime, end: Colu
     return cells.join(known, "zone_id", "left").withColumn("reason", reason).drop("_known")
 
 
-def supported_end(history: DataFrame) -> Column:
+def zone_facts(history: DataFrame) -> DataFrame:
+    """``(zone_id, zone_name, last_hour)``: all that serving asks of the history beside counts, in one pass.
+
+    A zone carries the name on its earliest row.
+    """
+    return history.groupBy("zone_id").agg(
+        F.min_by("zone_name", "hour_ts").alias("zone_name"), F.max("hour_ts").alias("last_hour")
+    )
+
+
+def supported_end(zones: DataFrame) -> Column:
     """Exclusive end of the servable range, one hour after the last history row."""
-    return history.agg((F.max("hour_ts") + hours(1)).alias("e")).scalar()
-
-
-def _probe_features(keys: DataFrame, history: DataFrame, cfg: DatasetConfig) -> DataFrame:
-    """Looks up every offset of every distinct key in one equi-join."""
-    reach = sorted({k for k in cfg.lags} | {o for w in cfg.rolling_windows for o in range(1, w + 1)})
-    probes = keys.select(
-        "zone_id",
-        F.col("hour_ts").alias("at"),
-        F.explode(F.array(*[F.lit(o) for o in reach])).alias("offset"),
-    ).withColumn("hour_ts", F.expr("at - make_dt_interval(0, offset)"))
-    found = probes.join(history.select("zone_id", "hour_ts", "trip_count"), ["zone_id", "hour_ts"])
-    aggs = [F.max(F.when(F.col("offset") == k, F.col("trip_count"))).cast("double").alias(f"lag_{k}h") for k in cfg.lags]
-    aggs += [
-        F.avg(F.when(F.col("offset").between(1, w), F.col("trip_count"))).alias(f"rolling_mean_{w}h")
-        for w in cfg.rolling_windows
-    ]
-    return found.groupBy("zone_id", F.col("at").alias("hour_ts")).agg(*aggs)
+    return zones.agg((F.max("last_hour") + hours(1)).alias("e")).scalar()
+
+
+def block_days(cfg: DatasetConfig) -> list[int]:
+    """How many days before a request's day its lags and means can reach, farthest first; today is 0."""
+    days = {0}
+    for k in cfg.lags:
+        days |= {k // HOURS} if k % HOURS == 0 else {k // HOURS, k // HOURS + 1}
+    for w in cfg.rolling_windows:
+        days |= set(range(-(-w // HOURS) + 1))
+    return sorted(days, reverse=True)
+
+
+def day_blocks(history: DataFrame, cfg: DatasetConfig) -> DataFrame:
+    """``(zone_id, day, slots)``: everything a request on that day can need, in one row.
+
+    ``slots`` holds the counts of the days of :func:`block_days`, 24 each, NULL where the
+    history has no row.  Hours are packed into days first, and whole days are copied to
+    the days that look back on them (3 copies of a day for lags of 1, 24 and 168 hours),
+    so the blocks are a fraction of the history's rows.  One shuffle, of ``(zone, hour,
+    count)``; rows per zone are bounded by the calendar.  A day without rows of its own
+    has a block when a day before it has rows.  Repeated hours count once, with the
+    larger count.
+    """
+    back = block_days(cfg)
+    # A fixed count, like the history's own: both aggregates below keep this partitioning.
+    thin = history.select("zone_id", "hour_ts", "trip_count").repartition(
+        shuffle_partitions(history.sparkSession), "zone_id"
+    )
+    hour = F.hour("hour_ts")
+    slots = [F.max(F.when(hour == h, F.col("trip_count"))).alias(f"_{h}") for h in range(HOURS)]
+    days = thin.groupBy("zone_id", F.to_date("hour_ts").alias("_day")).agg(*slots)
+    copies = F.explode(F.array(*[F.lit(d) for d in back])).alias("_back")
+    spread = days.select("zone_id", "_day", F.array(*[F.col(f"_{h}") for h in range(HOURS)]).alias("_slots"), copies)
+    spread = spread.select("zone_id", F.date_add("_day", F.col("_back")).alias("day"), "_back", "_slots")
+    none = F.array_repeat(F.lit(None).cast("bigint"), HOURS)
+    # At most one day of a zone lies a given number of days back, so ``first`` has no choice.
+    parts = [F.coalesce(F.first(F.when(F.col("_back") == d, F.col("_slots")), ignorenulls=True), none) for d in back]
+    return spread.groupBy("zone_id", "day").agg(F.concat(*parts).alias("slots"))
+
+
+def _block_features(keys: DataFrame, blocks: DataFrame, cfg: DatasetConfig) -> DataFrame:
+    """Lags and means of every distinct key by one equi-join on zone and day, then by position."""
+    back = block_days(cfg)
+    start = {d: i * HOURS for i, d in enumerate(back)}
+    hour = F.hour("hour_ts")
+
+    def slot(k: int) -> Column:
+        """Position (from 0) of the hour ``k`` hours earlier."""
+        days, rest = divmod(k, HOURS)
+        here = hour + (start[days] - rest)
+        return here if rest == 0 else F.when(hour >= rest, here).otherwise(hour + (start[days + 1] + HOURS - rest))
+
+    cols = {f"lag_{k}h": F.get("slots", slot(k)).cast("double") for k in cfg.lags}
+    for w in cfg.rolling_windows:
+        # The days a mean covers are the last ones of the block, without a hole between them.
+        seen = F.array_compact(F.slice("slots", hour + (start[0] - w + 1), F.lit(w)))
+        total = F.aggregate(seen, F.lit(0).cast("bigint"), lambda a, x: a + x)
+        cols[f"rolling_mean_{w}h"] = F.try_divide(total, F.size(seen))
+    found = keys.withColumn("day", F.to_date("hour_ts")).join(blocks, ["zone_id", "day"])
+    return found.withColumns(cols).select("zone_id", "hour_ts", *cols)
 
 
 def _window_features(keys: DataFrame, history: DataFrame, cfg: DatasetConfig) -> DataFrame:
@@ -145,15 +199,23 @@ def cell_features(
     cfg: DatasetConfig,
     universe: DataFrame | None = None,
     bulk: bool = False,
+    zones: DataFrame | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Cells with ``reason`` and features; those of rejected cells are NULL.
 
     Missing lags count as 0.0 and the trailing mean is over the hours that exist.
+    ``zones`` and ``blocks`` are stored results of :func:`zone_facts` and
+    :func:`day_blocks`; with both, the history is not read.
     """
-    flagged = flag_cells(cells, history if universe is None else universe, cfg.split.train_start, supported_end(history))
+    zones = zone_facts(history) if zones is None else zones
+    flagged = flag_cells(cells, zones if universe is None else universe, cfg.split.train_start, supported_end(zones))
     served = F.col("reason").isNull()
     keys = flagged.where(served & F.col("on_hour")).select("zone_id", F.col("hour").alias("hour_ts"))
-    found = (_window_features if bulk else _probe_features)(keys, history, cfg)
+    if bulk:
+        found = _window_features(keys, history, cfg)
+    else:
+        found = _block_features(keys, day_blocks(history, cfg) if blocks is None else blocks, cfg)
     found = found.withColumnRenamed("hour_ts", "hour").withColumn("on_hour", F.lit(True))
     out = add_calendar(flagged.join(found, list(CELL_KEYS), "left"), "hour")
     calendar = {c: F.when(served, F.col(c)) for c in ("hour_of_day", "day_of_week", "is_weekend", "month")}
@@ -167,16 +229,19 @@ def serve_features(
     cfg: DatasetConfig,
     universe: DataFrame | None = None,
     bulk: bool = False,
+    zones: DataFrame | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Features at request time; rejected requests keep NULL features and a ``reason``.
 
     Requests are collapsed to cells, so a hot zone and hour costs one look-up, and the
-    join back spreads hot cells.  ``bulk`` swaps point look-ups for one pass over the
-    history: better when requests cover much of it.  Reads ``requests`` twice and stores
-    the cells in between.
+    join back spreads hot cells.  A look-up is one row of the day blocks, stored ones
+    (``blocks``) or those of the history; ``bulk`` makes one pass over the history
+    instead.  Reads ``requests`` twice and stores the cells in between.
     """
     rows = with_cells(requests)
-    cells = materialize(cell_features(key_counts(rows, CELL_KEYS), history, cfg, universe, bulk), "cells")
+    counts = key_counts(rows, CELL_KEYS)
+    cells = materialize(cell_features(counts, history, cfg, universe, bulk, zones, blocks), "cells")
     return spread_join(rows, cells, CELL_KEYS).drop("hour", "on_hour")
 
 

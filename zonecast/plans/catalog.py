@@ -301,6 +301,28 @@ def serve_features_bulk(spark, sf):
     return _served(spark, sf, bulk=True)
 
 
+@query
+def serve_stored(spark, sf):
+    """Requests served from stored day blocks and zone facts alone; the history is not read again."""
+    hist = materialize(full_history(spark, sf), "history")
+    blocks = materialize(features.day_blocks(hist, CONFIG), "blocks")
+    zones = materialize(features.zone_facts(hist), "zones")
+    out = features.serve_features(requests(spark, sf), hist, CONFIG, zones=zones, blocks=blocks)
+    cols = ["request_id", "zone_id", "hour_ts", "reason", *[c for c in FEATURES if c != "zone_id"]]
+    return rounded(out.select(*cols), "rolling_mean_24h")
+
+
+@query
+def day_blocks(spark, sf):
+    """Day blocks, one row per position: zone, day, days back, hour and count."""
+    blocks = features.day_blocks(full_history(spark, sf), CONFIG)
+    back = F.array(*[F.lit(d) for d in features.block_days(CONFIG)])
+    rows = blocks.select("zone_id", "day", F.posexplode("slots").alias("pos", "trip_count"))
+    hour = (F.col("pos") % features.HOURS).cast("bigint")
+    days = F.get(back, F.floor(F.col("pos") / features.HOURS).cast("int")).cast("bigint")
+    return rows.select("zone_id", F.col("day").cast("string").alias("day"), days.alias("days_back"), hour.alias("hour"), "trip_count")
+
+
 @query
 def strict_vs_serve_parity(spark, sf):
     """Batch features asked for again as requests: rows compared, and rows that differ."""

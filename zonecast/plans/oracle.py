@@ -397,6 +397,13 @@ ORACLE = {
     ),
     "serve_features": sql(_SERVED),
     "serve_features_bulk": sql(_SERVED),
+    "serve_stored": sql(_SERVED),
+    "day_blocks": sql(
+        "SELECT b.zone_id, CAST(b.day AS VARCHAR) AS day, b.days_back, b.hour, h.trip_count FROM (SELECT d.*, o.days_back, r.hour FROM "
+        "(SELECT DISTINCT zone_id, CAST(hour_ts AS DATE) + CAST(k AS INTEGER) AS day FROM history, (VALUES (0), (1), (7)) v(k)) d, "
+        "(VALUES (0::BIGINT), (1), (7)) o(days_back), range(24) r(hour)) b LEFT JOIN history h ON h.zone_id = b.zone_id "
+        "AND h.hour_ts = CAST(b.day AS TIMESTAMP) - to_days(CAST(b.days_back AS INTEGER)) + to_hours(b.hour)"
+    ),
     "strict_vs_serve_parity": sql("SELECT count(*) AS rows_compared, 0::BIGINT AS rows_different FROM feats"),
     "split_counts": sql(
         "SELECT * FROM (SELECT CASE WHEN hour_ts < TIMESTAMP '2024-01-20' THEN 'train' WHEN hour_ts < TIMESTAMP "

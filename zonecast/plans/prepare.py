@@ -13,7 +13,7 @@ from zonecast.operators.contracts import (
     history_contract,
     raise_on_violations,
 )
-from zonecast.operators.features import engineer_features
+from zonecast.operators.features import day_blocks, engineer_features, zone_facts
 from zonecast.session import publish, use_utc
 from zonecast.sources.registry import read_history
 from zonecast.sources.sinks import write_history, write_table, write_universe
@@ -33,6 +33,7 @@ def prepare(spark: SparkSession, root: str, out: str, cfg: DatasetConfig) -> dic
     Each stage is written once and read back, so a contract check or a later stage
     never repeats the scan of the raw trips, and lost executors cost one stage at most.
     A table that breaks its contract stays in the ``staged`` folder and is not published.
+    ``blocks`` and ``zones`` are what serving reads instead of the history.
     """
     use_utc(spark)
     out = out.rstrip("/")
@@ -40,4 +41,6 @@ def prepare(spark: SparkSession, root: str, out: str, cfg: DatasetConfig) -> dic
     history = spark.read.parquet(paths["history"])
     paths["universe"] = write_universe(history, f"{out}/universe", cfg.name)
     paths["features"] = _store_checked(engineer_features(history, cfg), feature_contract(), out, write_table)
+    paths["blocks"] = publish(spark, write_table(day_blocks(history, cfg), f"{out}/staged/blocks"), f"{out}/blocks")
+    paths["zones"] = publish(spark, write_table(zone_facts(history), f"{out}/staged/zones"), f"{out}/zones")
     return paths
