@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,7 @@ from zonecast.config import (
 from zonecast.functions.ordered import bin_counts, distribution, linear_edges, pairs
 from zonecast.functions.sampling import bottom_k, latest_n
 from zonecast.functions.textfns import row_digest
+from zonecast.operators.moments import correlations, total_moments
 from zonecast.session import shuffle_partitions
 
 
@@ -46,30 +46,13 @@ def reference_sample(
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = CONTINUOUS) -> DataFrame:
-    """``(f1, f2, corr)`` for all pairs.
+    """``(f1, f2, corr)`` for all pairs, from one pass over ``df``.
 
-    Means first, then sums of products of centred values: exact on constant columns and
-    small enough to stay compiled, unlike a covariance aggregate per pair.  Reads ``df``
-    twice.  Constant columns have correlation 0 with everything, themselves included, so
-    the diagonal tells which columns are valid.
+    Co-moments are folded per task and merged, with differences from a first value, so
+    constant columns are exact and a large common offset costs no digits.  Constant
+    columns have correlation 0 with everything, themselves included.
     """
-    upper = [(c, c) for c in features] + list(combinations(features, 2))
-    facts = ", ".join(
-        f"avg(CAST({c} AS DOUBLE)) AS {c}, min({c}) < max({c}) AS varies_{c}" for c in features
-    )
-    centre = df.agg(F.expr(f"struct({facts})").alias("m")).scalar()
-    centred = df.withColumn("_m", centre).selectExpr(
-        *[f"IF(_m.varies_{c}, CAST({c} AS DOUBLE) - _m.{c}, 0D) AS {c}" for c in features]
-    )
-    wide = centred.agg(*[F.expr(f"sum({a} * {b})").alias(f"s_{a}__{b}") for a, b in upper])
-    cells = [f"struct('{a}' AS f1, '{b}' AS f2, s_{a}__{b} AS s, s_{a}__{a} AS v1, s_{b}__{b} AS v2)" for a, b in upper]
-    corr = "CASE WHEN v1 > 0 AND v2 > 0 THEN IF(f1 = f2, 1.0D, s / sqrt(v1 * v2)) ELSE 0.0D END AS corr"
-    mirrored = "array_compact(array(struct(f1, f2, corr), IF(f1 = f2, NULL, struct(f2 AS f1, f1 AS f2, corr))))"
-    return (
-        wide.selectExpr(f"inline(array({', '.join(cells)}))")
-        .selectExpr("f1", "f2", corr)
-        .selectExpr(f"inline({mirrored})")
-    )
+    return correlations(total_moments(df, features), features)
 
 
 def correlation_shift(reference: DataFrame, current: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from zonecast.operators import (
     features,
     history,
     metrics,
+    moments,
     quality,
     scoring,
     splits,
@@ -625,6 +626,27 @@ def corr_matrix(spark, sf):
     return rounded(drift.correlation_matrix(train), "corr")
 
 
+@query
+def daily_moments(spark, sf):
+    """Per day of the training split: rows, and mean and covariance of every pair of features."""
+    train, _, _ = split_rows(spark, sf)
+    daily = moments.daily_moments(train)
+    means = daily.select("day", F.posexplode("means").alias("i", "mean"))
+    names = F.array(*[F.lit(c) for c in CONTINUOUS])
+    means = means.select("day", F.get(names, F.col("i")).alias("f1"), "mean")
+    pairs = moments.pair_moments(daily).withColumn("covariance", F.col("s") / F.col("n")).join(means, ["day", "f1"])
+    return rounded(pairs.select(F.col("day").cast("string").alias("day"), "f1", "f2", "n", "mean", "covariance"), "mean", "covariance")
+
+
+@query
+def corr_recent(spark, sf):
+    """Correlations of the training split's last week, merged from stored days."""
+    train, _, _ = split_rows(spark, sf)
+    daily = materialize(moments.daily_moments(train), "moments")
+    last = daily.agg(F.date_sub(F.max("day"), 6).alias("d")).scalar()
+    return rounded(moments.correlations(moments.merge_moments(daily.where(F.col("day") >= last))), "corr")
+
+
 @query
 def corr_shift(spark, sf):
     train, now = _reference_and_buffer(spark, sf)

@@ -249,6 +249,17 @@ def _cte(name: str) -> str:
     return _CTES[name].replace("{cast}", _CAST).replace("{names}", ", ".join(FEATURES))
 
 
+def _daily_moments() -> str:
+    """Covariances of all pairs and means, per day."""
+    cells = [
+        f"SELECT CAST(CAST(hour_ts AS DATE) AS VARCHAR) AS day, '{a}' AS f1, '{b}' AS f2, count(*) AS n, "
+        f"round(avg({a}), 6) AS mean, round(covar_pop({a}, {b}), 6) AS covariance FROM train GROUP BY 1"
+        for i, a in enumerate(CONTINUOUS)
+        for b in CONTINUOUS[i:]
+    ]
+    return "\nUNION ALL\n".join(cells)
+
+
 def _mentions(text: str, name: str) -> bool:
     flat = "".join(ch if ch.isalnum() or ch == "_" else " " for ch in text).split()
     return name in flat
@@ -532,6 +543,12 @@ ORACLE = {
         "SELECT feature, n_ref, n_cur, round(d, 6) AS ks_statistic, round(p, 6) AS ks_pvalue FROM ks_p"
     ),
     "corr_matrix": sql("SELECT f1, f2, round(corr, 6) AS corr FROM ref_corr"),
+    "daily_moments": sql(_daily_moments()),
+    "corr_recent": sql(
+        "SELECT f1, f2, round(corr, 6) AS corr FROM ("
+        + _corr("(SELECT * FROM train WHERE hour_ts >= (SELECT CAST(max(hour_ts) AS DATE) - 6 FROM train))")
+        + ")"
+    ),
     "corr_shift": sql("SELECT round(correlation_shift, 6) AS correlation_shift, n_excluded FROM shift"),
     "drift_report": sql("SELECT feature, psi, ks_statistic, ks_pvalue, verdict FROM verdicts"),
     "drift_status": sql(_DRIFT_STATUS),
