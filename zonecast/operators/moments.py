@@ -106,13 +106,15 @@ def merge_moments(daily: DataFrame, features: Sequence[str] = CONTINUOUS) -> Dat
 
 
 def pair_moments(moments: DataFrame, features: Sequence[str] = CONTINUOUS) -> DataFrame:
-    """``f1, f2, s, v1, v2`` beside the other columns: every pair once, with its sum of products and both columns' own."""
+    """``f1, f2, m1, s, v1, v2`` beside the other columns: every pair once, with the first one's mean, its sum of products
+    and both columns' own."""
     left, right = _pairs(len(features))
     own = {int(a): p for p, (a, b) in enumerate(zip(left, right)) if a == b}
     cells = [
         F.struct(
             F.lit(features[a]).alias("f1"),
             F.lit(features[b]).alias("f2"),
+            F.get("means", F.lit(a)).alias("m1"),
             F.get("comoments", F.lit(p)).alias("s"),
             F.get("comoments", F.lit(own[a])).alias("v1"),
             F.get("comoments", F.lit(own[b])).alias("v2"),

@@ -630,12 +630,11 @@ def corr_matrix(spark, sf):
 def daily_moments(spark, sf):
     """Per day of the training split: rows, and mean and covariance of every pair of features."""
     train, _, _ = split_rows(spark, sf)
-    daily = moments.daily_moments(train)
-    means = daily.select("day", F.posexplode("means").alias("i", "mean"))
-    names = F.array(*[F.lit(c) for c in CONTINUOUS])
-    means = means.select("day", F.get(names, F.col("i")).alias("f1"), "mean")
-    pairs = moments.pair_moments(daily).withColumn("covariance", F.col("s") / F.col("n")).join(means, ["day", "f1"])
-    return rounded(pairs.select(F.col("day").cast("string").alias("day"), "f1", "f2", "n", "mean", "covariance"), "mean", "covariance")
+    pairs = moments.pair_moments(moments.daily_moments(train))
+    cells = pairs.select(
+        F.col("day").cast("string").alias("day"), "f1", "f2", "n", F.col("m1").alias("mean"), (F.col("s") / F.col("n")).alias("covariance")
+    )
+    return rounded(cells, "mean", "covariance")
 
 
 @query
