@@ -75,6 +75,13 @@ def test_prepare_stores_checked_tables(spark, history, tmp_path):
     first = spark.read.parquet(paths["features"]).agg(F.min("hour_ts")).first()[0]
     assert first == datetime(2024, 1, 1)
 
+    audit = {r["step"]: r["rows"] for r in spark.read.parquet(paths["audit"]).collect()}
+    assert audit == {"grid": history.count()}
+
+    register_source("taxi_none")(lambda spark_, root, cfg: history.where("false"))
+    with pytest.raises(ValueError, match="filtered out"):
+        prepare(spark, "", str(tmp_path / "none"), cfg.with_(name="taxi_none"))
+
     register_source("taxi_broken")(lambda spark_, root, cfg: history.withColumn("trip_count", -F.col("trip_count") - 1))
     with pytest.raises(ContractError):
         prepare(spark, "", str(tmp_path / "bad"), cfg.with_(name="taxi_broken"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from zonecast.config import load_config, preset
 from zonecast.functions import textfns, timefns
+from zonecast.operators.history import Audit
+from zonecast.plans.prepare import prepare
 from zonecast.sources import bikes, read_history, register_source, source, taxi
 
 TFL_HEADER = [
@@ -128,6 +130,34 @@ def test_citibike_csv(spark, tmp_path):
         read_history(spark, str(tmp_path), cfg)
 
 
+@pytest.mark.parametrize("usable", [True, False])
+def test_audit_is_counted_by_the_write(spark, tmp_path, usable):
+    cfg = preset("citibike")
+    blank = [[*r] for r in CITI_ROWS]
+    for r in blank:
+        r[CITI_HEADER.index("start_station_id")] = ""
+    for m in cfg.months:
+        write_csv(tmp_path / f"{m.replace('-', '')}-citibike-tripdata.csv", CITI_HEADER, CITI_ROWS if usable else blank)
+    audit = Audit("citibike")
+    history = read_history(spark, str(tmp_path), cfg, audit)
+    assert history._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    history.write.parquet(f"{tmp_path}/out")
+    raw = spark.read.option("header", True).csv(f"{tmp_path}/*.csv")
+    kept = raw.where(textfns.is_station_id("start_station_id")).count()
+    if not usable:
+        assert kept == 0 and audit.counts() == {"kept": 0, "grid": 0}
+        with pytest.raises(ValueError, match="filtered out"):
+            prepare(spark, str(tmp_path), f"{tmp_path}/prepared", cfg)
+        return
+    assert kept > 0 and audit.counts() == {
+        "raw": raw.count(),
+        "kept": kept,
+        "dropped": raw.count() - kept,
+        "grid": spark.read.parquet(f"{tmp_path}/out").count(),
+    }
+    assert audit.table(spark).count() == 4
+
+
 def test_citibike_zip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "202401-citibike-tripdata.zip", "w") as z:
         z.writestr("folder/202401-citibike-tripdata_1.csv", as_text(CITI_HEADER, CITI_ROWS[:3]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -57,6 +58,39 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+class Audit:
+    """Row counts of a source's steps, taken by the action that writes its result: no scan of their own.
+
+    Only one action may run the watched rows before :meth:`counts` is read, and it must run
+    all of them (a sink, not ``isEmpty``).  A lost stage that is computed again can count twice.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self._steps: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, step: str) -> DataFrame:
+        watched, self._steps[step] = counted(df, f"{self.source}-{step}-{uuid.uuid4().hex}")
+        return watched
+
+    def counts(self) -> dict[str, int]:
+        """Rows per step, and ``dropped`` between the raw and the kept ones; call it after the sink.
+
+        When the grid is empty, nothing was kept, and adaptive execution has replaced the
+        steps below it together with their counts: only ``kept`` and ``grid`` are reported.
+        """
+        if "grid" in self._steps and not self._steps["grid"].get["rows"]:
+            return {step: 0 for step in self._steps if step != "raw"}
+        rows = {step: int(seen.get["rows"]) for step, seen in self._steps.items()}
+        if {"raw", "kept"} <= set(rows):
+            rows["dropped"] = rows["raw"] - rows["kept"]
+        return rows
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``(source, step, rows)``, a handful of rows."""
+        return spark.createDataFrame([(self.source, k, n) for k, n in self.counts().items()], "source string, step string, rows bigint")
+
+
 def hourly_demand(trips: DataFrame) -> DataFrame:
     """Trips per zone and hour, with mean fare and distance where trips carry them.
 
