@@ -634,7 +634,8 @@ def daily_moments(spark, sf):
     cells = pairs.select(
         F.col("day").cast("string").alias("day"), "f1", "f2", "n", F.col("m1").alias("mean"), (F.col("s") / F.col("n")).alias("covariance")
     )
-    return rounded(cells, "mean", "covariance")
+    # Eight digits: at six, values such as -0.0390625 are exact halves, and the last bit decides.
+    return cells.withColumns({c: F.round(c, 8) for c in ("mean", "covariance")})
 
 
 @query

@@ -253,7 +253,7 @@ def _daily_moments() -> str:
     """Covariances of all pairs and means, per day."""
     cells = [
         f"SELECT CAST(CAST(hour_ts AS DATE) AS VARCHAR) AS day, '{a}' AS f1, '{b}' AS f2, count(*) AS n, "
-        f"round(avg({a}), 6) AS mean, round(covar_pop({a}, {b}), 6) AS covariance FROM train GROUP BY 1"
+        f"round(avg({a}), 8) AS mean, round(covar_pop({a}, {b}), 8) AS covariance FROM train GROUP BY 1"
         for i, a in enumerate(CONTINUOUS)
         for b in CONTINUOUS[i:]
     ]
