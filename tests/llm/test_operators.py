@@ -262,6 +262,23 @@ def test_near_duplicates_of_a_crowd_without_links_to_its_typical_document(spark,
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_near_duplicates_in_nodes_that_stay_large(spark, monkeypatch):
+    """Shortened copies like those above; no depth divides them any more, so only a full comparison finds each twin."""
+    for name, value in {"SMALL": 4, "DEEPER": (4,), "OUTSIDE": 4, "CHUNK": 16, "BLOCK": 8}.items():
+        monkeypatch.setattr(neardup, name, value)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(200)]
+    docs = [(0, " ".join(base))]
+    for _ in range(60):
+        gone = rng.sample(range(200), 41)
+        for mine in (gone[:33], gone[8:]):
+            docs.append((len(docs), " ".join(w for k, w in enumerate(base) if k not in mine)))
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 85, 1)
+    want = brute_components(docs, 85, 1)
+    assert len(set(want.values())) > 50
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
 def test_pairs_of_a_crowd_grow_with_its_members(spark):
     """Edited copies about 0.56 similar to each other, far from a link: no all-pairs comparison, and links between twins are found."""
     rng = random.Random(9)

@@ -6,7 +6,9 @@ typical document (the one that agrees most with the node's majority) is compared
 next minwise shingle, down to ``DEPTH``.  Links found so far are confirmed there.  The members of nodes that are still large and hold more than one
 confirmed component branch on, to the depths of ``DEEPER``, each with as many new trees as leave a pair at the limit in different nodes of all of
 them with probability ``MISS``.  Only documents of different components are compared: all such pairs of a node of which no more than ``OUTSIDE``
-documents are outside the largest component.  The members of other nodes go on to the next depth.  So a crowd of documents that are like each other, yet not near enough, costs depth and trees, never all its pairs.
+documents are outside the largest component.  The members of other nodes go on to the next depth.  So a crowd of documents that are like each other, yet not near enough, costs depth and trees, not all its pairs.
+Nodes that are still large at the last depth are settled in full: each member is compared with one hub, links are confirmed and merged, and
+then all pairs of a node that still lie in different components are compared, block by block.
 
 Comparisons use one-byte minwise values (``TREES * DEPTH``, in deeper trees ``LONG``) and set sizes, with a margin of ``MARGIN`` standard deviations
 (``LONG_MARGIN``); what remains is confirmed on the full sets, in two rounds: first each document's likeliest partner, then whatever
@@ -46,8 +48,8 @@ MARGIN = 5
 DEEPER, MISS, LONG, LONG_MARGIN = (8, 12, 16, 20, 24), 0.01, 512, 3
 #: Outside members of a node that are compared with all of it; with more, the node branches on.
 OUTSIDE = 256
-#: Members of a node compared in one group, and ids sent to all tasks.
-CHUNK, SENT_IDS = 1024, 2_000_000
+#: Members of a node compared in one group, members of either side of a group at the last depth, and ids sent to all tasks.
+CHUNK, BLOCK, SENT_IDS = 1024, 4096, 2_000_000
 
 
 def least_agreement(percent: int, places: int = PLACES, margin: float = MARGIN) -> int:
@@ -215,20 +217,30 @@ def _keys(members: DataFrame, depth: int, trees: int) -> DataFrame:
     return map_rows(members.select("rep", "name", "component", "mins"), run, "key bigint, rep bigint, name bigint, component bigint")
 
 
-def _mixed_nodes(rows: DataFrame, percent: int, least: int) -> DataFrame:
-    """Likely pairs of different components, one side outside its node's largest; ``rows`` has key, chunk, outside, rep, n, component, sketch."""
+def _nodes(keyed: DataFrame) -> DataFrame:
+    """key, hub (least member), size, main (the largest component), others (members outside it) of the nodes of several components."""
+    nodes = keyed.groupBy("key", "component").agg(F.count("*").alias("c"), F.min("rep").alias("hub"))
+    nodes = nodes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.sum("c").alias("size"), F.min("hub").alias("hub"))
+    nodes = nodes.select("key", "hub", "size", F.col("x.component").alias("main"), (F.col("size") - F.col("x.c")).alias("others"))
+    return store(nodes.where("others > 0"), "nodes")
+
+
+def _mixed_nodes(keyed: DataFrame, nodes: DataFrame, members: DataFrame, percent: int, least: int, block: int, chunk: int) -> DataFrame:
+    """Likely pairs of different components, one side outside its node's largest: all of the nodes in ``nodes``.
+
+    The outside members of a node are dealt into blocks, all its members into chunks; each block meets each chunk in a group of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _whole_groups(batches, ("key", "chunk")):
-            rep, n, part, chunk = (table.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
-            outside = table.column("outside").to_numpy(zero_copy_only=False)
+        for table, edges in _whole_groups(batches, ("key", "place")):
+            rep, n, part = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
+            outside, asks, asked = (table.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "asks", "asked"))
             sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, LONG)
             found: list[tuple] = []
             for x, y in zip(edges, edges[1:]):
-                for i in x + np.flatnonzero(outside[x:y]):
+                for i in x + np.flatnonzero(asks[x:y]):
                     near = np.minimum(n[i], n[x:y]) * 100 >= np.maximum(n[i], n[x:y]) * percent
-                    # two outside members stand together in every chunk; they are compared in the first
-                    once = ~outside[x:y] | ((rep[x:y] > rep[i]) & (chunk[i] == 0))
+                    # two outside members meet twice, as each one's block meets the other's chunk
+                    once = asked[x:y] & (~outside[x:y] | (rep[x:y] > rep[i]))
                     j = x + np.flatnonzero((part[x:y] != part[i]) & near & once)
                     agree = (sketch[j] == sketch[i]).sum(1)
                     j, agree = j[agree >= least], agree[agree >= least]
@@ -237,41 +249,56 @@ def _mixed_nodes(rows: DataFrame, percent: int, least: int) -> DataFrame:
                 a, b, agree = (np.concatenate(c) for c in zip(*found))
                 yield pa.RecordBatch.from_pydict({"a": a, "b": b, "agree": pa.array(agree, pa.int32())})
 
-    by = ("key", "chunk")
-    return map_rows(rows.repartition(*by).sortWithinPartitions(*by), run, "a bigint, b bigint, agree int")
+    low_byte = F.transform("mins", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
+    rows = keyed.join(nodes, "key").withColumn("outside", F.col("component") != F.col("main"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("others") / block)).withColumn("chunks", F.ceil(F.col("size") / chunk))
+    rows = rows.withColumn("own_block", F.pmod(F.xxhash64("rep", F.lit(1)), "blocks")).withColumn("own_chunk", F.pmod(F.xxhash64("rep"), "chunks"))
+    asked_at = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda b: b * F.col("chunks") + F.col("own_chunk"))
+    asks_at = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), lambda c: F.col("own_block") * F.col("chunks") + c)
+    rows = rows.withColumn("place", F.explode(F.when(F.col("outside"), F.array_union(asks_at, asked_at)).otherwise(asked_at)))
+    asks = F.col("outside") & (F.floor(F.col("place") / F.col("chunks")) == F.col("own_block"))
+    rows = rows.withColumn("asks", asks).withColumn("asked", F.pmod("place", "chunks") == F.col("own_chunk"))
+    rows = rows.select("key", "place", "outside", "asks", "asked", "rep", "name", "component")
+    rows = rows.join(members.select("rep", "name", "n", low_byte.alias("sketch")), ["rep", "name"])
+    by = ("key", "place")
+    return store(map_rows(rows.repartition(*by).sortWithinPartitions(*by), run, "a bigint, b bigint, agree int").distinct(), "likely")
+
+
+def _in_components(members: DataFrame, parts: DataFrame) -> DataFrame:
+    return members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _last_pairs(large: DataFrame, members: DataFrame, parts: DataFrame, docs: DataFrame, percent: int, n_words: int) -> DataFrame:
+    """Likely pairs of nodes that no further depth divides (``large``: key, rep, name, hub), whatever their size.  Their members are next to
+    equal, so most of them are one component after one partner for each; all pairs that are not are compared."""
+    hubs = large.where("rep <> hub").groupBy("rep").agg(F.min("hub").alias("hub"))
+    least = least_agreement(percent, LONG, MARGIN)
+    hubs = store(hubs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), F.lit(least).alias("agree")).distinct(), "hubs")
+    keyed = store(_in_components(large.select("key", "rep", "name"), _linked(hubs, docs, percent, n_words, parts)), "last")
+    return hubs.unionByName(_mixed_nodes(keyed, _nodes(keyed), members, percent, least, BLOCK, BLOCK))
 
 
 def crowd_pairs(crowds: DataFrame, parts: DataFrame, docs: DataFrame, percent: int = PERCENT, n_words: int = WORDS) -> DataFrame:
     """Likely pairs of different components among the members of ``crowds`` (key, rep), by deeper trees; ``parts`` names each linked set's component."""
     least = least_agreement(percent, LONG, LONG_MARGIN)
-    named = crowds.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    named = store(named, "crowds")
+    named = store(_in_components(crowds, parts), "crowds")
     mixed_nodes = store(named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key"), "mixed")
     open_ = store(named.join(mixed_nodes, "key", "left_semi").select("rep", "component").distinct(), "open")
     long = sketches(_of_ids(docs, open_.select("rep")), n_words, LONG).where("n > 0").selectExpr("doc_id rep", "s1 name", "n", "mins")
     members = store(long.dropDuplicates(["rep", "name"]).join(open_, "rep"), "members")  # an id may have several texts
-    low_byte = F.transform("mins", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
     found: list[DataFrame] = []
     for depth in DEEPER:
         keyed = store(_keys(members, depth, trees_at(depth, percent)), "keys")
-        nodes = keyed.groupBy("key", "component").agg(F.count("*").alias("c"), F.min("rep").alias("hub"))
-        nodes = nodes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.sum("c").alias("size"), F.min("hub").alias("hub"))
-        nodes = nodes.select("key", "hub", "size", F.col("x.component").alias("main"), (F.col("size") - F.col("x.c")).alias("others"))
-        nodes = store(nodes.where("others > 0"), "nodes")
+        nodes = _nodes(keyed)
         ready = F.col("others") <= OUTSIDE  # so the work for each member is bounded
-        rows = keyed.join(nodes.where(ready), "key").withColumn("outside", F.col("component") != F.col("main"))
-        chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-        own = F.array(F.pmod(F.xxhash64("rep"), chunks).cast("int"))
-        rows = rows.withColumn("chunk", F.explode(F.when(F.col("outside"), F.sequence(F.lit(0), chunks - 1)).otherwise(own)))
-        rows = rows.select("key", "chunk", "outside", "rep", "name", "component").join(members.select("rep", "name", "n", low_byte.alias("sketch")), ["rep", "name"])
-        found.append(store(_mixed_nodes(rows, percent, least).distinct(), "likely"))
-        large = keyed.join(nodes.where(~ready), "key")
-        if depth == DEEPER[-1]:  # whoever still shares so many values is next to equal: one partner for each
-            found.append(large.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), F.lit(least).alias("agree")).distinct())
+        found.append(_mixed_nodes(keyed, nodes.where(ready), members, percent, least, OUTSIDE, CHUNK))
+        large = store(keyed.join(nodes.where(~ready).select("key", "hub"), "key").drop("component"), "large")
+        if large.isEmpty():
             break
-        members = store(members.join(store(large.select("rep").distinct(), "large"), "rep", "left_semi"), "members")
-        if members.isEmpty():
+        if depth == DEEPER[-1]:
+            found.append(_last_pairs(large, members, parts, docs, percent, n_words))
             break
+        members = store(members.join(large.select("rep").distinct(), "rep", "left_semi"), "members")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
