@@ -133,6 +133,27 @@ def test_packing(spark, odd, empty):
     assert packing.sequences(empty).count() == 0
 
 
+def test_packing_shuffles_no_pieces(spark):
+    """Nothing but counts is exchanged: no piece, and so no ids."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(5)
+    got = packing.sequences(docs, with_ids=True)
+    assert "length" in got.columns and not {"part", "number"} & set(got.columns)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(exchanged) == 2 and sum("ids" in line.replace("ids_crc32", "") for line in scans) == 1 and "hashpartitioning(doc_id" not in plan
+    for line in exchanged:  # per length and part, per length
+        assert "hashpartitioning(length" in line
+    pieces = got.collect()
+    check_packed([(r["length"], r["sequence_id"], r["offset"]) for r in pieces], len(pieces))
+    assert all(len(r["ids"]) == r["length"] for r in pieces)
+    by = collections.defaultdict(list)
+    for r in sorted(pieces, key=lambda r: (r["doc_id"], r["start"])):
+        by[r["doc_id"]] += r["ids"]
+    encode = fast_encoder(default_path())
+    assert by == {r["doc_id"]: [*encode(r["text"] or "").tolist(), 0] for r in docs.collect()}
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(score):
     rng = random.Random(3)

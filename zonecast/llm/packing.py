@@ -8,8 +8,9 @@ of what would be left.  A document longer than a sequence is cut, the remainder
 Scale: a piece's demand depends on its length alone, so the placing works on counts per length, at most ``max_tokens`` of
 them, however many documents there are; sequences with equal residuals are one kind with a multiplicity.  That part
 runs on the driver over a bounded table and gives rows "pieces number a .. b of length l go to sequences from s on".  The pieces
-themselves never leave the executors: they are numbered within their length from counts per salt (a hot length is spread
-over many salts) and meet their row by a join.  Full pieces need no partner and are numbered the same way.
+themselves are written once and never shuffled, ids least of all: the task that cuts them numbers them within their length, counts
+per task and length say where each task's numbers begin (a hot length is spread over all tasks), and pieces meet their row by
+a broadcast join.  Full pieces need no partner and are numbered the same way.
 
 Null text is the empty text (its end id alone).  Rows that share a doc_id, or have none, are packed each for itself.
 """
@@ -22,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, shuffle_partitions, store
+from .common import documents, map_rows, store
 from .tokens import default_path, fast_encoder, text_groups
 
 
@@ -49,27 +51,28 @@ def cut_lengths(n: int, most: int) -> list[int]:
 
 
 def pieces_of(docs: DataFrame, most: int = 2048, path: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, if wanted) of every piece of every document; ``row`` tells rows apart."""
+    """doc_id, piece, start, length, ids_crc32 (and ids, if wanted) of every piece of every document; ``part`` is the partition that a
+    piece was cut in, ``number`` counts those of its length there.  To be stored at once: a second run may lay the rows out otherwise."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = fast_encoder(path), np.array([end_id], np.uint32)
+        part, numbers = TaskContext.get().partitionId(), [0] * (most + 1)
         for group in text_groups(batches):
-            out: dict[str, list] = {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids_crc32", "ids")}
-            for key, row, text in zip(*(group.column(c).to_pylist() for c in ("doc_id", "row", "text"))):
+            out: dict[str, list] = {k: [] for k in ("doc_id", "part", "number", "piece", "start", "length", "ids_crc32", "ids")}
+            for key, text in zip(*(group.column(c).to_pylist() for c in ("doc_id", "text"))):
                 ids, start = np.concatenate([encode(text), end]).astype("<u4"), 0
                 for piece, n in enumerate(cut_lengths(len(ids), most)):
                     own = ids[start : start + n]
-                    values = (key, row, piece, start, n, zlib.crc32(own.tobytes()), own.astype("i4") if with_ids else None)
+                    values = (key, part, numbers[n], piece, start, n, zlib.crc32(own.tobytes()), own.astype("i4") if with_ids else None)
                     for k, v in zip(out, values):
                         out[k].append(v)
-                    start += n
-            kinds = {"piece": pa.int32(), "ids": pa.list_(pa.int32())}
+                    start, numbers[n] = start + n, numbers[n] + 1
+            kinds = {"part": pa.int32(), "piece": pa.int32(), "ids": pa.list_(pa.int32())}
             yield from pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items() if k != "ids" or with_ids}).to_batches()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    schema = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    schema = "doc_id bigint, part int, number bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     return map_rows(rows, run, schema + ", ids array<int>" * with_ids)
 
 
@@ -131,18 +134,15 @@ def best_fit(counts: dict[int, int], capacity: Capacity = Capacity()) -> tuple[l
 
 
 def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
-    """``pieces`` (stored; with row, piece, length) with ``sequence_id`` and ``offset``."""
-    spark, salts = pieces.sparkSession, shuffle_partitions(pieces.sparkSession)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("row", "piece"), F.lit(salts)).cast("int"))
-    per_salt = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    counts = {r["length"]: r["n"] for r in per_salt.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most one per length
+    """``pieces`` (stored; with part, number, length) with ``sequence_id`` and ``offset``."""
+    spark = pieces.sparkSession
+    per_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most one per length
     placed, _ = best_fit(counts, capacity)
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_salt.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("length", "salt", "base")
-    in_salt = Window.partitionBy("length", "salt").orderBy("row", "piece")
-    # lengths x salts rows at most, so the bases are broadcast
-    numbered = salted.withColumn("k", F.row_number().over(in_salt) - 1).join(F.broadcast(ranks), ["length", "salt"])
-    numbered = numbered.withColumn("k", F.col("k") + F.col("base")).drop("base", "salt")
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("length", "part", "base")
+    # lengths x parts rows at most, so the bases are broadcast
+    numbered = pieces.join(F.broadcast(ranks), ["length", "part"]).withColumn("k", F.col("number") + F.col("base")).drop("base", "part", "number")
     # Rows of the plan: bounded by lengths times kinds of residuals, not by pieces.
     plan = spark.createDataFrame(placed, "length bigint, first bigint, n bigint, sequence bigint, offset bigint")
     hit = (F.col("k") >= F.col("first")) & (F.col("k") < F.col("first") + F.col("n"))
@@ -157,7 +157,7 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
 def sequences(docs: DataFrame, capacity: Capacity = Capacity(), path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Every piece of ``docs`` with its place; ``with_ids`` also gives the ids."""
     pieces = store(pieces_of(docs, capacity.tokens, path, with_ids=with_ids), "pieces")
-    return pack(pieces, capacity).drop("row")
+    return pack(pieces, capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
