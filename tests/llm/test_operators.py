@@ -542,6 +542,26 @@ def test_mixing_against_plain_loops(spark):
     assert [x[2] for x in got[8]] == pytest.approx([x[2] for x in got[1]], rel=1e-9)
 
 
+def test_mixing_logits_travel_without_keys():
+    """What a bucket sends back takes less room than the keys alone, and comes back as it was."""
+    rng = np.random.default_rng(6)
+    text = b" ".join(bytes(rng.choice(list(b"abcdefgh"), rng.integers(1, 8)).astype(np.uint8)) for _ in range(20_000))
+    symbols = mixing.symbols_of([text, b"\xff\x01"])
+    code = mixing.Code(np.bincount(symbols, minlength=mixing.SYMBOLS))
+    pairs, counts = np.unique(mixing.contexts(symbols, np.zeros(1, np.int64))[0], return_counts=True)
+    _, logits = mixing.path_logits(code, pairs, counts)
+    raw = mixing.packed_logits(code, pairs, logits)
+    back = mixing.unpacked_logits(code, pairs, raw)
+    assert np.array_equal(back, logits) and back.dtype == np.int8
+    assert len(raw) < len(mixing.packed_keys(pairs)) / 2
+    bucket = mixing.bucket_of(pairs, 7)
+    assert (np.diff(bucket) >= 0).all() and set(bucket.tolist()) == set(range(7))
+    assert len(mixing.unpacked_logits(code, pairs[:0], mixing.packed_logits(code, pairs[:0], logits[:0]))) == 0
+    with pytest.raises(ValueError):
+        mixing.unpacked_logits(code, pairs[1:], raw)
+    assert "keys" not in mixing.COUNTED
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r["score"] for r in mixing.scores(docs.coalesce(1)).collect()}

@@ -15,7 +15,9 @@ remainder 1, of what each of them learns from contexts counted without these tex
 all words, for the base score.  A context is known by 56 bits of its hash, so there is no table of a fixed size that could fill.  Texts
 are dealt into chunks of about ``CHUNK_BYTES``.  Each chunk sends its distinct words and its distinct pairs of context and symbol to
 buckets, which add up and send back word counts and, for each pair, the logits on the symbol's way down the tree; the chunk is scored together
-with them.  Buckets are as many as chunks, so no group grows beyond a chunk or a bucket; nothing but symbol counts, weights and map is broadcast.
+with them.  Keys travel one way only: buckets are ranges of keys, so what comes back, in the order of the buckets, belongs to the chunk's distinct
+keys in ascending order, which its texts give again.  Buckets are as many as chunks, so no group grows beyond a chunk or a bucket; nothing but
+symbol counts, weights and map is broadcast.
 
 All counts and the mean are sums of integers and contexts never reach over a text's start, so scores don't depend on how the table is
 partitioned.  Long texts are laid out in parts that carry the last symbols and the word so far.
@@ -39,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, passing, store
+from .common import documents, passing
 from .tokens import text_groups
 from .words import hashes, mixed, words
 
@@ -217,13 +219,12 @@ class Mixer:
 
 
 class Known:
-    """A chunk's pairs, each with the logits on its symbol's way down the tree."""
+    """A chunk's distinct pairs, ascending, each with the logits on its symbol's way down the tree."""
 
     def __init__(self, code: Code, pairs: np.ndarray, logits: np.ndarray):
         length = code.length[(pairs & np.uint64(255)).astype(np.int64)]
         start = np.cumsum(length) - length
-        order = np.argsort(pairs)
-        self.code, self.pairs, self.start, self.logits = code, pairs[order], start[order], logits
+        self.code, self.pairs, self.start, self.logits = code, pairs, start, logits
         # Most pairs have a place of their own in one of two tables; the rest is searched for.
         bits = max(4, min(24, len(pairs).bit_length() + 1))
         self.places = [(np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)), (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(66 - bits))]
@@ -309,6 +310,27 @@ class Tally:
         return added(np.concatenate(self.keys), np.concatenate(self.counts, axis=1))[:2]
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Ascending distinct keys.  (``np.unique`` without counts goes through a hash table, which is slower here than sorting.)"""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+class Distinct:
+    """Distinct keys, found in parts."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(distinct(keys))
+        if len(self.parts) > 32:
+            self.parts = [self.keys()]
+
+    def keys(self) -> np.ndarray:
+        return distinct(np.concatenate([np.zeros(0, np.uint64), *self.parts]))
+
+
 def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the sums of their counts (2 rows), and the place of each key among the distinct ones."""
     own, inverse = np.unique(keys, return_inverse=True)
@@ -333,25 +355,68 @@ def unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
 
 
-SENT = "chunk bigint, bucket bigint, kind int, keys binary, counts binary, early binary, symbols array<bigint>"
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of keys, in their order; a context's pairs stand together."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def packed_logits(code: Code, pairs: np.ndarray, logits: np.ndarray) -> bytes:
+    """Without ``pairs``.  Each logit as its support for the bit that follows, less that of the step before: where a context has had one
+    symbol all are the same.  All first steps stand before all second ones and so on."""
+    length, _, step = code.steps((pairs & np.uint64(255)).astype(np.int64))
+    start = np.cumsum(length) - length
+    support = np.where(code.bit[step] == 1, logits, -logits)
+    change = np.diff(support, prepend=np.int8(0))
+    change[start] = support[start]
+    planes = [change[start[length > k] + k] for k in range(int(length.max(initial=0)))]
+    return zstandard.ZstdCompressor(level=3).compress(np.concatenate([np.zeros(0, np.int8), *planes]).tobytes())
+
+
+def unpacked_logits(code: Code, pairs: np.ndarray, raw: bytes) -> np.ndarray:
+    length, _, step = code.steps((pairs & np.uint64(255)).astype(np.int64))
+    start, planes, at = np.cumsum(length) - length, np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int8), 0
+    if len(planes) != len(step):
+        raise ValueError("logits of other pairs")
+    support = np.zeros(len(step), np.int8)
+    for k in range(int(length.max(initial=0))):
+        place = start[length > k] + k
+        support[place] = planes[at : at + len(place)] + (support[place - 1] if k else np.int8(0))
+        at += len(place)
+    return np.where(code.bit[step] == 1, support, -support)
+
+
+def symbol_counts_of(chunks: DataFrame) -> tuple[int, ...]:
+    """How often each symbol stands in the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SYMBOLS, np.int64)
+        for group in text_groups(batches):
+            for text in group.column("text").to_pylist():
+                total += np.bincount(symbols_of(words(text)), minlength=SYMBOLS)
+        yield pa.RecordBatch.from_pydict({"symbols": pa.array([total.tolist()], pa.list_(pa.int64()))})
+
+    rows = chunks.where("fold <> 0").select("text").mapInArrow(run, "symbols array<bigint>")
+    symbols = dict(rows.select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n")).collect())  # 256 rows
+    return tuple(symbols.get(s, 0) for s in range(SYMBOLS))
+
+
+SENT = "chunk bigint, bucket bigint, kind int, keys binary, counts binary, early binary"
 
 
 def sent_rows(chunks: DataFrame, buckets: int) -> DataFrame:
     """Of each chunk and bucket the distinct words and pairs with their counts in its training texts: outside the weight fold, and
-    in it (``early``).  One row more a chunk, with bucket -1, holds the symbol counts."""
+    in it (``early``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {"chunk": None}
 
         def begin(chunk: int) -> None:
-            state.update(chunk=chunk, tallies=(Tally(), Tally()), symbols=np.zeros(SYMBOLS, np.int64), held={})
+            state.update(chunk=chunk, tallies=(Tally(), Tally()), held={})
 
         def spend(which: int | None) -> None:
             own = state["held"].pop(which)
             state["tallies"][WORDS].add(np.concatenate([h for h, _ in own]), which)
-            for _, symbols, pairs, _ in laid_out([s for _, s in own]):
-                if which is not None:
-                    state["symbols"] += np.bincount(symbols, minlength=SYMBOLS)
+            for _, _, pairs, _ in laid_out([s for _, s in own]):
                 state["tallies"][ALL].add(pairs.ravel(), which)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -359,16 +424,14 @@ def sent_rows(chunks: DataFrame, buckets: int) -> DataFrame:
                 return
             for which in list(state["held"]):
                 spend(which)
-            rows: list[tuple] = [(-1, WORDS, b"", b"", b"", state["symbols"].tolist())]
+            rows: list[tuple] = []
             for kind, tally in enumerate(state["tallies"]):
                 keys, counts = tally.total()
-                bucket = ((keys >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                keys, counts, bucket = keys[order], counts[:, order].astype(np.uint32), bucket[order]
+                counts, bucket = counts.astype(np.uint32), bucket_of(keys, buckets)
                 edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-                rows += [(int(bucket[a]), kind, packed_keys(keys[a:b]), packed(counts[0, a:b]), packed(counts[1, a:b]), None) for a, b in zip(edges, edges[1:])]
+                rows += [(int(bucket[a]), kind, packed_keys(keys[a:b]), packed(counts[0, a:b]), packed(counts[1, a:b])) for a, b in zip(edges, edges[1:])]
             cols = [[state["chunk"]] * len(rows), *zip(*rows)]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in SENT.split(", ")])
 
         for group in text_groups(batches):
@@ -399,22 +462,22 @@ def path_logits(code: Code, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.n
     return length, np.clip(np.round(logit * 16), -127, 127).astype(np.int8)[slot]
 
 
-COUNTED = "chunk bigint, kind int, keys binary, counts binary, tokens bigint, distinct_words bigint"
+COUNTED = "chunk bigint, kind int, bucket bigint, counts binary, tokens bigint, distinct_words bigint"
 
 
 def corpus_counts(rows: DataFrame, symbol_counts: tuple[int, ...]) -> DataFrame:
-    """What the buckets send back to each chunk: counts of its words, logits of its pairs, and of those in its weight fold once more the
-    logits without that fold; and once for each bucket its training tokens and distinct training words."""
+    """What the buckets send back to each chunk, in the order of its keys: counts of its words, logits of its pairs, and of those in its weight fold
+    once more the logits without that fold; and once for each bucket its training tokens and distinct training words."""
 
     def run(table: pa.Table) -> pa.Table:
-        kind, chunk = table.column("kind")[0].as_py(), table.column("chunk").to_pylist()
+        kind, bucket, chunk = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py(), table.column("chunk").to_pylist()
         keys = [unpacked_keys(x.as_py()) for x in table.column("keys")]
         plain, early = (np.concatenate([unpacked(x.as_py(), np.uint32) for x in table.column(c)]) for c in ("counts", "early"))
         own, counts, inverse = added(np.concatenate(keys), np.stack([plain, early]))
         ends, out = np.cumsum([0, *map(len, keys)]), []
         if kind == WORDS:
             total = counts.sum(0)
-            out = [(c, WORDS, packed_keys(k), packed(total[inverse[a:b]]), 0, 0) for c, k, a, b in zip(chunk, keys, ends, ends[1:])]
+            out = [(c, WORDS, bucket, packed(total[inverse[a:b]]), 0, 0) for c, a, b in zip(chunk, ends, ends[1:])]
             out[0] = (*out[0][:4], int(total.sum()), int((total > 0).sum()))
         else:
             code = code_of(symbol_counts)
@@ -428,38 +491,44 @@ def corpus_counts(rows: DataFrame, symbol_counts: tuple[int, ...]) -> DataFrame:
                     if len(k):
                         count = length[place]
                         steps = np.arange(int(count.sum())) + np.repeat(start[place] - np.cumsum(count) + count, count)
-                        out.append((c, which, packed_keys(k), packed(logits[steps]), 0, 0))
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+                        out.append((c, which, bucket, packed_logits(code, k, logits[steps]), 0, 0))
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split()[0] for f in COUNTED.split(", ")])
 
-    return rows.where("bucket >= 0").groupBy("bucket", "kind").applyInArrow(run, COUNTED)
+    return rows.groupBy("bucket", "kind").applyInArrow(run, COUNTED)
 
 
-def held(rows: pa.Table, kind: int, of: type) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a kind and what came back for them."""
-    own = [(k.as_py(), c.as_py()) for k, c, x in zip(*(rows.column(x) for x in ("keys", "counts", "kind"))) if x.as_py() == kind]
-    empty = (np.zeros(0, np.uint64), np.zeros(0, of))
-    return tuple(np.concatenate(x) for x in zip(empty, *((unpacked_keys(k), unpacked(c, of)) for k, c in own)))
+def in_order(rows: pa.Table, kind: int) -> list[tuple[int, bytes]]:
+    """What came back of a kind, with its bucket."""
+    return sorted((b.as_py(), c.as_py()) for b, c, x in zip(*(rows.column(x) for x in ("bucket", "counts", "kind"))) if x.as_py() == kind)
 
 
-def known(code: Code, rows: pa.Table, kind: int) -> Known:
-    return Known(code, *held(rows, kind, np.int8))
+def known(code: Code, rows: pa.Table, kind: int, pairs: np.ndarray, buckets: int) -> Known:
+    """``pairs``: the chunk's distinct ones, ascending."""
+    own = in_order(rows, kind)
+    ends = np.searchsorted(bucket_of(pairs, buckets), np.arange(buckets + 1))
+    if {b for b, _ in own} != set(np.flatnonzero(np.diff(ends)).tolist()):
+        raise ValueError("logits of other pairs")
+    return Known(code, pairs, np.concatenate([np.zeros(0, np.int8), *(unpacked_logits(code, pairs[ends[b] : ends[b + 1]], raw) for b, raw in own)]))
 
 
-def start_state(chunks: DataFrame, counted: DataFrame, symbol_counts: tuple[int, ...]) -> tuple[list[float], list[float]]:
+def start_state(chunks: DataFrame, counted: DataFrame, symbol_counts: tuple[int, ...], buckets: int) -> tuple[list[float], list[float]]:
     """Weights and map to start from: what each text of the weight fold learns from the plain ones, averaged by the texts' blocks."""
 
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
         own = [symbols_of(words(text or "")) for text in texts.column("text").to_pylist()]
         total, n = np.zeros(PREDICTORS * GATES + GATES * CELLS, np.int64), 0
         if own:
-            for _, blocks, mixer in known(code_of(symbol_counts), rows, EARLY).learned(own):
+            pairs = Distinct()
+            for _, _, of, _ in laid_out(own):
+                pairs.add(of.ravel())
+            for _, blocks, mixer in known(code_of(symbol_counts), rows, EARLY, pairs.keys(), buckets).learned(own):
                 total += blocks * np.rint(np.concatenate([mixer.weights.ravel(), mixer.cells]) * FRACTION).astype(np.int64)
                 n += blocks
         return pa.table({"n": pa.array([n], pa.int64()), "state": pa.array([total.tolist()], pa.list_(pa.int64()))})
 
     texts = chunks.where(F.col("fold") == WEIGHT_FOLD).select("chunk", "text").groupBy("chunk")
-    wanted = counted.where(F.col("kind") == EARLY).select("chunk", "kind", "keys", "counts").groupBy("chunk")
+    wanted = counted.where(F.col("kind") == EARLY).select("chunk", "kind", "bucket", "counts").groupBy("chunk")
     rows = texts.cogroup(wanted).applyInArrow(run, "n bigint, state array<bigint>")
     sums = rows.select("n", F.posexplode("state").alias("place", "value")).groupBy("place").agg(F.sum("value"), F.sum("n")).collect()  # 896 rows
     means = {place: value / n / FRACTION for place, value, n in sums if n}
@@ -477,20 +546,24 @@ def scores(docs: DataFrame) -> DataFrame:
     with passing(spark) as keep:
         chunks = keep(chunked(docs), "chunks")
         buckets = max(8, chunks.select("chunk").distinct().count())
-        rows = store(sent_rows(chunks, buckets), "sent")
-        symbols = dict(rows.where("bucket < 0").select(F.posexplode("symbols").alias("s", "n")).groupBy("s").agg(F.sum("n")).collect())  # 256 rows
-        symbol_counts = tuple(symbols.get(s, 0) for s in range(SYMBOLS))
-        counted = keep(corpus_counts(rows, symbol_counts), "counts")
+        symbol_counts = symbol_counts_of(chunks)
+        counted = keep(corpus_counts(sent_rows(chunks, buckets), symbol_counts), "counts")
         n, v = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct_words"), F.lit(0))).first()
-    weights, cells = start_state(chunks, counted, symbol_counts)
+    weights, cells = start_state(chunks, counted, symbol_counts, buckets)
     start = (np.array(weights, np.float32).reshape(PREDICTORS, GATES), np.array(cells, np.float32))
     below = math.log10(n + 0.1 * (v + 1))
 
     def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        h, c = held(rows, WORDS, np.int64)
-        order = np.argsort(h)
-        h, c = h[order], c[order]
-        out, of = [], known(code_of(symbol_counts), rows, ALL)
+        seen, pairs = Distinct(), Distinct()
+        for group in text_groups(iter(texts.to_batches())):
+            split = [words(text) for text in group.column("text").to_pylist()]
+            seen.add(np.concatenate([hashes(own) for own in split] + [np.array([END_WORD])]))
+            for _, _, own, _ in laid_out([symbols_of(own) for own in split]):
+                pairs.add(own.ravel())
+        h, c = seen.keys(), np.concatenate([np.zeros(0, np.int64), *(unpacked(raw, np.int64) for _, raw in in_order(rows, WORDS))])
+        if texts.num_rows and len(h) != len(c):
+            raise ValueError("counts of other words")
+        out, of = [], known(code_of(symbol_counts), rows, ALL, pairs.keys(), buckets)
         for group in text_groups(iter(texts.to_batches())):
             split = [words(text) for text in group.column("text").to_pylist()]
             learned = of.learned([symbols_of(own) for own in split], start)
@@ -503,7 +576,7 @@ def scores(docs: DataFrame) -> DataFrame:
         names = [f.split()[0] for f in RESULT.split(", ")]
         return pa.table([pa.array(col, kind) for col, kind in zip(list(zip(*out)) or [()] * 8, kinds)], names=names)
 
-    back = counted.where(F.col("kind") != EARLY).select("chunk", "kind", "keys", "counts")
+    back = counted.where(F.col("kind") != EARLY).select("chunk", "kind", "bucket", "counts")
     return chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, RESULT)
 
 
