@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, classifier, idstore, lines, mixing, neardup, packing, passages, sharding, topk
+from zonecast.llm import bpe, classifier, common, idstore, lines, mixing, neardup, packing, passages, sharding, topk
 from zonecast.llm.components import components
 from zonecast.llm.samples import held_out
 from zonecast.llm.tokens import default_path, fast_encoder
@@ -408,6 +408,28 @@ def test_passages(spark, odd, empty):
     assert passages.cut("a b\nc d", [(0, 1), (2, 4)]) == "b\n"
 
 
+@pytest.mark.parametrize("sent", [2_000_000, 0])
+def test_texts_that_take_no_part_stay_out_of_the_shuffles(spark, monkeypatch, sent):
+    """Ids alone lead to nodes and repeats; so long as those concerned are few, other texts meet no join.  Results are the same either way."""
+    monkeypatch.setattr(common, "SENT_IDS", sent)
+    stored: dict[str, list] = collections.defaultdict(list)
+    for module in (neardup, passages):
+        monkeypatch.setattr(module, "store", lambda df, name: stored[name].append(df) or common.store(df, name))
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(100)) for _ in range(30)]
+    docs = [*enumerate(texts[:20]), *((20 + i, f"{t} more") for i, t in enumerate(texts[:5])), (25, None), (25, texts[5]), (None, texts[6])]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(frame).collect() if r["doc_id"] is not None}
+    assert got == {i: i - 20 if i >= 20 else i for i in range(25)} | {25: 5}
+    assert stored["level"] and not any({"sketch", "mins", "keys"} & set(df.columns) for df in stored["level"])
+    left = sorted(rows(passages.without_repeats(frame).select(F.coalesce("doc_id", F.lit(-1)), "text")), key=str)
+    # a document without an id comes first, so the later copy loses its passage
+    want = [*((i, t) for i, t in enumerate(texts[:20]) if i != 6), *((20 + i, "more") for i in range(5)), (25, None), (-1, texts[6])]
+    assert left == sorted(want, key=str)
+    plan = stored["suffixes"][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftSemi" in plan) == (sent > 0)
+
+
 @pytest.mark.parametrize("ranges", [1, 4, 25])
 def test_every_later_occurrence_of_a_run_is_reported(monkeypatch, ranges):
     """Sorted suffixes whose agreement falls and rises, whatever the order of their documents, against all pairs."""

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, passing, shuffle_partitions, store
+from .common import among, documents, few, map_rows, passing, shuffle_partitions, store
 from .components import components, merged
 from .tokens import text_groups
 from .words import hashes, mixed, windows, words
@@ -48,8 +48,8 @@ MARGIN = 5
 DEEPER, MISS, LONG, LONG_MARGIN = (8, 12, 16, 20, 24), 0.01, 512, 3
 #: Outside members of a node that are compared with all of it; with more, the node branches on.
 OUTSIDE = 256
-#: Members of a node compared in one group, members of either side of a group at the last depth, and ids sent to all tasks.
-CHUNK, BLOCK, SENT_IDS = 1024, 4096, 2_000_000
+#: Members of a node compared in one group, and members of either side of a group at the last depth.
+CHUNK, BLOCK = 1024, 4096
 
 
 def least_agreement(percent: int, places: int = PLACES, margin: float = MARGIN) -> int:
@@ -105,11 +105,9 @@ def sketches(docs: DataFrame, n_words: int = WORDS, places: int = PLACES) -> Dat
     return map_rows(rows, run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, mins array<int>")
 
 
-def _branches(reps: DataFrame) -> DataFrame:
-    """A row for each set and tree: the keys of its node at every depth, and its bytes for comparisons."""
-    low_byte = F.transform("mins", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
-    keys = [F.array(*[F.xxhash64(F.lit(t), *[F.col("mins")[t * DEPTH + k] for k in range(d + 1)]) for d in range(DEPTH)]) for t in range(TREES)]
-    return reps.select("rep", "n", low_byte.alias("sketch"), F.explode(F.array(*keys)).alias("keys"))
+def _node(depth: int):
+    """The key of a set's node at ``depth`` of its tree."""
+    return F.xxhash64("tree", F.slice("mins", F.col("tree") * DEPTH + 1, depth + 1)).alias("key")
 
 
 def _agreement(a: str, b: str):
@@ -176,23 +174,29 @@ def _typical(rows: DataFrame) -> DataFrame:
 def candidates(reps: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame | None]:
     """Likely pairs (a < b) of sets and the number of places in which they agree; and the members (key, rep) of the nodes
     that are large at the last depth, where only pairs with the typical document are among the likely ones."""
-    least, rows = least_agreement(percent), _branches(reps)
+    least = least_agreement(percent)
+    low_byte = F.transform("mins", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
+    sketched = store(reps.select("rep", "n", low_byte.alias("sketch"), "mins"), "bytes")
+    rows = reps.withColumn("tree", F.explode(F.array(*map(F.lit, range(TREES)))))
     found: list[DataFrame] = []
     crowds = None
     for depth in range(DEPTH):
-        level = rows.withColumn("key", F.col("keys")[depth])
+        # Keys and ids alone meet the counts; the bytes join those that have company.
+        level = rows.select("rep", "tree", _node(depth))
         sizes = store(level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "nodes")
         level = store(level.join(sizes, "key"), "level")
-        found.append(_small_nodes(level.where(F.col("size") <= SMALL), percent, least))
-        rows = level.where(F.col("size") > SMALL).drop("size")
-        if rows.isEmpty():
+        found.append(_small_nodes(level.where(F.col("size") <= SMALL).select("key", "rep").join(sketched.drop("mins"), "rep"), percent, least))
+        large = level.where(F.col("size") > SMALL).select("key", "rep", "tree")
+        if large.isEmpty():
             break
-        star = store(rows.join(_typical(rows), "key").withColumn("agree", _agreement("sketch", "m_sketch")), "stars")
+        sketched = store(sketched.join(large.select("rep").distinct(), "rep", "left_semi"), "bytes")
+        wide = store(large.join(sketched.drop("mins"), "rep"), "large")
+        star = store(wide.join(_typical(wide), "key").withColumn("agree", _agreement("sketch", "m_sketch")), "stars")
         likely = (F.col("agree") >= least) & _near_sizes(percent)
         found.append(star.where(likely & (F.col("rep") != F.col("m_rep"))).select(*_pair("rep", "m_rep")))
         if depth == DEPTH - 1:
             crowds = star.select("key", "rep")
-        rows = rows.drop("key")
+        rows = large.select("rep", "tree").join(sketched.select("rep", "mins"), "rep")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
@@ -306,15 +310,15 @@ def crowd_pairs(crowds: DataFrame, parts: DataFrame, docs: DataFrame, percent: i
 
 
 def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and text of the documents that the stored one-column table ``ids`` names.  So long as these are few (``SENT_IDS`` at most: 8 bytes
-    each) they are sent to the texts; beyond, both sides are shuffled."""
+    """doc_id and text of the documents that the stored one-column table ``ids`` names.  So long as these are few they are sent to the texts;
+    beyond, both sides are shuffled."""
     wanted = ids.toDF("doc_id").distinct()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    return rows.join(F.broadcast(wanted) if ids.count() <= SENT_IDS else wanted, "doc_id", "left_semi")
+    return rows.join(F.broadcast(wanted) if few(ids) else wanted, "doc_id", "left_semi")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, n_words: int = WORDS) -> DataFrame:
-    """The pairs (u, v) whose full sets are near enough."""
+    """Of the stored ``pairs`` those (u, v) whose full sets are near enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,8 +328,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, n_words:
             keep = pa.array([similar(sets[t], sets[u], percent) for t, u in zip(*texts)], pa.bool_())
             yield pa.RecordBatch.from_pydict({"u": a.filter(keep), "v": b.filter(keep)})
 
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    left = among(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), pairs.select("a"), "a")
+    right = among(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), pairs.select("b"), "b")
     dealt = pairs.select("a", "b").repartition(shuffle_partitions(pairs.sparkSession))  # few bytes, much work
     both = dealt.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return map_rows(both, run, "u bigint, v bigint").distinct()
@@ -338,7 +342,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, percent: int, n_words: int, parts
 
     # First each document's likeliest partner, ...
     first = pairs.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("back"))).alias("x"))
-    first = first.select((-F.col("x.back")).alias("a"), "b")
+    first = store(first.select((-F.col("x.back")).alias("a"), "b"), "first")
     links = store(confirm(first, texts, percent, n_words), "links")
     parts = store(components(links), "parts") if parts is None else merged(parts, links)
     # ... then all pairs whose ends aren't connected yet.

@@ -6,7 +6,8 @@ and holds the same ones wherever it stands.  The suffixes are sorted; neighbours
 extended to the left and to the right.  A chain of matching neighbours is one passage with several occurrences; all but the
 first (by doc_id, then place) are repeats.
 
-Scale: only positions (about one word in 18) are shuffled at first; those whose gram occurs once drop out by a count.
+Scale: only positions (about one word in 18) are shuffled at first; those whose gram occurs once drop out by a count.  Texts without a place
+that is left never enter a shuffle, so long as the others are few enough for their hashes to be sent (``SENT_IDS``).
 The rest carry the hashed words around them, as far as the next selected position can be, so that the pieces of
 longer matches join up.  They are range-partitioned by the whole suffix, then document, so a passage that a third of all documents share is
 spread over many tasks; each task streams its sorted rows and keeps one row and a few dozen earlier occurrences (``_Chain``).  What lies
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, passing, shuffle_partitions, store
+from .common import among, documents, few, map_rows, passing, shuffle_partitions, store
 from .tokens import text_groups
 from .words import hashes, windows, words
 
@@ -69,8 +70,9 @@ def suffixes(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     drawn = store(positions(keyed), "positions")
     often = store(drawn.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    kept = drawn.join(often, "gram").groupBy("d", "th").agg(F.collect_set("pos").alias("places"))  # places of one document
-    both = keyed.join(store(kept, "places"), ["d", "th"])
+    kept = drawn.join(F.broadcast(often) if few(often) else often, "gram").groupBy("d", "th").agg(F.collect_set("pos").alias("places"))  # places of one document
+    kept = store(kept, "places")
+    both = among(keyed, kept.select("th"), "th").join(kept, ["d", "th"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in text_groups(batches):
@@ -274,8 +276,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = spans.withColumnsRenamed({"d": " d", "th": " th", "spans": " spans"})
     names = [f"`{c}`" for c in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumn(" d", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))).withColumn(" th", F.xxhash64(text)).join(spans, [" d", " th"], "left")
+    named = docs.withColumn(" d", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))).withColumn(" th", F.xxhash64(text))
+    hit = spans.select(" th")
+    marked = among(named, hit, " th").join(spans, [" d", " th"], "left")
     untouched = marked.where("` spans` is null").select(*names)
+    if few(hit):
+        untouched = untouched.union(named.join(F.broadcast(hit.distinct()), " th", "left_anti").select(*names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
