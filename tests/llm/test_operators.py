@@ -584,6 +584,16 @@ def test_mixing_logits_travel_without_keys():
     assert "keys" not in mixing.COUNTED
 
 
+def test_mixing_texts_travel_in_compressed_blocks(spark):
+    data = [(i, i % 10, None if i == 3 else f"line {i} of a text that is like the others é\n" * (i % 7 * 9), i // 40) for i in range(100)]
+    frame = spark.createDataFrame([*data, (None, 0, "no id", 2)], "doc_id bigint, fold int, text string, chunk bigint").coalesce(1)
+    blocks = mixing.text_blocks(frame)
+    got = {r["chunk"]: mixing.texts_of(pa.table({"texts": [r["texts"]]})).to_pylist() for r in blocks.collect()}
+    assert [(r["doc_id"], r["fold"], r["text"], c) for c, own in got.items() for r in own] == [(*r[:2], r[2] or "", r[3]) for r in [*data, (None, 0, "no id", 2)]]
+    assert sum(len(r["texts"]) for r in blocks.collect()) < sum(len(r[2] or "") for r in data) / 4
+    assert mixing.texts_of(pa.table({"texts": pa.array([], pa.binary())})).schema == mixing.TEXTS
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r["score"] for r in mixing.scores(docs.coalesce(1)).collect()}
