@@ -594,6 +594,49 @@ def test_mixing_texts_travel_in_compressed_blocks(spark):
     assert mixing.texts_of(pa.table({"texts": pa.array([], pa.binary())})).schema == mixing.TEXTS
 
 
+def test_mixing_folded_texts():
+    rng = random.Random(5)
+    data = [None, "", " ", " a", "a ", "  A b\t\nC ", "\x1c x\x85y", "é　Ü Z", "\t", *("".join(rng.choices(" \t\nAbcÉ\x0b", k=rng.randint(0, 12))) for _ in range(500))]
+    for column in (pa.chunked_array([pa.array(data)]), pa.chunked_array([pa.array(data).slice(3, 50), pa.array([], pa.string()), pa.array(data).slice(100)]), pa.chunked_array([], pa.string())):
+        got = mixing.symbols_in(mixing.folded(column))
+        assert [x.tolist() for x in got] == [mixing.symbols_of((t or "").encode().lower().split()).tolist() for t in column.to_pylist()]
+
+
+def test_mixing_finds_equal_contexts_once(monkeypatch):
+    """Work on contexts is done once for each kind of symbol, and there are fewer kinds than symbols."""
+    rng = random.Random(6)
+    vocabulary = [bytes(rng.choices(b"abcdefgh", k=rng.randint(1, 7))) for _ in range(50)]
+    texts = [mixing.symbols_of(rng.choices(vocabulary, k=n)) for n in (0, 1, 400, 3, 900, 0, 50)]
+    whole = [mixing.contexts(t, np.zeros(1, np.int64)) for t in texts]
+    for part, run in ((64, 500), (1 << 18, 1 << 20)):
+        monkeypatch.setattr(mixing, "PART", part)
+        monkeypatch.setattr(mixing, "RUN", run)
+        runs = list(mixing.runs(texts))
+        assert np.array_equal(np.concatenate([r.pairs()[:, r.kind] for r in runs], axis=1), np.concatenate([p for p, _, _ in whole], axis=1))
+        assert np.array_equal(np.concatenate([r.place[r.kind] for r in runs]), np.concatenate([p for _, p, _ in whole]))
+    assert len(runs) == 1 and len(runs[0].symbols) < len(runs[0].kind) / 2
+    keys = np.array([5 << 60, 7, 5 << 60 | 1, 5 << 60, 3], np.uint64)  # their first bits are not enough
+    first, place = mixing.grouped(keys)
+    assert np.array_equal(keys[first][place], keys) and first.tolist() == [0, 1, 2, 4]
+
+
+def test_mixing_texts_side_by_side():
+    """Each text's probability and state are those that it has alone."""
+    rng = np.random.default_rng(7)
+    def rows(n):
+        return mixing.rows_of(rng.integers(-127, 128, (mixing.PREDICTORS, n)).astype(np.int8) * (rng.random((mixing.PREDICTORS, n)) < 0.8), rng.integers(0, mixing.PLACES, n), rng.integers(0, 2, n).astype(np.uint8))
+
+    parts = [rows(n) for n in (4096, 4096, 700, 3, 1)]
+    alone = [mixing.Mixer() for _ in parts]
+    want = [mixer.learn_rows(part) for mixer, part in zip(alone, parts)]
+    weights = np.repeat(mixing.Mixer().weights[:, None], len(parts), axis=1)
+    cells = np.tile(mixing.Mixer().cells.reshape(1, mixing.GATES, mixing.CELLS), (len(parts), 1, 1))
+    assert mixing.learn_together(weights, cells, parts, 3).tolist() == pytest.approx(want, rel=1e-12)
+    for j, mixer in enumerate(alone):
+        assert np.array_equal(weights[:, j], mixer.weights if j < 3 else mixing.Mixer().weights)
+        assert np.array_equal(cells[j].ravel(), mixer.cells if j < 3 else mixing.Mixer().cells)
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r["score"] for r in mixing.scores(docs.coalesce(1)).collect()}
