@@ -637,6 +637,26 @@ def test_mixing_texts_side_by_side():
         assert np.array_equal(cells[j].ravel(), mixer.cells if j < 3 else mixing.Mixer().cells)
 
 
+def test_mixing_long_texts_go_on_in_the_next_run(monkeypatch):
+    rng = random.Random(8)
+    vocabulary = [bytes(rng.choices(b"abcdefgh", k=rng.randint(1, 9))) for _ in range(60)]
+    texts = [mixing.symbols_of(rng.choices(vocabulary, k=n)) for n in (3, 1500, 0, 100, 900, 2)]
+    code = mixing.Code(np.bincount(np.concatenate(texts), minlength=mixing.SYMBOLS))
+    pairs, counts = np.unique(np.concatenate([p.ravel() for _, _, p, _ in mixing.laid_out(texts)]), return_counts=True)
+    known = mixing.Known(code, pairs, mixing.path_logits(code, pairs, counts)[1])
+    monkeypatch.setattr(mixing, "PART", 1000)
+    got = []
+    for run in (1, 2500, 1 << 20):
+        monkeypatch.setattr(mixing, "RUN", run)
+        runs = list(mixing.runs(texts))
+        words = mixing.distinct(np.concatenate([np.append(mixing.mixed(r.word[r.ends_word()]), mixing.END_WORD) for r in runs]))
+        got.append(([t for t, _, _ in known.learned(runs)], [c.tolist() for c in mixing.word_counts(runs, words, np.arange(len(words)))]))
+    assert len(runs) == 1 and got[0] == got[1] == got[2]
+    assert [len(c) for c in got[0][1]] == [4, 1501, 1, 101, 901, 3]
+    alone = [known.learned(mixing.runs([t])) for t in texts]
+    assert got[0][0] == [next(x)[0] for x in alone]
+
+
 def test_mixing_does_not_depend_on_the_layout(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r["score"] for r in mixing.scores(docs.coalesce(1)).collect()}
