@@ -117,6 +117,19 @@ def test_slot_means_and_fallback(spark):
     assert {r["slot_mean"] for r in empty.collect()} == {0.0}
 
 
+def test_slots_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    """A file's size says little about its rows: 168,000 slots with one mean take some 20 KB."""
+    slots = spark.range(168_000).selectExpr(
+        "id DIV 168 AS zone_id", "id % 24 AS hour_of_day", "id DIV 24 % 7 AS day_of_week", "2L AS slot_total", "1L AS slot_rows", "2D AS slot_mean"
+    )
+    slots.write.parquet(str(tmp_path / "slots"))
+    stored = spark.read.parquet(str(tmp_path / "slots"))
+    ask = stored.select(*B.SLOT_KEYS)
+    out = B.predict_slot_means(ask, stored)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("slot_mean = 2").count() == 168_000
+
+
 def test_naive_is_last_week(spark):
     df = spark.createDataFrame([(7.0,)], "lag_168h double")
     assert B.predict_seasonal_naive(df).first()["seasonal_naive"] == 7.0

@@ -29,9 +29,11 @@ def global_mean(slots: DataFrame) -> Column:
 def predict_slot_means(df: DataFrame, slots: DataFrame, output: str = "slot_mean") -> DataFrame:
     """Slot mean of each row; unseen slots get the global mean.
 
-    Reads ``slots`` twice: pass a stored table.
+    Reads ``slots`` twice: pass a stored table.  Slots are few distinct values in order, so
+    millions of them make a file of a few MB, which Spark would take for a table small enough
+    to collect and broadcast: the hint keeps them off the driver.
     """
-    known = slots.select(*SLOT_KEYS, F.col("slot_mean").alias("_slot"))
+    known = slots.select(*SLOT_KEYS, F.col("slot_mean").alias("_slot")).hint("merge")
     return df.join(known, list(SLOT_KEYS), "left").withColumn(output, F.coalesce("_slot", global_mean(slots))).drop("_slot")
 
 
