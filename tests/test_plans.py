@@ -159,3 +159,12 @@ def test_spread_join_with_equal_rows_and_a_map(spark, no_coalescing):
     right = materialize(key_counts(rows, ["k"]).withColumn("v", F.lit("x")), "right")
     out = spread_join(rows, right, ["k"])
     assert out.where("v = 'x'").count() == 6000 and largest_partition(out) < 3000
+
+
+def test_spread_join_broadcasts_hot_keys_only(spark, tmp_path):
+    """Cells of few distinct values make a small file, which is not a small table."""
+    spark.range(50_000).selectExpr("id AS k", "1L AS n", "'cell' AS name").write.parquet(str(tmp_path / "cells"))
+    left = spark.range(50_000).withColumnRenamed("id", "k")
+    out = spread_join(left, spark.read.parquet(str(tmp_path / "cells")), ["k"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") <= 1
+    assert out.where("name = 'cell'").count() == 50_000

@@ -25,7 +25,8 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: str =
     matches nothing and spreads them evenly over the shuffle of the remaining keys.
     Adaptive skew handling cannot do this: it leaves a join alone when one side is an
     aggregate over its shuffle.  NULL keys match NULL keys.  Reads ``right`` three times:
-    pass a stored table.
+    pass a stored table.  Its files can be far smaller than its rows, so the remaining keys
+    carry a hint that keeps them from being collected for a broadcast.
     """
     values = [c for c in right.columns if c not in (*keys, n)]
     total = right.agg(F.sum(n).alias("total")).scalar()
@@ -45,6 +46,6 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], n: str =
     hashed = [c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
     salt = F.when(F.col("_h_row").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(_SALTS)))
     joined = left.join(F.broadcast(hot_rows), same("_h_"), "left").withColumn("_salt", salt.cast("bigint"))
-    joined = joined.join(cold_rows, same("_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
+    joined = joined.join(cold_rows.hint("merge"), same("_c_") & (F.col("_salt") == F.col("_c_salt")), "left")
     found = F.coalesce("_h_row", "_c_row")
     return joined.select(*left.columns, *[found[c].alias(c) for c in values])
