@@ -93,6 +93,27 @@ def test_quality_has_open_windows_and_late_actuals(spark, tmp_path):
         assert r["mae"] == pytest.approx(sum(map(abs, errs)) / len(errs))
 
 
+def test_quality_pairs_over_batches_equal_plain_loops(spark, tmp_path):
+    """Repeated, missing and unusual ids on both sides, in any order; no copy of a row beside the one stored with a packed id."""
+    ids = ["616263" * 5 + "64", "616263", "abc", "ABCDEF0123456789abcdef0123456789", "", None, *[f"{i:032x}" for i in range(20)]]
+    preds = [(ids[i % 26], float(i), START + timedelta(hours=i)) for i in range(60)] + [(ids[7], 1.0, None)]
+    acts = [(ids[i * 7 % 26], float(i % 9), START + timedelta(hours=i // 2 + 20)) for i in range(80)] + [(ids[7], 1.0, None)]
+    p = follow(spark, tmp_path, [preds[40:], preds[:25], preds[25:40]], "prediction_id string, predicted_value double, created_at timestamp_ntz", "p")
+    a = follow(spark, tmp_path, [acts[:10], acts[50:], acts[10:50]], "prediction_id string, actual_value double, observed_at timestamp_ntz", "a")
+    out = J.quality_latest(p, a, str(tmp_path / "pairs"), str(tmp_path / "ck"), "2 days", "2 days").collect()
+    want = [v - w for k, v, t in preds for j, w, u in acts if k is not None and k == j and t and u and u >= t]
+    assert want and sum(r["matched_pairs"] for r in out) == len(want)
+    assert sum(r["matched_pairs"] * r["mae"] for r in out) == pytest.approx(sum(map(abs, want)))
+    assert not (tmp_path / "ck/state").exists()
+
+
+def test_packed_ids_are_one_to_one(spark):
+    ids = ["61" * 16, "a" * 16, "616263", "abc", "AB" * 16, "ab" * 16, "\x00" * 17, "", "zz" * 16, "\x00" * 16 + "a", None]
+    got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i string").select(J.packed_id("i")).collect()]
+    assert got[-1] is None and len({bytes(b) for b in got[:-1]}) == len(ids) - 1
+    assert len(got[0]) == 16
+
+
 def test_stream_quality_matches_every_pair(spark):
     """Against a batch join: windows of two days hold every matched prediction twice."""
     from zonecast.operators.history import densify

@@ -980,18 +980,22 @@ def stream_log(spark, sf):
 @query
 def stream_quality(spark, sf):
     """Sliding quality of logged predictions against actuals observed an hour after the hour; open windows and late actuals too."""
-    log, _ = log_and_actuals(spark, sf)
     truth = history.densify(hourly(spark, sf), CONFIG.start, CONFIG.end)
-    seen = truth.select(
+    # Ids are made where the streams read: digests would be most of the stored bytes.
+    tables = {
+        "log": predicted(spark, sf).select("zone_id", "hour_ts", *BASELINES),
+        "seen": truth.select("zone_id", "hour_ts", TARGET),
+    }
+    paths = {k: _stage_parts(v, k) for k, v in tables.items()}
+    scored, counts = (spark.readStream.schema(tables[k].schema).parquet(paths[k]) for k in tables)
+    log = prediction_log(scored).select("prediction_id", "predicted_value", "created_at")
+    seen = counts.select(
         _prediction_id("slot_mean").alias("prediction_id"),
         F.col(TARGET).cast("double").alias("actual_value"),
         (F.col("hour_ts") + timefns.hours(1)).alias("observed_at"),
     )
-    tables = {"log": log.select("prediction_id", "predicted_value", "created_at"), "seen": seen}
-    paths = {k: _stage_parts(v, k) for k, v in tables.items()}
-    left, right = (spark.readStream.schema(tables[k].schema).parquet(paths[k]) for k in ("log", "seen"))
     root = stage_path(spark, "quality")
-    out = jobs.quality_latest(left, right, f"{root}/pairs", f"{root}/checkpoint", "2 days", "1 day")
+    out = jobs.quality_latest(log, seen, f"{root}/pairs", f"{root}/checkpoint", "2 days", "1 day")
     return rounded(out, "mae", "rmse", "smape")
 
 

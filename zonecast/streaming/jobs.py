@@ -10,13 +10,13 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
-from zonecast.functions.timefns import NTZ
+from zonecast.functions.timefns import NTZ, col_of
 from zonecast.operators.drift import current_buffer
 from zonecast.operators.quality import log_entries
 from zonecast.session import path_exists
@@ -111,22 +111,52 @@ def quality_windows(pairs: DataFrame, window: str = "7 days", slide: str = "1 da
     )
 
 
+def packed_id(c: Column | str) -> Column:
+    """An id as bytes, one to one: a digest of 32 lower-case hex digits as its 16 bytes, any other text behind 17 zero bytes."""
+    text = col_of(c)
+    raw = F.unhex(text)
+    digest = F.coalesce((F.length(text) == 32) & (F.lower(F.hex(raw)) == text), F.lit(False))
+    return F.when(digest, raw).otherwise(F.concat(F.lit(bytes(17)), text.cast("binary")))
+
+
 def quality_latest(predictions: DataFrame, actuals: DataFrame, path: str, checkpoint: str, window: str = "7 days", slide: str = "1 day") -> DataFrame:
     """``quality_stream`` over everything available, windows as they stand after the last batch, open ones too.
 
-    Each micro-batch stores the pairs it matched (a repeated batch overwrites itself).  An actual may come any time after its
-    prediction, so there is no watermark and the join keeps both sides in its state.
+    An actual may come any time after its prediction, so there is no watermark: the table ``{path}-rows`` keeps both sides, once and with
+    packed ids.  Each micro-batch stores its rows there and the pairs it matched (a repeated batch overwrites itself): its predictions
+    with all actuals so far, and earlier predictions with its actuals.  Rows that no time of the other side can match are not joined.
     """
-    late = as_instant(actuals.withColumnRenamed("prediction_id", "actual_id"), "observed_at")
-    pairs = as_instant(predictions, "created_at").join(late, F.expr("prediction_id = actual_id AND observed_at >= created_at"))
-    pairs = pairs.select("predicted_value", "actual_value", "created_at")
+    spark, stored = predictions.sparkSession, f"{path}-rows"
+    made = as_instant(predictions, "created_at").select(packed_id("prediction_id").alias("id"), "predicted_value", "created_at")
+    seen = as_instant(actuals, "observed_at").select(packed_id("prediction_id").alias("id"), "actual_value", "observed_at")
+    # A row without an id or a time has no pair.
+    both = made.where("id IS NOT NULL AND created_at IS NOT NULL").unionByName(
+        seen.where("id IS NOT NULL AND observed_at IS NOT NULL"), allowMissingColumns=True
+    )
+    schema = StructType([*both.schema.fields, StructField("batch", LongType())])
+    columns = ["predicted_value", "actual_value", "created_at"]
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def matched(preds: DataFrame, acts: DataFrame) -> DataFrame:
+        return preds.join(acts, "id").where("observed_at >= created_at").select(*columns)
 
-    each_batch(pairs, handle, checkpoint).awaitTermination()
-    schema = StructType([*pairs.schema.fields, StructField("batch", LongType())])
-    return quality_windows(pairs.sparkSession.read.schema(schema).parquet(path), window, slide)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{stored}/batch={batch_id}")
+        rows = spark.read.schema(schema).parquet(stored)
+        preds = rows.where("created_at IS NOT NULL").select("id", "predicted_value", "created_at", "batch")
+        acts = rows.where("observed_at IS NOT NULL").select("id", "actual_value", "observed_at", "batch")
+        mine = F.col("batch") == batch_id
+        first, last = rows.where(mine).agg(F.unix_micros(F.min("created_at")), F.unix_micros(F.max("observed_at"))).first()
+        pairs = rows.select(*columns).limit(0)
+        if first is not None:
+            pairs = matched(preds.where(mine), acts.where((F.col("batch") <= batch_id) & (F.col("observed_at") >= F.timestamp_micros(F.lit(first)))))
+        if last is not None and batch_id > 0:
+            earlier = preds.where((F.col("batch") < batch_id) & (F.col("created_at") <= F.timestamp_micros(F.lit(last))))
+            pairs = pairs.unionByName(matched(earlier, acts.where(mine)))
+        pairs.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    each_batch(both, handle, checkpoint).awaitTermination()
+    pairs = StructType([*both.select(*columns).schema.fields, StructField("batch", LongType())])
+    return quality_windows(spark.read.schema(pairs).parquet(path), window, slide)
 
 
 def admission_stream(requests: DataFrame, limit: int, seconds: int = 60) -> DataFrame:
