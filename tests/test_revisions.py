@@ -86,6 +86,20 @@ def test_a_repeated_batch_changes_nothing_and_late_rows_are_counted(spark, tmp_p
     assert {(r["prediction_id"], r["batch"]) for r in R.late_rows(spark, root).collect()} == {("c", 2), ("a", 2)}
 
 
+def test_a_batch_is_stored_once(spark, tmp_path, monkeypatch):
+    """No copy of a micro-batch beside the state, whose ids take little more than their bits."""
+    monkeypatch.setattr(R, "materialize", lambda *_: pytest.fail("a copy of the batch"))
+    root, n = tmp_path / "state", 20_000
+    made = spark.range(n).selectExpr("md5(CAST(id AS STRING)) AS prediction_id", "1L AS zone_id", "TIMESTAMP_NTZ'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS hour_ts")
+    made = made.selectExpr("*", "1D AS predicted_value", "TIMESTAMP_NTZ'2024-01-05 00:00:00' AS created_at")
+    sent = made.selectExpr("1L AS seq", "prediction_id", "CAST(NULL AS BIGINT) AS zone_id", "CAST(NULL AS TIMESTAMP_NTZ) AS hour_ts", "3D AS actual_value", "created_at AS observed_at")
+    R.revise_pairs(R.quality_events(made, sent), 0, str(root), timedelta(days=5))
+    pairs = spark.read.schema(R._DELTA).parquet(f"{root}/pairs")
+    assert pairs.join(made, "prediction_id", "left_semi").where("sign = 1 AND actual_value = 3").count() == n
+    size = lambda at: sum(f.stat().st_size for f in (root / at).rglob("*.parquet"))
+    assert size("events") < 2 * n * 26 and size("pairs") < n * 26
+
+
 def test_state_reads_no_day_behind_the_horizon(spark, tmp_path):
     root = str(tmp_path / "state")
     hours = [START + timedelta(days=d) for d in range(0, 20, 4)]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.config import CONTINUOUS, FEATURES, TARGET, DatasetConfig, Split
@@ -168,36 +168,50 @@ def request_log(spark, sf):
     )
 
 
-def _prediction_id(model: str):
+def _prediction_id(model: str | Column):
     return textfns.row_digest("zone_id", "hour_ts", F.lit(model))
 
 
 def prediction_log(preds: DataFrame) -> DataFrame:
     """Both baselines as logged predictions; the naive one is an hour newer."""
+    return with_ids(predictions_made(preds))
+
+
+def predictions_made(preds: DataFrame) -> DataFrame:
+    """The rows of the prediction log before they get their ids."""
     rows = F.array(
         *[
-            F.struct(
-                _prediction_id(m).alias("prediction_id"),
-                F.col(m).alias("predicted_value"),
-                (F.col("hour_ts") - timefns.hours(age)).alias("created_at"),
-            )
+            F.struct(F.lit(m).alias("model"), F.col(m).alias("predicted_value"), (F.col("hour_ts") - timefns.hours(age)).alias("created_at"))
             for m, age in (("slot_mean", 2), ("seasonal_naive", 1))
         ]
     )
     return preds.select("zone_id", "hour_ts", F.inline(rows))
 
 
+def with_ids(made: DataFrame) -> DataFrame:
+    return made.select("zone_id", "hour_ts", _prediction_id(F.col("model")).alias("prediction_id"), "predicted_value", "created_at")
+
+
 def submitted_actuals(feats: DataFrame) -> DataFrame:
     """Late actuals from the validation start on: by id (twice, the second corrected) and by key."""
+    return addressed(submissions(feats))
+
+
+def submissions(feats: DataFrame) -> DataFrame:
+    """Submitted actuals before they name a prediction or an hour."""
     rows = feats.where(F.col("hour_ts") >= timefns.ts_lit(CONFIG.split.train_end))
     value = F.col(TARGET).cast("double")
-    none = F.lit(None)
     sent = F.array(
         F.struct(F.lit(1).cast("bigint").alias("seq"), F.lit(True).alias("by_id"), (value + 1).alias("actual_value")),
         F.struct(F.lit(2).cast("bigint").alias("seq"), F.lit(True).alias("by_id"), value.alias("actual_value")),
         F.struct(F.lit(3).cast("bigint").alias("seq"), F.lit(False).alias("by_id"), value.alias("actual_value")),
     )
-    return rows.select("zone_id", "hour_ts", F.inline(sent)).select(
+    return rows.select("zone_id", "hour_ts", F.inline(sent))
+
+
+def addressed(sent: DataFrame) -> DataFrame:
+    none = F.lit(None)
+    return sent.select(
         "seq",
         F.when(F.col("by_id"), _prediction_id("slot_mean")).alias("prediction_id"),
         F.when(~F.col("by_id"), F.col("zone_id")).otherwise(none).alias("zone_id"),
@@ -957,10 +971,10 @@ def stream_usage(spark, sf):
     return _run_stream(spark, sf, build, ["client", "endpoint", "date"])
 
 
-def _stage_parts(df: DataFrame, name: str) -> str:
+def _stage_parts(df: DataFrame, name: str, **options) -> str:
     """Stores rows as a table a stream can follow."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return path
 
 
@@ -1002,13 +1016,17 @@ def stream_quality(spark, sf):
 @query
 def stream_quality_revised(spark, sf):
     """The prediction log and its actuals, wrong first submissions and hour-addressed ones too, in several files: pairs are revised as rows come."""
-    log, actuals = log_and_actuals(spark, sf)
-    seen = actuals.withColumn("observed_at", F.lit(AS_OF).cast(timefns.NTZ))
-    parts = {"log": log.select(*quality.LOG_COLUMNS), "seen": seen.select("seq", "prediction_id", "zone_id", "hour_ts", "actual_value", "observed_at")}
-    paths = {k: _stage_parts(v.repartition(3), k) for k, v in parts.items()}
-    left, right = (spark.readStream.schema(parts[k].schema).option("maxFilesPerTrigger", 1).parquet(paths[k]) for k in parts)
+    feats = stored_features(spark, sf)
+    train, _, test = splits.split_from_config(feats, CONFIG)
+    # Ids are made where the streams read: digests would be most of the stored bytes.
+    parts = {"log": predictions_made(both_baselines(train, test)), "seen": submissions(feats)}
+    # Small row groups, because a file of millions of narrow rows would be one, hence one task.
+    paths = {k: _stage_parts(v.repartition(3), k, **{"parquet.block.size": 1 << 20}) for k, v in parts.items()}
+    made, sent = (spark.readStream.schema(parts[k].schema).option("maxFilesPerTrigger", 1).parquet(paths[k]) for k in parts)
+    log = with_ids(made).select(*quality.LOG_COLUMNS)
+    seen = addressed(sent).withColumn("observed_at", F.lit(AS_OF).cast(timefns.NTZ))
     root = stage_path(spark, "quality")
-    out = revisions.revised_quality(left, right, f"{root}/state", f"{root}/checkpoint", window="2 days")
+    out = revisions.revised_quality(log, seen, f"{root}/state", f"{root}/checkpoint", window="2 days")
     return rounded(out, "mae", "rmse", "smape")
 
 

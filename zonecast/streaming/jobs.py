@@ -119,6 +119,13 @@ def packed_id(c: Column | str) -> Column:
     return F.when(digest, raw).otherwise(F.concat(F.lit(bytes(17)), text.cast("binary")))
 
 
+def unpacked_id(c: Column | str) -> Column:
+    """The id that :func:`packed_id` packed."""
+    data = col_of(c)
+    text = F.substring(data, 18, 2**31 - 1).cast("string")
+    return F.when(F.length(data) == 16, F.lower(F.hex(data))).otherwise(text)
+
+
 def quality_latest(predictions: DataFrame, actuals: DataFrame, path: str, checkpoint: str, window: str = "7 days", slide: str = "1 day") -> DataFrame:
     """``quality_stream`` over everything available, windows as they stand after the last batch, open ones too.
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from zonecast.functions.timefns import NTZ, ts_lit
 from zonecast.operators.quality import match_actuals, with_actuals
 from zonecast.operators.usage import usage_daily
-from zonecast.session import materialize, path_exists
-from zonecast.streaming.jobs import each_batch
+from zonecast.session import free_shuffles, materialize, path_exists
+from zonecast.streaming.jobs import each_batch, packed_id, unpacked_id
 
 # Usage ----------------------------------------------------------------------
 
@@ -66,6 +66,7 @@ _EVENT = (
     "kind string, prediction_id string, zone_id bigint, hour_ts timestamp_ntz, predicted_value double, created_at timestamp_ntz, "
     "seq bigint, actual_value double, observed_at timestamp_ntz"
 )
+_STATE = _EVENT.replace("prediction_id string", "prediction_id binary")
 _PAIR = ("prediction_id", "predicted_value", "actual_value", "created_at")
 _DELTA = "prediction_id string, predicted_value double, actual_value double, created_at timestamp_ntz, sign bigint"
 
@@ -79,7 +80,9 @@ def quality_events(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
 
 
 def _by_day(df: DataFrame, path: str, batch_id: int, at: str) -> None:
-    df.withColumn("day", F.to_date(at)).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
+    # zstd: ids are hex digits, which the default codec does not shorten.
+    rows = df.withColumn("day", F.to_date(at)).write.mode("overwrite").option("compression", "zstd")
+    rows.partitionBy("day").parquet(f"{path}/batch={batch_id}")
 
 
 def _since(spark: SparkSession, path: str, schema: str, horizon: datetime | None, before: int) -> DataFrame:
@@ -88,6 +91,17 @@ def _since(spark: SparkSession, path: str, schema: str, horizon: datetime | None
     return (rows if horizon is None else rows.where(F.col("day") >= F.lit(horizon.date()))).drop("batch", "day")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Ids as bytes: what is shuffled between the tables is half as wide."""
+    return rows.withColumn("prediction_id", packed_id("prediction_id"))
+
+
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    """A table of the current micro-batch, in the place of the one before."""
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def revise_pairs(batch: DataFrame, batch_id: int, root: str, keep: timedelta) -> None:
     """Takes a micro-batch of ``quality_events`` in and stores what it changes as signed pairs.
 
@@ -98,25 +112,25 @@ def revise_pairs(batch: DataFrame, batch_id: int, root: str, keep: timedelta) ->
     """
     spark = batch.sparkSession
     at = F.coalesce("created_at", "observed_at")
-    new = materialize(batch, "quality-batch")
-    seen = new.agg(F.max(at)).first()[0]
     known = f"{root}/progress/batch={batch_id - 1}"
     before = spark.read.parquet(known).first()["newest"] if path_exists(spark, known) else None
-    newest = max((t for t in (seen, before) if t is not None), default=None)
     horizon = None if before is None else before - keep
     late = F.lit(False) if horizon is None else F.coalesce(at < ts_lit(horizon), F.lit(False))
-    _by_day(new.where(late).withColumn("at", at), f"{root}/late", batch_id, "at")
-    new = new.where(~late)
-    _by_day(new.withColumn("at", at), f"{root}/events", batch_id, "at")
+    # The batch is stored once, as state with packed ids, and read from there.
+    _by_day(batch.where(late).withColumn("at", at), f"{root}/late", batch_id, "at")
+    _by_day(_packed(batch.where(~late)).withColumn("at", at), f"{root}/events", batch_id, "at")
+    new = spark.read.schema(_STATE).parquet(f"{root}/events/batch={batch_id}")
+    seen = new.agg(F.max(at)).first()[0]
+    newest = max((t for t in (seen, before) if t is not None), default=None)
 
-    state = _since(spark, f"{root}/events", _EVENT, horizon, batch_id + 1)
+    state = _since(spark, f"{root}/events", _STATE, horizon, batch_id + 1)
     log = state.where("kind = 'prediction'").select("prediction_id", "zone_id", "hour_ts", "predicted_value", "created_at")
     actuals = state.where("kind = 'actual'").select("seq", "prediction_id", "zone_id", "hour_ts", "actual_value")
     hour = ["zone_id", "hour_ts"]
     named = new.where("kind = 'actual' AND prediction_id IS NOT NULL").select("prediction_id").distinct()
     direct = new.where("kind = 'prediction' OR prediction_id IS NULL").select(*hour)
-    touched = materialize(direct.union(log.join(named, "prediction_id", "left_semi").select(*hour)).distinct(), "touched")
-    log = materialize(log.join(touched, hour, "left_semi"), "touched-log")
+    touched = _stored(direct.union(log.join(named, "prediction_id", "left_semi").select(*hour)).distinct(), f"{root}/touched")
+    log = _stored(log.join(touched, hour, "left_semi"), f"{root}/touched-log")
     ids = log.select("prediction_id").distinct()
     actuals = (
         actuals.where("prediction_id IS NULL")
@@ -125,10 +139,10 @@ def revise_pairs(batch: DataFrame, batch_id: int, root: str, keep: timedelta) ->
     )
     now = with_actuals(log, match_actuals(log, actuals)).where("actual_value IS NOT NULL").select(*_PAIR, F.lit(1).cast("bigint").alias("sign"))
     if path_exists(spark, f"{root}/pairs"):
-        held = _since(spark, f"{root}/pairs", _DELTA, horizon, batch_id).join(ids, "prediction_id", "left_semi")
+        held = _packed(_since(spark, f"{root}/pairs", _DELTA, horizon, batch_id)).join(ids, "prediction_id", "left_semi")
         now = now.unionByName(held.withColumn("sign", -F.col("sign")))
     changes = now.groupBy(*_PAIR).agg(F.sum("sign").alias("sign")).where("sign <> 0")
-    _by_day(changes, f"{root}/pairs", batch_id, "created_at")
+    _by_day(changes.withColumn("prediction_id", unpacked_id("prediction_id")), f"{root}/pairs", batch_id, "created_at")
     spark.createDataFrame([(newest, new.count())], "newest timestamp_ntz, rows bigint").write.mode("overwrite").parquet(f"{root}/progress/batch={batch_id}")
 
 
@@ -165,9 +179,13 @@ def revised_quality(
     required: int = 10,
 ) -> DataFrame:
     """Runs everything available through ``revise_pairs``; windows as they stand after the last batch."""
-    both = quality_events(predictions, actuals)
-    each_batch(both, lambda batch, batch_id: revise_pairs(batch, batch_id, root, keep), checkpoint).awaitTermination()
     spark = predictions.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        revise_pairs(batch, batch_id, root, keep)
+        free_shuffles(spark)
+
+    each_batch(quality_events(predictions, actuals), handle, checkpoint).awaitTermination()
     pairs = spark.read.schema(f"{_DELTA}, batch bigint, day date").parquet(f"{root}/pairs")
     return revised_windows(pairs, window, slide, required)
 
