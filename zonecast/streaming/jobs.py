@@ -134,11 +134,12 @@ def quality_latest(predictions: DataFrame, actuals: DataFrame, path: str, checkp
     with all actuals so far, and earlier predictions with its actuals.  Rows that no time of the other side can match are not joined.
     """
     spark, stored = predictions.sparkSession, f"{path}-rows"
-    made = as_instant(predictions, "created_at").select(packed_id("prediction_id").alias("id"), "predicted_value", "created_at")
-    seen = as_instant(actuals, "observed_at").select(packed_id("prediction_id").alias("id"), "actual_value", "observed_at")
-    # A row without an id or a time has no pair.
-    both = made.where("id IS NOT NULL AND created_at IS NOT NULL").unionByName(
-        seen.where("id IS NOT NULL AND observed_at IS NOT NULL"), allowMissingColumns=True
+    # A row without an id or a time has no pair.  Asked of the packed id, this would pack every id twice.
+    made = as_instant(predictions, "created_at").where("prediction_id IS NOT NULL AND created_at IS NOT NULL")
+    seen = as_instant(actuals, "observed_at").where("prediction_id IS NOT NULL AND observed_at IS NOT NULL")
+    packed = packed_id("prediction_id").alias("id")
+    both = made.select(packed, "predicted_value", "created_at").unionByName(
+        seen.select(packed, "actual_value", "observed_at"), allowMissingColumns=True
     )
     schema = StructType([*both.schema.fields, StructField("batch", LongType())])
     columns = ["predicted_value", "actual_value", "created_at"]
