@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import demand
 from zonecast.config import FEATURES
+from zonecast.functions.skew import key_counts
 from zonecast.operators import features as X
 from zonecast.operators import splits as S
 
@@ -144,6 +145,28 @@ def test_look_ups_join_once_without_copies_of_the_keys(spark, history, cfg):
     assert plan.count("Join") == 1 and "Generate" not in plan
 
 
+def test_bulk_reads_the_cells_once(history, cfg):
+    counts = key_counts(X.with_cells(history.select("zone_id", "hour_ts")), X.CELL_KEYS)
+    cells = X.cell_features(counts, history, cfg, bulk=True, zones=history.select("zone_id", F.col("hour_ts").alias("last_hour")))
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    # The only join looks for known zones; features need none back to the cells, and no grouping of cells and history.
+    assert plan.count("Join") == 1 and plan.count("count(1)") == 1
+
+
+def test_bulk_takes_odd_rows_as_single_look_ups_do(spark, cfg):
+    t = datetime(2024, 2, 20, 14)
+    back = [(1, t - timedelta(hours=k), k) for k in range(1, 31)] + [(2, t - timedelta(hours=24), 5)]
+    odd = [(1, t - timedelta(hours=1), 90), (1, t - timedelta(hours=1), 90), (1, t - timedelta(hours=2), None), (1, t - timedelta(hours=3), 1), (1, t, 7), (None, t, 9), (None, None, 9)]
+    held = spark.createDataFrame([(z, f"Zone {z}", h, n) for z, h, n in back + odd], "zone_id bigint, zone_name string, hour_ts timestamp_ntz, trip_count bigint")
+    asked = [("a", 1, t), ("twice", 1, t), ("half", 1, t + timedelta(minutes=30)), ("old", 1, t - timedelta(hours=29)), ("b", 2, t), ("zone", None, t), ("hour", 1, None), ("none", None, None), ("late", 1, t + timedelta(days=9))]
+    single, bulk = (served(X.serve_features(requests(spark, asked), held, cfg, bulk=b)) for b in (False, True))
+    assert single == bulk and len(bulk) == len(asked)
+    # The larger of repeated counts, once: 90 for the hour before, 2 and 3 for the next, then 4 to 24.
+    assert bulk["a"]["lag_1h"] == 90.0 and bulk["a"]["rolling_mean_24h"] == (90 + sum(range(2, 25))) / 24
+    assert bulk["half"]["rolling_mean_24h"] == 0.0 and bulk["b"]["rolling_mean_24h"] == 5.0
+    assert bulk["zone"]["reason"] == "unsupported_zone" and bulk["hour"]["lag_1h"] is None
+
+
 def test_zoned_instants_become_utc(spark, history, cfg):
     asked = spark.createDataFrame([("a", 1)], "request_id string, zone_id bigint").withColumn(
         "hour_ts", F.to_timestamp(F.lit("2024-02-01T14:00:00+02:00"))

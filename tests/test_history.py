@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from zonecast.operators import history as H
+from zonecast.session import ROWS_PER_TASK, partitions_for
 
 START, END = datetime(2024, 1, 1), datetime(2024, 1, 2)
 TRIPS = "zone_id bigint, ts timestamp_ntz, end_ts timestamp_ntz, fare double, distance double"
@@ -113,3 +114,17 @@ def test_grid_difference_counts_copies(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     b = spark.createDataFrame([(1,), (3,)], "x int")
     assert {tuple(r) for r in H.grid_difference(a, b).collect()} == {(1, "left", 1), (2, "left", 1), (3, "right", 1)}
+
+
+def test_grid_difference_groups_rows_only_where_they_meet(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (None, None), (2, 0.5)], "x int, y double")
+    b = spark.createDataFrame([(None, 1), (0.5, 2), (None, 3)], "y double, x int")
+    diff = H.grid_difference(a, b, 7)
+    plan = diff._jdf.queryExecution().executedPlan().toString()  # before it runs
+    assert {tuple(r) for r in diff.collect()} == {(1, None, "left", 1), (None, None, "left", 1), (3, None, "right", 1)}
+    assert "hashpartitioning(x" in plan and ", 7)" in plan and plan.rindex("HashAggregate") < plan.index("Exchange")
+    assert H.grid_difference(a.where("false"), b.where("false")).count() == 0
+
+
+def test_partitions_grow_with_rows(spark):
+    assert [partitions_for(spark, n) for n in (0, 4 * ROWS_PER_TASK, 4 * ROWS_PER_TASK + 1)] == [4, 4, 5]

@@ -170,27 +170,33 @@ def _block_features(keys: DataFrame, blocks: DataFrame, cfg: DatasetConfig) -> D
     return found.withColumns(cols).select("zone_id", "hour_ts", *cols)
 
 
-def _window_features(keys: DataFrame, history: DataFrame, cfg: DatasetConfig) -> DataFrame:
-    """Computes the features of all keys in one pass over the history.
+def _window_features(cells: DataFrame, history: DataFrame, cfg: DatasetConfig) -> DataFrame:
+    """All cells with lags and means, NULL for those off the hour, in one pass over the history.
 
-    Keys join the history as rows without a count; frames count hours, not rows, so
-    gaps in the history are seen as gaps.
+    Cells join the history as rows without a count; frames count hours, not rows, so
+    gaps in the history are seen as gaps.  Repeated hours count once, with the larger
+    count.  Means are differences of running totals.  The rows of a zone are bounded by its
+    hours, asked for or in the history, and each is held once, in the sort by zone and hour.
     """
-    rows = (
-        history.select("zone_id", "hour_ts", "trip_count", F.lit(False).alias("asked"))
-        .unionByName(
-            keys.select("zone_id", "hour_ts", F.lit(None).cast("bigint").alias("trip_count"), F.lit(True).alias("asked"))
-        )
-        .repartition("zone_id")
-        .groupBy("zone_id", "hour_ts")
-        .agg(F.max("trip_count").alias("trip_count"), F.max("asked").alias("asked"))
-        .withColumn("h", hour_index("hour_ts"))
-    )
-    zone = Window.partitionBy("zone_id").orderBy("h")
+    asked = cells.withColumns({"trip_count": F.lit(None).cast("bigint"), "_asked": F.lit(True)})
+    known = history.select("zone_id", F.col("hour_ts").alias("hour"), "trip_count", F.lit(False).alias("_asked"))
+    rows = asked.unionByName(known, allowMissingColumns=True).withColumn("_h", hour_index("hour"))
+    # One sort serves both windows: the second one's order begins the first one's.
+    repeats = Window.partitionBy("zone_id").orderBy("_h", "hour", F.desc_nulls_last("trip_count"))
+    again = F.lag("hour").over(repeats) == F.col("hour")
+    rows = rows.withColumn("trip_count", F.when(again, F.lit(None)).otherwise(F.col("trip_count")))
+    zone = Window.partitionBy("zone_id").orderBy("_h")
+
+    def before(k: int) -> tuple[Column, Column]:
+        """Sum and number of the counts at least ``k`` hours earlier."""
+        upto = zone.rangeBetween(Window.unboundedPreceding, -k)
+        return F.coalesce(F.sum("trip_count").over(upto), F.lit(0)), F.count("trip_count").over(upto)
+
     cols = {f"lag_{k}h": F.max("trip_count").over(zone.rangeBetween(-k, -k)).cast("double") for k in cfg.lags}
     for w in cfg.rolling_windows:
-        cols[f"rolling_mean_{w}h"] = F.avg("trip_count").over(zone.rangeBetween(-w, -1))
-    return rows.withColumns(cols).where("asked").drop("asked", "h", "trip_count")
+        (total, n), (old_total, old_n) = before(1), before(w + 1)
+        cols[f"rolling_mean_{w}h"] = F.try_divide(total - old_total, n - old_n)
+    return rows.select(*cells.columns, "_asked", *[F.when(F.col("on_hour"), v).alias(c) for c, v in cols.items()]).where("_asked").drop("_asked")
 
 
 def cell_features(
@@ -211,13 +217,14 @@ def cell_features(
     zones = zone_facts(history) if zones is None else zones
     flagged = flag_cells(cells, zones if universe is None else universe, cfg.split.train_start, supported_end(zones))
     served = F.col("reason").isNull()
-    keys = flagged.where(served & F.col("on_hour")).select("zone_id", F.col("hour").alias("hour_ts"))
     if bulk:
-        found = _window_features(keys, history, cfg)
+        found = _window_features(flagged, history, cfg)
     else:
-        found = _block_features(keys, day_blocks(history, cfg) if blocks is None else blocks, cfg)
-    found = found.withColumnRenamed("hour_ts", "hour").withColumn("on_hour", F.lit(True))
-    out = add_calendar(flagged.join(found, list(CELL_KEYS), "left"), "hour")
+        keys = flagged.where(served & F.col("on_hour")).select("zone_id", F.col("hour").alias("hour_ts"))
+        looked_up = _block_features(keys, day_blocks(history, cfg) if blocks is None else blocks, cfg)
+        looked_up = looked_up.withColumnRenamed("hour_ts", "hour").withColumn("on_hour", F.lit(True))
+        found = flagged.join(looked_up, list(CELL_KEYS), "left")
+    out = add_calendar(found, "hour")
     calendar = {c: F.when(served, F.col(c)) for c in ("hour_of_day", "day_of_week", "is_weekend", "month")}
     measured = {c: F.when(served, F.coalesce(c, F.lit(0.0))) for c in cfg.lag_columns + cfg.rolling_columns}
     return out.withColumns({**calendar, **measured})

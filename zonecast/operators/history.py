@@ -232,11 +232,16 @@ def history_status(history: DataFrame, train_start: datetime) -> DataFrame:
     )
 
 
-def grid_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows two pipelines disagree on, with the side that has them; empty means parity."""
+def grid_difference(left: DataFrame, right: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows two pipelines disagree on, with the side that has them; empty means parity.
+
+    ``partitions`` is the number of tasks the rows are compared in, by default the session's.
+    """
     cols = left.columns
     right = right.select(*cols)
     tagged = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    net = tagged.groupBy(*cols).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    # Dealt out before they are counted: rows of one side hardly repeat, so counting them where they are made would hold them all for nothing.
+    dealt = tagged.repartition(*([] if partitions is None else [partitions]), *cols)
+    net = dealt.groupBy(*cols).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
     side = F.when(F.col("_n") > 0, F.lit("left")).otherwise(F.lit("right"))
     return net.select(*cols, side.alias("side"), F.abs("_n").alias("copies"))

@@ -35,7 +35,7 @@ from zonecast.operators import (
     usage,
 )
 from zonecast.plans import learn, marts, monitor
-from zonecast.session import materialize, stage_path, use_utc
+from zonecast.session import materialize, partitions_for, stage_path, use_utc
 from zonecast.sources import bikes, sinks, taxi
 from zonecast.streaming import jobs, revisions
 
@@ -343,9 +343,11 @@ def strict_vs_serve_parity(spark, sf):
     """Batch features asked for again as requests: rows compared, and rows that differ."""
     hist = materialize(full_history(spark, sf), "history")
     strict = features.engineer_features(hist, CONFIG).select("zone_id", "hour_ts", *[c for c in FEATURES if c != "zone_id"])
+    # Stored because they are counted and compared.
+    strict = materialize(strict, "strict")
     asked = hist.where(F.col("hour_ts") >= timefns.ts_lit(CONFIG.split.train_start)).select("zone_id", "hour_ts")
     served = features.serve_features(asked, hist, CONFIG, bulk=True).select(*strict.columns)
-    diff = history.grid_difference(strict, served)
+    diff = history.grid_difference(strict, served, partitions_for(spark, 2 * strict.count()))
     return strict.agg(F.count(F.lit(1)).alias("rows_compared")).withColumn(
         "rows_different", diff.agg(F.count(F.lit(1)).alias("n")).scalar()
     )
