@@ -57,6 +57,25 @@ def test_sample_is_reproducible_and_seeded(split):
     assert whole.count() == 9 * split[0].count()
 
 
+def test_sample_digests_a_part_of_the_keys_twice(split):
+    plan = D.reference_sample(split[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pmod(xxhash64(") == 1 and "ltrim" in plan.split("pmod(xxhash64(")[0]
+
+
+def test_sample_of_repeated_and_unknown_keys(spark, split):
+    odd = split[0].limit(40).select(*[F.lit(None).cast("bigint").alias(c) if c == "zone_id" else F.col(c) for c in split[0].columns])
+    odd = odd.unionByName(odd).withColumn("lag_1h", F.lit(None).cast("double"))
+    got = D.reference_sample(odd, size=30).groupBy("feature").agg(F.count("*").alias("n"), F.count("value").alias("values")).collect()
+    assert {r["feature"]: (r["n"], r["values"]) for r in got} == {f: (30, 0 if f in ("zone_id", "lag_1h") else 30) for f in FEATURES}
+    assert D.reference_sample(split[0].where("false")).isEmpty() and D.reference_bins(split[0].where("false")).isEmpty()
+
+
+def test_bins_read_the_rows_once(split):
+    plan = D.reference_bins(split[0])._jdf.queryExecution().optimizedPlan().toString()
+    # All of ranks, values and counts come from the stored distribution.
+    assert "InMemoryRelation" not in plan and "inline" not in plan
+
+
 def test_correlations_by_numpy(reference, split):
     data = columns(split[0], CONTINUOUS)
     valid = data.var(axis=0) > 0

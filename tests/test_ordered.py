@@ -90,6 +90,20 @@ def test_bottom_k_is_exact(long, k):
     assert {f: sorted(d) for f, d in got.items()} == {f: sorted(d)[:k] for f, d in want.items()}
 
 
+@pytest.mark.parametrize("k", [1, 40, 10_000])
+@pytest.mark.parametrize("part", ["digest > '8'", "feature = 'ties'", "false"])
+def test_bottom_k_is_exact_whatever_is_probed(long, k, part):
+    odd = long.sparkSession.createDataFrame([("same", 1.0, "0" * 32)] * 50 + [("none", 1.0, None), (None, 1.0, "a" * 32)], "feature string, value double, digest string")
+    keyed = long.withColumn("digest", F.md5(F.concat_ws("|", "feature", F.monotonically_increasing_id().cast("string")))).unionByName(odd).cache()
+    want = {}
+    for r in keyed.where("digest IS NOT NULL AND feature IS NOT NULL").collect():
+        want.setdefault(r["feature"], []).append(r["digest"])
+    got = {}
+    for r in bottom_k(keyed, k, probe=keyed.where(part)).collect():
+        got.setdefault(r["feature"], []).append(r["digest"])
+    assert {f: sorted(d) for f, d in got.items()} == {f: sorted(d)[:k] for f, d in want.items()}
+
+
 @pytest.mark.parametrize("n", [1, 100, 1000, 5000])
 def test_latest_n_is_exact(spark, n):
     start = datetime(2024, 1, 1)
